@@ -8,10 +8,15 @@ returned as DOUBLE, like the oracle does.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimtide.functions import calendar as cal
+from claimtide.functions.formatting import comparison_text
+from claimtide.operators import extracts as X
+from claimtide.operators import quality as Q
+from claimtide.operators import review as R
 from claimtide.operators.classify import classify, convert_currency, detect_reopened
 from claimtide.operators.periods import (
     current_claims,
@@ -21,7 +26,11 @@ from claimtide.operators.periods import (
     weekly_state,
     weekly_transitions,
 )
+from claimtide.operators.periods import MONTHLY, WEEKLY
 from claimtide.operators.staging import stage_claims
+from claimtide.schemas import STAGED_DATES
+from claimtide.session import broadcast_if_small, scratch_path
+from claimtide.sources import tables
 from claimtide.sources.seeds import currency_rates
 from claimtide.sources.testdata import testdata_history
 
@@ -97,3 +106,260 @@ QUERIES = {
     "weekly_metrics": q_weekly_metrics,
     "monthly_metrics": q_monthly_metrics,
 }
+
+
+# ---------------------------------------------------------------------------
+# calendar, keys, tiers
+# ---------------------------------------------------------------------------
+
+
+_DATE_COLUMNS = ("snapshot_date", *(name for name, _ in STAGED_DATES))
+
+
+def q_report_calendar(spark, sf_dir):
+    """Report year/week, Thursday and week bounds of every staged date."""
+    days = (
+        staged(spark, sf_dir)
+        .select(F.explode(F.array(*_DATE_COLUMNS)).alias("day"))
+        .where(F.col("day").isNotNull())
+        .distinct()
+    )
+    return days.select(
+        "day",
+        cal.report_year("day").alias("report_year"),
+        cal.report_week("day").alias("report_week"),
+        cal.report_week_thursday("day").alias("report_thursday"),
+        cal.week_start("day").alias("week_start_date"),
+        cal.week_end("day").alias("week_end_date"),
+    )
+
+
+def q_surrogate_keys(spark, sf_dir):
+    return classified(spark, sf_dir).select("claim_number", "snapshot_date", "claim_snapshot_key")
+
+
+def q_tier_counts(spark, sf_dir):
+    return (
+        classified(spark, sf_dir)
+        .groupBy("status", "wbr_tier1", "wbr_tier2", "wbr_tier3")
+        .agg(F.count(F.lit(1)).alias("snapshot_count"), F.count_distinct("claim_number").alias("claim_count"))
+    )
+
+
+# ---------------------------------------------------------------------------
+# review layer
+# ---------------------------------------------------------------------------
+
+
+def _weekly_metrics(spark, sf_dir):
+    return weekly_metrics(weekly_state(classified(spark, sf_dir)))
+
+
+def _monthly_metrics(spark, sf_dir):
+    return monthly_metrics(monthly_state(classified(spark, sf_dir)))
+
+
+def q_period_dimension_weekly(spark, sf_dir):
+    return R.period_dimension(_weekly_metrics(spark, sf_dir), WEEKLY)
+
+
+def q_period_dimension_monthly(spark, sf_dir):
+    return R.period_dimension(_monthly_metrics(spark, sf_dir), MONTHLY)
+
+
+def q_hierarchy_weekly_count(spark, sf_dir):
+    return R.hierarchy_values(_weekly_metrics(spark, sf_dir), WEEKLY, "claim_count")
+
+
+def q_hierarchy_monthly_value(spark, sf_dir):
+    return as_doubles(R.hierarchy_values(_monthly_metrics(spark, sf_dir), MONTHLY, "claim_value_usd"))
+
+
+def q_review_weekly_count(spark, sf_dir):
+    """Weekly review as the dashboard opens it: no filters, last 8 weeks,
+    claim count, WoW comparison."""
+    return R.period_review(_weekly_metrics(spark, sf_dir), WEEKLY, "claim_count").pivot
+
+
+def q_review_monthly_value(spark, sf_dir):
+    """Monthly review for country US: last 12 months, claim value, MoM."""
+    result = R.period_review(_monthly_metrics(spark, sf_dir), MONTHLY, "claim_value_usd", countries=["US"])
+    return as_doubles(result.pivot)
+
+
+def q_review_comparison_text(spark, sf_dir):
+    """Comparison text of every waterfall row for every weekly period against
+    its previous available period (claim value)."""
+    metrics = _weekly_metrics(spark, sf_dir)
+    hierarchy = R.hierarchy_values(metrics, WEEKLY, "claim_value_usd")
+    periods = R.period_dimension(metrics, WEEKLY).select("week_start_date")
+    # period -> next available period; one row per report week (bounded by
+    # the calendar), so the broadcast is checked, not assumed
+    nxt = periods.select(
+        F.col("week_start_date"),
+        F.lead("week_start_date").over(Window.orderBy("week_start_date")).alias("next_start"),
+        F.lag("week_start_date").over(Window.orderBy("week_start_date")).isNotNull().alias("has_previous"),
+    )
+    nxt = broadcast_if_small(nxt, 100_000)
+    values = hierarchy.select("week_start_date", "row_key", "metric_value").join(nxt, "week_start_date")
+    value_type = values.schema["metric_value"].dataType
+    # each row counts as "current" in its own period (if that period has a
+    # previous one) and as "previous" in the next period
+    both = values.select(
+        F.inline(
+            F.array(
+                F.struct(
+                    F.when(F.col("has_previous"), F.col("week_start_date")).alias("period_start"),
+                    F.col("row_key"),
+                    F.col("metric_value").alias("cur"),
+                    F.lit(None).cast(value_type).alias("prev"),
+                ),
+                F.struct(
+                    F.col("next_start").alias("period_start"),
+                    F.col("row_key"),
+                    F.lit(None).cast(value_type).alias("cur"),
+                    F.col("metric_value").alias("prev"),
+                ),
+            )
+        )
+    ).where(F.col("period_start").isNotNull())
+    paired = both.groupBy("period_start", "row_key").agg(F.sum("cur").alias("cur"), F.sum("prev").alias("prev"))
+    cur = F.coalesce(F.col("cur"), F.lit(0))
+    prev = F.coalesce(F.col("prev"), F.lit(0))
+    return paired.select(
+        F.col("period_start").alias("week_start_date"),
+        "row_key",
+        cur.cast("double").alias("current_value"),
+        prev.cast("double").alias("previous_value"),
+        comparison_text(cur, prev, True).alias("comparison"),
+    )
+
+
+def q_kpi_cards(spark, sf_dir):
+    return R.kpi_cards(_weekly_metrics(spark, sf_dir))
+
+
+def q_default_range(spark, sf_dir):
+    weekly = R.default_range_frame(_weekly_metrics(spark, sf_dir), WEEKLY).select(
+        F.lit("weekly").alias("grain"), "period_label", F.col("week_start_date").alias("period_start")
+    )
+    monthly = R.default_range_frame(_monthly_metrics(spark, sf_dir), MONTHLY).select(
+        F.lit("monthly").alias("grain"), "period_label", F.col("month_start_date").alias("period_start")
+    )
+    return weekly.unionByName(monthly)
+
+
+# ---------------------------------------------------------------------------
+# extracts
+# ---------------------------------------------------------------------------
+
+CURRENT_FILTER = dict(
+    country=["US"], status=["Open", "Closed"], carrier_name=["Carrier 0", "Carrier 1"], search=r"clm-\d*7"
+)
+TRANSITION_FILTER = dict(country=["CA"], transition_type=["CLOSED_TO_OPEN", "OPEN_TO_CLOSED"], search="clm")
+
+
+def _current(spark, sf_dir):
+    return current_claims(classified(spark, sf_dir))
+
+
+def _transitions(spark, sf_dir):
+    return weekly_transitions(weekly_state(classified(spark, sf_dir)))
+
+
+def q_filter_current(spark, sf_dir):
+    return as_doubles(X.claims_extract(_current(spark, sf_dir), **CURRENT_FILTER))
+
+
+def q_filter_transitions(spark, sf_dir):
+    return as_doubles(X.transitions_extract(_transitions(spark, sf_dir), **TRANSITION_FILTER))
+
+
+def q_filter_options(spark, sf_dir):
+    cur = X.filter_options(_current(spark, sf_dir), X.CLAIM_FILTERS).withColumn("table_name", F.lit("current"))
+    tr = X.filter_options(_transitions(spark, sf_dir), X.TRANSITION_FILTERS).withColumn(
+        "table_name", F.lit("weekly_transitions")
+    )
+    return cur.unionByName(tr)
+
+
+def q_title_case_headers(spark, sf_dir):
+    return as_doubles(X.claims_extract(_current(spark, sf_dir)))
+
+
+def q_csv_round_trip(spark, sf_dir):
+    """Claims extract written as CSV (header, UTF-8) and read back."""
+    extract = as_doubles(X.claims_extract(_current(spark, sf_dir)))
+    path = scratch_path(spark, "current_claims_csv")
+    tables.write_csv(extract, path)
+    return tables.read_csv(spark, path, extract.schema)
+
+
+def q_month_pruned_read(spark, sf_dir):
+    """Weekly mart written month-partitioned, read back for one date range
+    (partition pruning on the month + pushed filter on the date)."""
+    weekly = weekly_state(classified(spark, sf_dir))
+    path = scratch_path(spark, "mart_claims_weekly")
+    tables.write_partitioned(weekly, path, "week_end_date", ["claim_number", "report_year", "report_week", "status"])
+    return as_doubles(tables.read_month_range(spark, path, "week_end_date", "1996-03-15", "1997-06-30"))
+
+
+# ---------------------------------------------------------------------------
+# data quality
+# ---------------------------------------------------------------------------
+
+
+def _dq_tables(spark, sf_dir):
+    raw = testdata_history(spark, sf_dir)
+    cls = classify(stage_claims(raw), currency_rates(spark))
+    weekly = weekly_state(cls)
+    monthly = monthly_state(cls)
+    return {
+        Q.SOURCE: raw,
+        Q.CLASSIFIED: cls,
+        Q.CURRENT: current_claims(cls),
+        Q.WEEKLY: weekly,
+        Q.TRANSITIONS: weekly_transitions(weekly),
+        Q.WEEKLY_METRICS: weekly_metrics(weekly),
+        Q.MONTHLY: monthly,
+        Q.MONTHLY_METRICS: monthly_metrics(monthly),
+    }
+
+
+def _dq(kinds: tuple[str, ...]):
+    def run(spark, sf_dir):
+        checks = tuple(c for c in Q.CHECKS if c.kind in kinds)
+        return Q.run_checks(_dq_tables(spark, sf_dir), checks)
+
+    return run
+
+
+
+QUERIES.update(
+    {
+        "report_calendar": q_report_calendar,
+        "surrogate_keys": q_surrogate_keys,
+        "tier_counts": q_tier_counts,
+        "period_dimension_weekly": q_period_dimension_weekly,
+        "period_dimension_monthly": q_period_dimension_monthly,
+        "hierarchy_weekly_count": q_hierarchy_weekly_count,
+        "hierarchy_monthly_value": q_hierarchy_monthly_value,
+        "review_weekly_count": q_review_weekly_count,
+        "review_monthly_value": q_review_monthly_value,
+        "review_comparison_text": q_review_comparison_text,
+        "kpi_cards": q_kpi_cards,
+        "default_range": q_default_range,
+        "filter_current": q_filter_current,
+        "filter_transitions": q_filter_transitions,
+        "filter_options": q_filter_options,
+        "title_case_headers": q_title_case_headers,
+        "csv_round_trip": q_csv_round_trip,
+        "month_pruned_read": q_month_pruned_read,
+        "dq_not_null": _dq(("not_null",)),
+        "dq_unique": _dq(("unique",)),
+        "dq_accepted": _dq(("accepted_values",)),
+        "dq_unique_combo": _dq(("unique_combination",)),
+        "dq_between": _dq(("between",)),
+        "dq_singular": _dq(("singular",)),
+    }
+)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from claimtide import schemas as S
-from claimtide.plans.oracle import with_blocks
+from claimtide.plans.oracle import _q, with_blocks
 
 _MONEY_STAGED = "CAST(value_of_trailer AS DOUBLE) AS value_of_trailer"
 
@@ -37,3 +37,303 @@ SQL = {
     "weekly_metrics": _select_star_money("wk_metrics", ["claim_value_usd"], "wk_metrics"),
     "monthly_metrics": _select_star_money("mo_metrics", ["claim_value_usd"], "mo_metrics"),
 }
+
+
+# ---------------------------------------------------------------------------
+# calendar, keys, tiers
+# ---------------------------------------------------------------------------
+
+from claimtide.plans.oracle import (  # noqa: E402
+    _thursday,
+    comparison_sql,
+    hierarchy_sql,
+    money_sql,
+    report_week_sql,
+    report_year_sql,
+    week_start_sql,
+)
+
+_DAYS = ", ".join(["snapshot_date", *(n for n, _ in S.STAGED_DATES)])
+
+SQL["report_calendar"] = with_blocks(
+    "stg",
+    f"""
+days AS (
+  SELECT DISTINCT day FROM (SELECT unnest([{_DAYS}]) AS day FROM stg) t WHERE day IS NOT NULL
+)""",
+) + (
+    f"SELECT day, {report_year_sql('day')} AS report_year, {report_week_sql('day')} AS report_week, "
+    f"{_thursday('day')} AS report_thursday, {week_start_sql('day')} AS week_start_date, "
+    f"{week_start_sql('day')} + 6 AS week_end_date FROM days"
+)
+
+SQL["surrogate_keys"] = with_blocks("cls") + "SELECT claim_number, snapshot_date, claim_snapshot_key FROM cls"
+
+SQL["tier_counts"] = with_blocks("cls") + (
+    "SELECT status, wbr_tier1, wbr_tier2, wbr_tier3, CAST(count(*) AS BIGINT) AS snapshot_count, "
+    "CAST(count(DISTINCT claim_number) AS BIGINT) AS claim_count FROM cls "
+    "GROUP BY status, wbr_tier1, wbr_tier2, wbr_tier3"
+)
+
+# ---------------------------------------------------------------------------
+# review layer
+# ---------------------------------------------------------------------------
+
+_WK = ("report_year", "report_week", "week_start_date", "week_end_date", "W", "WoW", 8)
+_MO = ("metric_year", "metric_month", "month_start_date", "month_end_date", "M", "MoM", 12)
+
+
+def _period_dim(metrics: str, g) -> str:
+    year, period, start, end, prefix = g[:5]
+    return (
+        f"SELECT DISTINCT {year}, {period}, {start}, {end}, "
+        f"printf('%d-{prefix}%02d', {year}, {period}) AS period_label FROM {metrics}"
+    )
+
+
+SQL["period_dimension_weekly"] = with_blocks("wk_metrics") + _period_dim("wk_metrics", _WK)
+SQL["period_dimension_monthly"] = with_blocks("mo_metrics") + _period_dim("mo_metrics", _MO)
+
+SQL["hierarchy_weekly_count"] = (
+    with_blocks("wk_metrics", hierarchy_sql("hier", "wk_metrics", "week_start_date", "claim_count"))
+    + "SELECT * FROM hier"
+)
+SQL["hierarchy_monthly_value"] = (
+    with_blocks("mo_metrics", hierarchy_sql("hier", "mo_metrics", "month_start_date", "claim_value_usd"))
+    + "SELECT * EXCLUDE (metric_value), CAST(metric_value AS DOUBLE) AS metric_value FROM hier"
+)
+
+
+def _review(level: str, metrics: str, g, measure: str, where: str = "TRUE") -> str:
+    """Dynamic PIVOT over the selected period labels.  DuckDB resolves a
+    dynamic PIVOT separately, so the whole derivation sits inside the PIVOT
+    source and the outer query only fills empty cells with 0."""
+    year, period, start, end, prefix, label, count = g
+    value_measure = measure == "claim_value_usd"
+    cast = "DOUBLE" if value_measure else "BIGINT"
+    blocks = [
+        f"fm AS (SELECT * FROM {metrics} WHERE {where})",
+        hierarchy_sql("h", "fm", start, measure).strip("\n"),
+        f"per AS ({_period_dim('fm', g)})",
+        f"rk AS (SELECT *, row_number() OVER (ORDER BY {start} DESC) AS rn FROM per)",
+        f"sel AS (SELECT {start}, period_label FROM rk WHERE rn <= {count})",
+        f"meta AS (SELECT DISTINCT row_key, category, sort_key FROM h WHERE {start} IN (SELECT {start} FROM sel))",
+        f"""cmp AS (
+  SELECT row_key,
+    coalesce(sum(CASE WHEN {start} = (SELECT {start} FROM rk WHERE rn = 1) THEN metric_value END), 0) AS cur,
+    coalesce(sum(CASE WHEN {start} = (SELECT {start} FROM rk WHERE rn = 2) THEN metric_value END), 0) AS prv
+  FROM h GROUP BY row_key)""",
+    ]
+    text = comparison_sql("cmp.cur", "cmp.prv", value_measure)
+    inner = with_blocks(level, *blocks) + (
+        f'SELECT meta.row_key, meta.category AS "WBR waterfall", '
+        f"CASE WHEN (SELECT count(*) FROM rk) < 2 THEN 'N/A' ELSE {text} END AS {label}, "
+        "sel.period_label, h.metric_value "
+        f"FROM meta JOIN h ON h.row_key = meta.row_key JOIN sel ON h.{start} = sel.{start} "
+        "LEFT JOIN cmp ON cmp.row_key = meta.row_key"
+    )
+    return (
+        f'SELECT "WBR waterfall", CAST(coalesce(COLUMNS(* EXCLUDE (row_key, "WBR waterfall", {label})), 0) AS {cast}), '
+        f"{label} FROM (PIVOT ({inner}) ON period_label USING sum(metric_value) "
+        f'GROUP BY row_key, "WBR waterfall", {label})'
+    )
+
+
+SQL["review_weekly_count"] = _review("wk_metrics", "wk_metrics", _WK, "claim_count")
+SQL["review_monthly_value"] = _review("mo_metrics", "mo_metrics", _MO, "claim_value_usd", "country = 'US'")
+
+SQL["review_comparison_text"] = with_blocks(
+    "wk_metrics",
+    hierarchy_sql("h", "wk_metrics", "week_start_date", "claim_value_usd").strip("\n"),
+    """per AS (
+  SELECT week_start_date, lag(week_start_date) OVER (ORDER BY week_start_date) AS prev_start
+  FROM (SELECT DISTINCT week_start_date FROM wk_metrics) d
+)""",
+    """pairs AS (
+  SELECT per.week_start_date, k.row_key FROM per
+  JOIN (SELECT DISTINCT week_start_date, row_key FROM h) k
+    ON k.week_start_date = per.week_start_date OR k.week_start_date = per.prev_start
+  WHERE per.prev_start IS NOT NULL
+  GROUP BY per.week_start_date, k.row_key
+)""",
+    """vals AS (
+  SELECT pairs.week_start_date, pairs.row_key,
+    coalesce((SELECT sum(metric_value) FROM h WHERE h.week_start_date = pairs.week_start_date
+              AND h.row_key = pairs.row_key), 0) AS cur,
+    coalesce((SELECT sum(metric_value) FROM h JOIN per ON per.week_start_date = pairs.week_start_date
+              WHERE h.week_start_date = per.prev_start AND h.row_key = pairs.row_key), 0) AS prv
+  FROM pairs
+)""",
+) + (
+    "SELECT week_start_date, row_key, CAST(cur AS DOUBLE) AS current_value, CAST(prv AS DOUBLE) AS previous_value, "
+    f"{comparison_sql('cur', 'prv', True)} AS comparison FROM vals"
+)
+
+_KPI_TIERS = [t for _l, t in S.KPI_CARDS]
+SQL["kpi_cards"] = with_blocks(
+    "wk_metrics",
+    """wk AS (
+  SELECT report_year, report_week, row_number() OVER (ORDER BY week_start_date DESC) AS rn
+  FROM (SELECT DISTINCT report_year, report_week, week_start_date FROM wk_metrics) d
+)""",
+    """tagged AS (
+  SELECT m.*, wk.rn FROM wk_metrics m JOIN wk USING (report_year, report_week) WHERE wk.rn <= 2
+)""",
+    "np AS (SELECT count(*) AS n FROM wk)",
+    """counts AS (
+  SELECT t.tier,
+    coalesce(sum(CASE WHEN rn = 1 AND wbr_tier1 = t.tier THEN claim_count END), 0) AS cur,
+    coalesce(sum(CASE WHEN rn = 2 AND wbr_tier1 = t.tier THEN claim_count END), 0) AS prv
+  FROM (VALUES """
+    + ", ".join(f"({i}, {repr(t)})" for i, t in enumerate(_KPI_TIERS))
+    + """) t(i, tier) LEFT JOIN tagged ON TRUE
+  GROUP BY t.tier
+)""",
+    """val AS (
+  SELECT coalesce(CAST(sum(CASE WHEN rn = 1 THEN claim_value_usd END) AS DOUBLE), 0.0) AS cur,
+         coalesce(CAST(sum(CASE WHEN rn = 2 THEN claim_value_usd END) AS DOUBLE), 0.0) AS prv
+  FROM tagged
+)""",
+) + (
+    "SELECT c.card, CAST(k.cur AS DOUBLE) AS value, "
+    "CASE WHEN np.n > 1 THEN CAST(k.cur - k.prv AS DOUBLE) END AS delta, "
+    "CAST(CAST(k.cur AS BIGINT) AS VARCHAR) AS value_text, "
+    "CASE WHEN np.n > 1 THEN CAST(CAST(k.cur - k.prv AS BIGINT) AS VARCHAR) END AS delta_text "
+    "FROM counts k JOIN (VALUES "
+    + ", ".join(f"({repr(lbl)}, {repr(t)})" for lbl, t in S.KPI_CARDS)
+    + ") c(card, tier) ON c.tier = k.tier CROSS JOIN np WHERE np.n > 0 "
+    f"UNION ALL SELECT {repr(S.KPI_VALUE_CARD)}, val.cur, CASE WHEN np.n > 1 THEN val.cur - val.prv END, "
+    f"{money_sql('val.cur')}, CASE WHEN np.n > 1 THEN {money_sql('val.cur - val.prv')} END "
+    "FROM val CROSS JOIN np WHERE np.n > 0"
+)
+
+SQL["default_range"] = with_blocks("all") + (
+    "SELECT 'weekly' AS grain, period_label, week_start_date AS period_start FROM ("
+    + _period_dim("wk_metrics", _WK)
+    + ") w QUALIFY row_number() OVER (ORDER BY week_start_date DESC) <= 8 "
+    "UNION ALL SELECT 'monthly', period_label, month_start_date FROM ("
+    + _period_dim("mo_metrics", _MO)
+    + ") m QUALIFY row_number() OVER (ORDER BY month_start_date DESC) <= 12"
+)
+
+# ---------------------------------------------------------------------------
+# extracts
+# ---------------------------------------------------------------------------
+
+from claimtide.functions.formatting import display_column_name  # noqa: E402
+
+_CLASSIFIED_COLS = (
+    "claim_snapshot_key", *S.STAGED_COLUMNS, "report_year", "report_week", "submitted_year", "submitted_week",
+    "closed_year", "closed_week", "wbr_tier1", "wbr_tier2", "wbr_tier3", "value_usd",
+)
+_TRANSITION_COLS = (
+    "claim_snapshot_key", "claim_number", "snapshot_date", "week_start_date", "week_end_date", "report_year",
+    "report_week", "previous_status", "current_status", "transition_type", "previous_wbr_tier1", "wbr_tier1",
+    "wbr_tier2", "wbr_tier3", "country", "carrier_name", "source", "submitted_date", "case_date_closed",
+    "previous_value_usd", "value_usd", "week_over_week_value_delta_usd",
+)
+_MONEY = {"value_of_trailer", "value_usd", "previous_value_usd", "week_over_week_value_delta_usd"}
+
+
+def _extract_select(columns, source_names=None) -> str:
+    out = []
+    for c in columns:
+        if c in ("claim_snapshot_key", "snapshot_date"):
+            continue
+        src = (source_names or {}).get(c, c)
+        expr = f"CAST({src} AS DOUBLE)" if c in _MONEY else src
+        out.append(f'{expr} AS "{display_column_name(c)}"')
+    return ", ".join(out)
+
+
+SQL["title_case_headers"] = with_blocks("cur") + f"SELECT {_extract_select(_CLASSIFIED_COLS)} FROM cur"
+SQL["csv_round_trip"] = SQL["title_case_headers"]
+SQL["filter_current"] = with_blocks("cur") + (
+    f"SELECT {_extract_select(_CLASSIFIED_COLS)} FROM cur WHERE country IN ('US') AND status IN ('Open', 'Closed') "
+    "AND carrier_name IN ('Carrier 0', 'Carrier 1') AND regexp_matches(claim_number, '(?i)clm-\\d*7')"
+)
+SQL["filter_transitions"] = with_blocks("weekly") + (
+    f"SELECT {_extract_select(_TRANSITION_COLS, {'current_status': 'status'})} FROM weekly "
+    "WHERE status_changed AND country IN ('CA') AND transition_type IN ('CLOSED_TO_OPEN', 'OPEN_TO_CLOSED') "
+    "AND regexp_matches(claim_number, '(?i)clm')"
+)
+SQL["filter_options"] = with_blocks("weekly", "cur AS (SELECT * FROM cls QUALIFY row_number() OVER "
+                                    "(PARTITION BY claim_number ORDER BY snapshot_date DESC) = 1)") + (
+    "SELECT DISTINCT dimension, value, 'current' AS table_name FROM (SELECT unnest(["
+    "{'dimension': 'country', 'value': country}, {'dimension': 'status', 'value': status}, "
+    "{'dimension': 'source', 'value': source}, {'dimension': 'carrier_name', 'value': carrier_name}], "
+    "recursive := true) FROM cur) t WHERE value IS NOT NULL "
+    "UNION ALL SELECT DISTINCT dimension, value, 'weekly_transitions' FROM (SELECT unnest(["
+    "{'dimension': 'country', 'value': country}, {'dimension': 'current_status', 'value': status}, "
+    "{'dimension': 'source', 'value': source}, {'dimension': 'carrier_name', 'value': carrier_name}, "
+    "{'dimension': 'transition_type', 'value': transition_type}], recursive := true) "
+    "FROM weekly WHERE status_changed) t WHERE value IS NOT NULL"
+)
+SQL["month_pruned_read"] = with_blocks("weekly") + (
+    "SELECT * EXCLUDE (value_of_trailer, value_usd, previous_value_usd, week_over_week_value_delta_usd), "
+    "CAST(value_of_trailer AS DOUBLE) AS value_of_trailer, CAST(value_usd AS DOUBLE) AS value_usd, "
+    "CAST(previous_value_usd AS DOUBLE) AS previous_value_usd, "
+    "CAST(week_over_week_value_delta_usd AS DOUBLE) AS week_over_week_value_delta_usd "
+    "FROM weekly WHERE week_end_date BETWEEN DATE '1996-03-15' AND DATE '1997-06-30'"
+)
+
+# ---------------------------------------------------------------------------
+# data quality
+# ---------------------------------------------------------------------------
+
+from claimtide.operators.quality import CHECKS  # noqa: E402
+
+_DQ_CTE = {
+    "source": "raw",
+    "classified": "cls",
+    "current": "cur",
+    "weekly": "weekly",
+    "weekly_transitions": "trn",
+    "weekly_metrics": "wk_metrics",
+    "monthly": "monthly",
+    "monthly_metrics": "mo_metrics",
+}
+_TRN = "trn AS (SELECT * EXCLUDE (status), status AS current_status FROM weekly WHERE status_changed)"
+
+
+def _check_sql(check) -> str:
+    t = _DQ_CTE[check.table]
+    cols = ", ".join(check.columns)
+    c = check.columns[0]
+    if check.kind == "not_null":
+        body = f"SELECT count(*) FROM {t} WHERE {c} IS NULL"
+    elif check.kind == "unique":
+        body = f"SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) x"
+    elif check.kind == "accepted_values":
+        vals = ", ".join(_q(v) for v in check.values)
+        body = f"SELECT count(*) FROM (SELECT {c} AS v FROM {t} GROUP BY {c}) x WHERE v NOT IN ({vals})"
+    elif check.kind == "unique_combination":
+        body = f"SELECT count(*) FROM (SELECT {cols} FROM {t} GROUP BY {cols} HAVING count(*) > 1) x"
+    elif check.kind == "between":
+        conds = []
+        if check.min_value is not None:
+            conds.append(f"{c} {'>' if check.strictly else '>='} {check.min_value}")
+        if check.max_value is not None:
+            conds.append(f"{c} {'<' if check.strictly else '<='} {check.max_value}")
+        body = f"SELECT count(*) FROM {t} WHERE NOT ({' AND '.join(conds)})"
+    elif check.name == "assert_all_claims_classified":
+        body = f"SELECT count(*) FROM {t} WHERE wbr_tier2 IS NULL"
+    else:
+        body = f"SELECT count(*) FROM (SELECT {cols} FROM {t} GROUP BY {cols} HAVING count(*) > 1) x"
+    return (
+        f"SELECT {_q(check.name)} AS check_name, {_q(check.table)} AS table_name, {_q(check.kind)} AS kind, "
+        f"CAST(({body}) AS BIGINT) AS failing_rows"
+    )
+
+
+def _dq_sql(kinds) -> str:
+    parts = [_check_sql(c) for c in CHECKS if c.kind in kinds]
+    return with_blocks("all", _TRN) + " UNION ALL ".join(parts)
+
+
+SQL["dq_not_null"] = _dq_sql(("not_null",))
+SQL["dq_unique"] = _dq_sql(("unique",))
+SQL["dq_accepted"] = _dq_sql(("accepted_values",))
+SQL["dq_unique_combo"] = _dq_sql(("unique_combination",))
+SQL["dq_between"] = _dq_sql(("between",))
+SQL["dq_singular"] = _dq_sql(("singular",))
