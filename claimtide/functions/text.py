@@ -8,9 +8,14 @@ from pyspark.sql import types as T
 
 from claimtide.schemas import VALUE_TYPE
 
-#: leading or trailing Unicode whitespace (the warehouse TRIM strips all of it;
-#: Spark's trim only strips the ASCII space).
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
+#: FIXED VALUES: the Unicode White_Space characters (the Unicode standard's
+#: property list).  The warehouse TRIM strips all of them; Spark's one-argument
+#: trim only strips the ASCII space.
+UNICODE_WHITESPACE = (
+    "\u0009\u000a\u000b\u000c\u000d\u0020\u0085\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 #: the warehouse's date literal form YYYY-[M]M-[D]D.  Spark's own cast also
 #: takes '2024', '2024-06' and trailing time parts; the guard rejects them.
@@ -22,8 +27,9 @@ def _col(c: Column | str) -> Column:
 
 
 def clean_text(c: Column | str) -> Column:
-    """``trim(cast(c as string))`` with Unicode whitespace stripped."""
-    return F.regexp_replace(_col(c).cast("string"), _EDGE_SPACE, "")
+    """``trim(cast(c as string))`` with Unicode whitespace stripped
+    (``trim(BOTH <white space> FROM c)``: a native string op, no regex)."""
+    return F.trim(_col(c).cast("string"), F.lit(UNICODE_WHITESPACE))
 
 
 def blank_to_null(c: Column | str) -> Column:

@@ -9,10 +9,6 @@ from claimtide import schemas as S
 from claimtide.functions.calendar import report_week, report_year
 from claimtide.functions.categories import reopened_flag, wbr_tiers
 from claimtide.functions.keys import surrogate_key
-from claimtide.session import broadcast_if_small
-
-#: a currency seed larger than this is joined without a broadcast hint.
-RATE_BROADCAST_LIMIT = 10_000
 
 
 def first_closed_dates(staged: DataFrame) -> DataFrame:
@@ -29,8 +25,8 @@ def first_closed_dates(staged: DataFrame) -> DataFrame:
     )
 
 
-def _with_closed_before(staged: DataFrame) -> DataFrame:
-    closed = first_closed_dates(staged)
+def _with_closed_before(staged: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    closed = first_closed_dates(staged if history is None else history)
     # left join back on the claim: AQE broadcasts the per-claim side when its
     # measured size allows and otherwise splits a hot claim (skew join)
     joined = staged.join(closed, "claim_number", "left")
@@ -51,16 +47,25 @@ def detect_reopened(staged: DataFrame) -> DataFrame:
 
 
 def convert_currency(staged: DataFrame, rates: DataFrame) -> DataFrame:
-    """Staged rows + rate_to_usd + value_usd (unknown currency -> rate 1)."""
-    rates = broadcast_if_small(rates.select("currency_code", "rate_to_usd"), RATE_BROADCAST_LIMIT)
+    """Staged rows + rate_to_usd + value_usd (unknown currency -> rate 1).
+
+    The seed is a few rows; Spark's size-checked auto-broadcast picks a
+    broadcast hash join for it (and a shuffle join if a seed ever grew past
+    the threshold), so no hint is forced."""
+    rates = rates.select("currency_code", "rate_to_usd")
     joined = staged.join(rates, staged["currency"] == rates["currency_code"], "left").drop("currency_code")
     rate = F.coalesce(F.col("rate_to_usd"), F.lit(1).cast(S.RATE_TYPE))
     return joined.withColumn("value_usd", F.col("value_of_trailer") * rate)
 
 
-def classify(staged: DataFrame, rates: DataFrame) -> DataFrame:
-    """The classified table: key, staged columns, report weeks, tiers, USD."""
-    flagged = convert_currency(_with_closed_before(staged), rates)
+def classify(staged: DataFrame, rates: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """The classified table: key, staged columns, report weeks, tiers, USD.
+
+    ``history`` is the full staged history the re-open flag looks back into;
+    it defaults to ``staged``.  Passing a subset of snapshots as ``staged``
+    (for example the latest per claim and week) classifies just those rows
+    exactly as the full table would."""
+    flagged = convert_currency(_with_closed_before(staged, history), rates)
     is_reopened = reopened_flag("status", F.col("_closed_before"))
     tier1, tier2, tier3 = wbr_tiers(is_reopened=is_reopened)
     return flagged.select(

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from claimtide import schemas as S
 from claimtide.functions import calendar as cal
 from claimtide.functions.categories import status_changed, transition_type, value_delta
+from claimtide.operators.classify import classify
 
 
 @dataclass(frozen=True)
@@ -106,7 +107,37 @@ def period_state(classified: DataFrame, grain: PeriodGrain) -> DataFrame:
         keys = ["claim_number", "report_year", "report_week"]
     else:
         keys = ["claim_number", grain.year, grain.period]
-    latest = _latest(observed, keys)
+    return _with_previous(_latest(observed, keys), grain)
+
+
+def latest_per_period(staged: DataFrame, grain: PeriodGrain) -> DataFrame:
+    """Latest staged snapshot per claim and period (week start / month start
+    identify the period one-to-one)."""
+    d = F.col("snapshot_date")
+    period = cal.week_start(d) if grain is WEEKLY else cal.month_start(d)
+    order = Window.partitionBy(F.col("claim_number"), period).orderBy(d.desc())
+    return staged.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") == 1).drop("_rank")
+
+
+def period_state_from_staged(staged: DataFrame, rates: DataFrame, grain: PeriodGrain) -> DataFrame:
+    """``period_state(classify(staged, rates), grain)`` planned for skew.
+
+    The latest snapshot per claim and period is picked first, on staged
+    rows, with the partial group limit thinning every task before the
+    shuffle.  Only those rows are classified (the re-open flag still looks
+    at the whole history through the per-claim first-closed dates), so the
+    join and the ``lag`` window see at most one row per claim and period."""
+    latest = classify(latest_per_period(staged, grain), rates, history=staged)
+    return _with_previous(_period_columns(latest, grain), grain)
+
+
+def current_from_staged(staged: DataFrame, rates: DataFrame) -> DataFrame:
+    """``current_claims(classify(staged, rates))``, picking first (see
+    ``period_state_from_staged``)."""
+    return classify(_latest(staged, ["claim_number"]), rates, history=staged)
+
+
+def _with_previous(latest: DataFrame, grain: PeriodGrain) -> DataFrame:
     by_claim = Window.partitionBy("claim_number").orderBy(grain.start)
     with_previous = latest.withColumns(
         {

@@ -10,14 +10,19 @@ raw history.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from claimtide.operators.classify import classify
 from claimtide.operators.periods import (
+    MONTHLY,
+    WEEKLY,
     current_claims,
+    current_from_staged,
     monthly_metrics,
     monthly_state,
+    period_state_from_staged,
     weekly_metrics,
     weekly_state,
     weekly_transitions,
@@ -28,22 +33,66 @@ from claimtide.session import ensure_checkpoint_dir
 from claimtide.sources import tables
 
 
-def build(raw: DataFrame, rates: DataFrame) -> dict[str, DataFrame]:
-    """All models as lazy DataFrames, keyed like the dashboard keys."""
-    staged = stage_claims(raw)
-    classified = classify(staged, rates)
-    weekly = weekly_state(classified)
-    monthly = monthly_state(classified)
-    return {
-        "staged": staged,
-        "classified": classified,
-        "current": current_claims(classified),
-        "weekly": weekly,
-        "weekly_transitions": weekly_transitions(weekly),
-        "weekly_metrics": weekly_metrics(weekly),
-        "monthly": monthly,
-        "monthly_metrics": monthly_metrics(monthly),
-    }
+class ModelGraph(Mapping[str, DataFrame]):
+    """The models as lazy DataFrames, keyed like the dashboard keys; each is
+    composed on first access, so asking for one mart does not analyse the
+    others.
+
+    The marts pick their latest snapshots from the staged rows before
+    classifying (``period_state_from_staged``): same rows as deriving them
+    from the classified table, but no task ever holds a hot claim's whole
+    history."""
+
+    KEYS = (
+        "staged",
+        "classified",
+        "current",
+        "weekly",
+        "weekly_transitions",
+        "weekly_metrics",
+        "monthly",
+        "monthly_metrics",
+    )
+
+    def __init__(self, raw: DataFrame, rates: DataFrame):
+        self._raw = raw
+        self._rates = rates
+        self._cache: dict[str, DataFrame] = {}
+
+    def _make(self, key: str) -> DataFrame:
+        if key == "staged":
+            return stage_claims(self._raw)
+        if key == "classified":
+            return classify(self["staged"], self._rates)
+        if key == "current":
+            return current_from_staged(self["staged"], self._rates)
+        if key == "weekly":
+            return period_state_from_staged(self["staged"], self._rates, WEEKLY)
+        if key == "monthly":
+            return period_state_from_staged(self["staged"], self._rates, MONTHLY)
+        if key == "weekly_transitions":
+            return weekly_transitions(self["weekly"])
+        if key == "weekly_metrics":
+            return weekly_metrics(self["weekly"])
+        if key == "monthly_metrics":
+            return monthly_metrics(self["monthly"])
+        raise KeyError(key)
+
+    def __getitem__(self, key: str) -> DataFrame:
+        if key not in self._cache:
+            self._cache[key] = self._make(key)
+        return self._cache[key]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.KEYS)
+
+    def __len__(self) -> int:
+        return len(self.KEYS)
+
+
+def build(raw: DataFrame, rates: DataFrame) -> ModelGraph:
+    """All models over ``raw`` (lazy, see ``ModelGraph``)."""
+    return ModelGraph(raw, rates)
 
 
 def materialize(

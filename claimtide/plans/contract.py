@@ -29,7 +29,8 @@ from claimtide.operators.periods import (
 from claimtide.operators.periods import MONTHLY, WEEKLY
 from claimtide.operators.staging import stage_claims
 from claimtide.schemas import STAGED_DATES
-from claimtide.session import broadcast_if_small, scratch_path
+from claimtide.plans.build import build
+from claimtide.session import scratch_path
 from claimtide.sources import tables
 from claimtide.sources.seeds import currency_rates
 from claimtide.sources.testdata import testdata_history
@@ -45,6 +46,11 @@ def as_doubles(df: DataFrame) -> DataFrame:
     )
 
 
+def models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The lazy model graph over the adapted test tables."""
+    return build(testdata_history(spark, sf_dir), currency_rates(spark))
+
+
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_claims(testdata_history(spark, sf_dir))
 
@@ -71,27 +77,27 @@ def q_classified(spark, sf_dir):
 
 
 def q_current_claims(spark, sf_dir):
-    return as_doubles(current_claims(classified(spark, sf_dir)))
+    return as_doubles(models(spark, sf_dir)["current"])
 
 
 def q_weekly_state(spark, sf_dir):
-    return as_doubles(weekly_state(classified(spark, sf_dir)))
+    return as_doubles(models(spark, sf_dir)["weekly"])
 
 
 def q_monthly_state(spark, sf_dir):
-    return as_doubles(monthly_state(classified(spark, sf_dir)))
+    return as_doubles(models(spark, sf_dir)["monthly"])
 
 
 def q_weekly_transitions(spark, sf_dir):
-    return as_doubles(weekly_transitions(weekly_state(classified(spark, sf_dir))))
+    return as_doubles(models(spark, sf_dir)["weekly_transitions"])
 
 
 def q_weekly_metrics(spark, sf_dir):
-    return as_doubles(weekly_metrics(weekly_state(classified(spark, sf_dir))))
+    return as_doubles(models(spark, sf_dir)["weekly_metrics"])
 
 
 def q_monthly_metrics(spark, sf_dir):
-    return as_doubles(monthly_metrics(monthly_state(classified(spark, sf_dir))))
+    return as_doubles(models(spark, sf_dir)["monthly_metrics"])
 
 
 QUERIES = {
@@ -152,11 +158,11 @@ def q_tier_counts(spark, sf_dir):
 
 
 def _weekly_metrics(spark, sf_dir):
-    return weekly_metrics(weekly_state(classified(spark, sf_dir)))
+    return models(spark, sf_dir)["weekly_metrics"]
 
 
 def _monthly_metrics(spark, sf_dir):
-    return monthly_metrics(monthly_state(classified(spark, sf_dir)))
+    return models(spark, sf_dir)["monthly_metrics"]
 
 
 def q_period_dimension_weekly(spark, sf_dir):
@@ -200,7 +206,6 @@ def q_review_comparison_text(spark, sf_dir):
         F.lead("week_start_date").over(Window.orderBy("week_start_date")).alias("next_start"),
         F.lag("week_start_date").over(Window.orderBy("week_start_date")).isNotNull().alias("has_previous"),
     )
-    nxt = broadcast_if_small(nxt, 100_000)
     values = hierarchy.select("week_start_date", "row_key", "metric_value").join(nxt, "week_start_date")
     value_type = values.schema["metric_value"].dataType
     # each row counts as "current" in its own period (if that period has a
@@ -260,11 +265,11 @@ TRANSITION_FILTER = dict(country=["CA"], transition_type=["CLOSED_TO_OPEN", "OPE
 
 
 def _current(spark, sf_dir):
-    return current_claims(classified(spark, sf_dir))
+    return models(spark, sf_dir)["current"]
 
 
 def _transitions(spark, sf_dir):
-    return weekly_transitions(weekly_state(classified(spark, sf_dir)))
+    return models(spark, sf_dir)["weekly_transitions"]
 
 
 def q_filter_current(spark, sf_dir):
@@ -298,7 +303,7 @@ def q_csv_round_trip(spark, sf_dir):
 def q_month_pruned_read(spark, sf_dir):
     """Weekly mart written month-partitioned, read back for one date range
     (partition pruning on the month + pushed filter on the date)."""
-    weekly = weekly_state(classified(spark, sf_dir))
+    weekly = models(spark, sf_dir)["weekly"]
     path = scratch_path(spark, "mart_claims_weekly")
     tables.write_partitioned(weekly, path, "week_end_date", ["claim_number", "report_year", "report_week", "status"])
     return as_doubles(tables.read_month_range(spark, path, "week_end_date", "1996-03-15", "1997-06-30"))
@@ -311,19 +316,10 @@ def q_month_pruned_read(spark, sf_dir):
 
 def _dq_tables(spark, sf_dir):
     raw = testdata_history(spark, sf_dir)
-    cls = classify(stage_claims(raw), currency_rates(spark))
-    weekly = weekly_state(cls)
-    monthly = monthly_state(cls)
-    return {
-        Q.SOURCE: raw,
-        Q.CLASSIFIED: cls,
-        Q.CURRENT: current_claims(cls),
-        Q.WEEKLY: weekly,
-        Q.TRANSITIONS: weekly_transitions(weekly),
-        Q.WEEKLY_METRICS: weekly_metrics(weekly),
-        Q.MONTHLY: monthly,
-        Q.MONTHLY_METRICS: monthly_metrics(monthly),
-    }
+    graph = build(raw, currency_rates(spark))
+    tables_ = {key: graph[key] for key in graph if key != "staged"}
+    tables_[Q.SOURCE] = raw
+    return tables_
 
 
 def _dq(kinds: tuple[str, ...]):

@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from claimtide import schemas as S
 from claimtide.schemas import RAW_COLUMNS
-from claimtide.session import broadcast_if_small
 
 _DAY = "yyyy-MM-dd"
 
@@ -62,7 +61,7 @@ def testdata_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = _table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey")
     )
-    nation = broadcast_if_small(_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"), 1000)
+    nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     part = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_name")
 
     joined = (
