@@ -29,10 +29,15 @@ from claimtide.operators.periods import (
 )
 from claimtide.operators.staging import stage_claims
 from claimtide.schemas import MART_TABLES
+from claimtide.sources.tables import INTERMEDIATE, MARTS
 from claimtide.session import ensure_checkpoint_dir
 from claimtide.sources import tables
 
 
+STAGED_VIEW = "stg_insurance_claims"
+CLASSIFIED_TABLE = "int_claims_classified"
+
+
 class ModelGraph(Mapping[str, DataFrame]):
     """The models as lazy DataFrames, keyed like the dashboard keys; each is
     composed on first access, so asking for one mart does not analyse the
@@ -95,6 +100,15 @@ def build(raw: DataFrame, rates: DataFrame) -> ModelGraph:
     return ModelGraph(raw, rates)
 
 
+def register_views(spark: SparkSession, graph: Mapping[str, DataFrame]) -> dict[str, str]:
+    """Temp views for SQL users: the staged view, the classified table and
+    the six marts under their table names (views stay lazy)."""
+    names = {"staged": STAGED_VIEW, "classified": CLASSIFIED_TABLE, **dict(MART_TABLES)}
+    for key, name in names.items():
+        graph[key].createOrReplaceTempView(name)
+    return names
+
+
 def materialize(
     spark: SparkSession,
     raw: DataFrame,
@@ -102,20 +116,23 @@ def materialize(
     base_dir: str | None = None,
 ) -> dict[str, str]:
     """Write classified and the six marts under ``base_dir`` (default: the
-    session's ``spark.checkpoint.dir``); returns name -> path.
+    session's ``spark.checkpoint.dir``), one folder per layer
+    (``intermediate/``, ``marts/``); returns table name -> path.
 
     Order follows the model graph; every consumer reads its parent back from
     storage (full refresh, overwrite)."""
     base = base_dir or ensure_checkpoint_dir(spark)
     paths: dict[str, str] = {}
 
-    def path(name: str) -> str:
-        paths[name] = os.path.join(base, name)
+    def path(name: str, layer: str = MARTS) -> str:
+        paths[name] = tables.layer_path(base, layer, name)
         return paths[name]
 
     classified = classify(stage_claims(raw), rates)
-    tables.write_partitioned(classified, path("int_claims_classified"), "snapshot_date", ["claim_number", "status"])
-    classified = tables.read_table(spark, paths["int_claims_classified"])
+    tables.write_partitioned(
+        classified, path(CLASSIFIED_TABLE, INTERMEDIATE), "snapshot_date", ["claim_number", "status"]
+    )
+    classified = tables.read_table(spark, paths[CLASSIFIED_TABLE])
 
     names = dict(MART_TABLES)
     tables.write_clustered(

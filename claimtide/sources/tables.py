@@ -11,6 +11,9 @@ from claimtide.schemas import MART_TABLES
 #: hidden partition column holding the first day of the partition month.
 MONTH_PARTITION = "partition_month"
 
+#: layer folders (the source project's schema per layer)
+STAGING, INTERMEDIATE, MARTS = "staging", "intermediate", "marts"
+
 #: bound on rows per written file, so a hot month still splits into files.
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -78,12 +81,16 @@ def read_month_range(spark: SparkSession, path: str, date_column: str, start, en
     return df.drop(MONTH_PARTITION)
 
 
+def layer_path(base_dir: str, layer: str, table: str) -> str:
+    return f"{base_dir.rstrip('/')}/{layer}/{table}"
+
+
 def read_mart(spark: SparkSession, base_dir: str, table: str) -> DataFrame:
     """``select *`` of one of the six marts by its table name."""
     names = {name for _key, name in MART_TABLES}
     if table not in names:
         raise ValueError(f"Unexpected mart table: {table!r}")
-    return read_table(spark, f"{base_dir.rstrip('/')}/{table}")
+    return read_table(spark, layer_path(base_dir, MARTS, table))
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:

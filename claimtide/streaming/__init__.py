@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The source project has no streaming operators: its history is append-only,
+but every model is rebuilt in full (see README, "Not built").  New snapshot
+days are handled by re-running ``claimtide.plans.build.materialize``.
+"""
