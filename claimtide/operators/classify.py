@@ -9,6 +9,10 @@ from claimtide import schemas as S
 from claimtide.functions.calendar import report_week, report_year
 from claimtide.functions.categories import reopened_flag, wbr_tiers
 from claimtide.functions.keys import surrogate_key
+from claimtide.session import broadcast_if_small
+
+#: currency seeds up to this many rows are broadcast (checked by counting).
+RATE_BROADCAST_LIMIT = 10_000
 
 
 def first_closed_dates(staged: DataFrame) -> DataFrame:
@@ -49,10 +53,11 @@ def detect_reopened(staged: DataFrame) -> DataFrame:
 def convert_currency(staged: DataFrame, rates: DataFrame) -> DataFrame:
     """Staged rows + rate_to_usd + value_usd (unknown currency -> rate 1).
 
-    The seed is a few rows; Spark's size-checked auto-broadcast picks a
-    broadcast hash join for it (and a shuffle join if a seed ever grew past
-    the threshold), so no hint is forced."""
-    rates = rates.select("currency_code", "rate_to_usd")
+    The seed is broadcast once its row count is proven small: a seed built
+    in Python has no size statistics, and a shuffle join would move the
+    whole history by currency, a key with a handful of values.  A seed past
+    the limit falls back to a planner-chosen join."""
+    rates = broadcast_if_small(rates.select("currency_code", "rate_to_usd"), RATE_BROADCAST_LIMIT)
     joined = staged.join(rates, staged["currency"] == rates["currency_code"], "left").drop("currency_code")
     rate = F.coalesce(F.col("rate_to_usd"), F.lit(1).cast(S.RATE_TYPE))
     return joined.withColumn("value_usd", F.col("value_of_trailer") * rate)

@@ -9,8 +9,8 @@ raw history.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -114,53 +114,67 @@ def materialize(
     raw: DataFrame,
     rates: DataFrame,
     base_dir: str | None = None,
+    parallel: bool = True,
 ) -> dict[str, str]:
     """Write classified and the six marts under ``base_dir`` (default: the
     session's ``spark.checkpoint.dir``), one folder per layer
     (``intermediate/``, ``marts/``); returns table name -> path.
 
     Order follows the model graph; every consumer reads its parent back from
-    storage (full refresh, overwrite)."""
+    storage (full refresh, overwrite).  After the classified table the three
+    branches (current; weekly -> transitions, metrics; monthly -> metrics)
+    are independent and, with ``parallel``, run as concurrent Spark jobs
+    from driver threads, so one branch's stragglers do not idle the
+    cluster."""
     base = base_dir or ensure_checkpoint_dir(spark)
-    paths: dict[str, str] = {}
-
-    def path(name: str, layer: str = MARTS) -> str:
-        paths[name] = tables.layer_path(base, layer, name)
-        return paths[name]
-
-    classified = classify(stage_claims(raw), rates)
-    tables.write_partitioned(
-        classified, path(CLASSIFIED_TABLE, INTERMEDIATE), "snapshot_date", ["claim_number", "status"]
-    )
-    classified = tables.read_table(spark, paths[CLASSIFIED_TABLE])
-
     names = dict(MART_TABLES)
-    tables.write_clustered(
-        current_claims(classified), path(names["current"]), ["claim_number", "status", "wbr_tier1"]
-    )
+    paths = {CLASSIFIED_TABLE: tables.layer_path(base, INTERMEDIATE, CLASSIFIED_TABLE)}
+    paths.update({name: tables.layer_path(base, MARTS, name) for name in names.values()})
 
-    weekly = weekly_state(classified)
-    tables.write_partitioned(
-        weekly, path(names["weekly"]), "week_end_date", ["claim_number", "report_year", "report_week", "status"]
-    )
-    weekly = tables.read_table(spark, paths[names["weekly"]])
-    tables.write_partitioned(
-        weekly_transitions(weekly), path(names["weekly_transitions"]), "week_end_date",
-        ["claim_number", "transition_type"],
-    )
     tables.write_partitioned(
-        weekly_metrics(weekly), path(names["weekly_metrics"]), "week_end_date",
-        ["report_year", "report_week", "wbr_tier1", "status"],
+        classify(stage_claims(raw), rates), paths[CLASSIFIED_TABLE], "snapshot_date", ["claim_number", "status"]
     )
 
-    monthly = monthly_state(classified)
-    tables.write_partitioned(
-        monthly, path(names["monthly"]), "month_end_date",
-        ["claim_number", "metric_year", "metric_month", "status"],
-    )
-    monthly = tables.read_table(spark, paths[names["monthly"]])
-    tables.write_partitioned(
-        monthly_metrics(monthly), path(names["monthly_metrics"]), "month_end_date",
-        ["metric_year", "metric_month", "wbr_tier1", "status"],
-    )
+    def classified() -> DataFrame:
+        return tables.read_table(spark, paths[CLASSIFIED_TABLE])
+
+    def current_branch() -> None:
+        tables.write_clustered(
+            current_claims(classified()), paths[names["current"]], ["claim_number", "status", "wbr_tier1"]
+        )
+
+    def weekly_branch() -> None:
+        tables.write_partitioned(
+            weekly_state(classified()), paths[names["weekly"]], "week_end_date",
+            ["claim_number", "report_year", "report_week", "status"],
+        )
+        weekly = tables.read_table(spark, paths[names["weekly"]])
+        tables.write_partitioned(
+            weekly_transitions(weekly), paths[names["weekly_transitions"]], "week_end_date",
+            ["claim_number", "transition_type"],
+        )
+        tables.write_partitioned(
+            weekly_metrics(weekly), paths[names["weekly_metrics"]], "week_end_date",
+            ["report_year", "report_week", "wbr_tier1", "status"],
+        )
+
+    def monthly_branch() -> None:
+        tables.write_partitioned(
+            monthly_state(classified()), paths[names["monthly"]], "month_end_date",
+            ["claim_number", "metric_year", "metric_month", "status"],
+        )
+        monthly = tables.read_table(spark, paths[names["monthly"]])
+        tables.write_partitioned(
+            monthly_metrics(monthly), paths[names["monthly_metrics"]], "month_end_date",
+            ["metric_year", "metric_month", "wbr_tier1", "status"],
+        )
+
+    branches = (weekly_branch, monthly_branch, current_branch)
+    if parallel:
+        with ThreadPoolExecutor(max_workers=len(branches)) as pool:
+            for future in [pool.submit(b) for b in branches]:
+                future.result()
+    else:
+        for branch in branches:
+            branch()
     return paths

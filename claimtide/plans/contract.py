@@ -8,6 +8,8 @@ returned as DOUBLE, like the oracle does.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -193,6 +195,38 @@ def q_review_monthly_value(spark, sf_dir):
     return as_doubles(result.pivot)
 
 
+def q_review_monthly_count(spark, sf_dir):
+    """Monthly review as it opens: no filters, last 12 months, claim count."""
+    return R.period_review(_monthly_metrics(spark, sf_dir), MONTHLY, "claim_count").pivot
+
+
+REVIEW_RANGE = (date(1996, 1, 1), date(1996, 3, 31))
+
+
+def q_review_weekly_range(spark, sf_dir):
+    """Weekly review for two providers and two carriers over an explicit
+    date range (claim value); the WoW comparison period may lie before the
+    range and its rows appear with zero cells."""
+    result = R.period_review(
+        _weekly_metrics(spark, sf_dir),
+        WEEKLY,
+        "claim_value_usd",
+        sources=["Provider F", "Provider O"],
+        carriers=["Carrier 1", "Carrier 2"],
+        date_range=REVIEW_RANGE,
+    )
+    return as_doubles(result.pivot)
+
+
+ONE_WEEK = (date(1996, 3, 31), date(1996, 4, 6))
+
+
+def q_review_one_week(spark, sf_dir):
+    """One selected week (claim count): its WoW comparison week lies outside
+    the selection, so rows present only in that week appear with a 0 cell."""
+    return R.period_review(_weekly_metrics(spark, sf_dir), WEEKLY, "claim_count", date_range=ONE_WEEK).pivot
+
+
 def q_review_comparison_text(spark, sf_dir):
     """Comparison text of every waterfall row for every weekly period against
     its previous available period (claim value)."""
@@ -342,6 +376,9 @@ QUERIES.update(
         "hierarchy_monthly_value": q_hierarchy_monthly_value,
         "review_weekly_count": q_review_weekly_count,
         "review_monthly_value": q_review_monthly_value,
+        "review_monthly_count": q_review_monthly_count,
+        "review_weekly_range": q_review_weekly_range,
+        "review_one_week": q_review_one_week,
         "review_comparison_text": q_review_comparison_text,
         "kpi_cards": q_kpi_cards,
         "default_range": q_default_range,

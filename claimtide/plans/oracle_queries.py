@@ -104,33 +104,45 @@ SQL["hierarchy_monthly_value"] = (
 )
 
 
-def _review(level: str, metrics: str, g, measure: str, where: str = "TRUE") -> str:
+def _review(level: str, metrics: str, g, measure: str, where: str = "TRUE", date_range=None) -> str:
     """Dynamic PIVOT over the selected period labels.  DuckDB resolves a
     dynamic PIVOT separately, so the whole derivation sits inside the PIVOT
-    source and the outer query only fills empty cells with 0."""
+    source and the outer query only fills empty cells with 0.  Rows seen only
+    in the comparison period (outside the selection) get all-zero cells."""
     year, period, start, end, prefix, label, count = g
     value_measure = measure == "claim_value_usd"
     cast = "DOUBLE" if value_measure else "BIGINT"
+    if date_range:
+        chosen = f"{start} BETWEEN DATE '{date_range[0]}' AND DATE '{date_range[1]}'"
+    else:
+        chosen = f"rn <= {count}"
     blocks = [
         f"fm AS (SELECT * FROM {metrics} WHERE {where})",
         hierarchy_sql("h", "fm", start, measure).strip("\n"),
         f"per AS ({_period_dim('fm', g)})",
         f"rk AS (SELECT *, row_number() OVER (ORDER BY {start} DESC) AS rn FROM per)",
-        f"sel AS (SELECT {start}, period_label FROM rk WHERE rn <= {count})",
-        f"meta AS (SELECT DISTINCT row_key, category, sort_key FROM h WHERE {start} IN (SELECT {start} FROM sel))",
+        f"sel AS (SELECT {start}, period_label FROM rk WHERE {chosen})",
+        f"lst AS (SELECT max({start}) AS s FROM sel)",
+        f"prv AS (SELECT max({start}) AS s FROM per WHERE {start} < (SELECT s FROM lst))",
+        f"""meta AS (
+  SELECT DISTINCT row_key, category, sort_key FROM h
+  WHERE {start} IN (SELECT {start} FROM sel) OR {start} = (SELECT s FROM prv))""",
         f"""cmp AS (
   SELECT row_key,
-    coalesce(sum(CASE WHEN {start} = (SELECT {start} FROM rk WHERE rn = 1) THEN metric_value END), 0) AS cur,
-    coalesce(sum(CASE WHEN {start} = (SELECT {start} FROM rk WHERE rn = 2) THEN metric_value END), 0) AS prv
+    coalesce(sum(CASE WHEN {start} = (SELECT s FROM lst) THEN metric_value END), 0) AS cur,
+    coalesce(sum(CASE WHEN {start} = (SELECT s FROM prv) THEN metric_value END), 0) AS prv
   FROM h GROUP BY row_key)""",
+        f"""cells AS (
+  SELECT meta.row_key, hs.period_label, hs.metric_value FROM meta
+  LEFT JOIN (SELECT h.row_key, sel.period_label, h.metric_value FROM h JOIN sel ON h.{start} = sel.{start}) hs
+    ON hs.row_key = meta.row_key)""",
     ]
     text = comparison_sql("cmp.cur", "cmp.prv", value_measure)
     inner = with_blocks(level, *blocks) + (
-        f'SELECT meta.row_key, meta.category AS "WBR waterfall", '
-        f"CASE WHEN (SELECT count(*) FROM rk) < 2 THEN 'N/A' ELSE {text} END AS {label}, "
-        "sel.period_label, h.metric_value "
-        f"FROM meta JOIN h ON h.row_key = meta.row_key JOIN sel ON h.{start} = sel.{start} "
-        "LEFT JOIN cmp ON cmp.row_key = meta.row_key"
+        f'SELECT cells.row_key, meta.category AS "WBR waterfall", '
+        f"CASE WHEN (SELECT s FROM prv) IS NULL THEN 'N/A' ELSE {text} END AS {label}, "
+        "coalesce(cells.period_label, (SELECT min(period_label) FROM sel)) AS period_label, cells.metric_value "
+        "FROM cells JOIN meta ON meta.row_key = cells.row_key LEFT JOIN cmp ON cmp.row_key = cells.row_key"
     )
     return (
         f'SELECT "WBR waterfall", CAST(coalesce(COLUMNS(* EXCLUDE (row_key, "WBR waterfall", {label})), 0) AS {cast}), '
@@ -141,6 +153,13 @@ def _review(level: str, metrics: str, g, measure: str, where: str = "TRUE") -> s
 
 SQL["review_weekly_count"] = _review("wk_metrics", "wk_metrics", _WK, "claim_count")
 SQL["review_monthly_value"] = _review("mo_metrics", "mo_metrics", _MO, "claim_value_usd", "country = 'US'")
+SQL["review_monthly_count"] = _review("mo_metrics", "mo_metrics", _MO, "claim_count")
+SQL["review_weekly_range"] = _review(
+    "wk_metrics", "wk_metrics", _WK, "claim_value_usd",
+    "source IN ('Provider F', 'Provider O') AND carrier_name IN ('Carrier 1', 'Carrier 2')",
+    ("1996-01-01", "1996-03-31"),
+)
+SQL["review_one_week"] = _review("wk_metrics", "wk_metrics", _WK, "claim_count", "TRUE", ("1996-03-31", "1996-04-06"))
 
 SQL["review_comparison_text"] = with_blocks(
     "wk_metrics",
