@@ -12,17 +12,27 @@ from pyspark.sql import functions as F
 #: rows above which a "small" side is no longer broadcast explicitly.
 BROADCAST_ROW_LIMIT = 10_000
 
+#: session settings the operators are planned for (cluster and local alike):
+#: AQE re-plans joins from measured sizes, splits skewed join and rebalance
+#: partitions and merges small ones; partition sizes are targets per task.
+RECOMMENDED_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "claimtide") -> SparkSession:
     """A local session for tests and benchmarks (UI off, AQE on, UTC)."""
+    builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    for key, value in RECOMMENDED_CONF.items():
+        builder = builder.config(key, value)
     builder = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
+        builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("CLAIMTIDE_DRIVER_MEMORY", "8g"))
