@@ -14,6 +14,9 @@ def stage_claims(raw: DataFrame) -> DataFrame:
     snapshot date.  A narrow projection + filter: no shuffle, and the null
     checks reach the Parquet scan."""
     types = {f.name: f.dataType for f in raw.schema.fields}
+    # same rows as the key filter below, stated on the raw columns so that the
+    # scan gets IsNotNull filters (Parquet skips all-null row groups)
+    raw = raw.where(F.col("claim_number").isNotNull() & F.col("snapshot_date").isNotNull())
     claim = clean_text("claim_number")
     snapshot = safe_date("snapshot_date", types.get("snapshot_date"))
     staged = raw.select(
