@@ -20,18 +20,10 @@ from claimtide.operators import extracts as X
 from claimtide.operators import quality as Q
 from claimtide.operators import review as R
 from claimtide.operators.classify import classify, convert_currency, detect_reopened
-from claimtide.operators.periods import (
-    current_claims,
-    monthly_metrics,
-    monthly_state,
-    weekly_metrics,
-    weekly_state,
-    weekly_transitions,
-)
 from claimtide.operators.periods import MONTHLY, WEEKLY
 from claimtide.operators.staging import stage_claims
+from claimtide.plans.build import ModelGraph, build
 from claimtide.schemas import STAGED_DATES
-from claimtide.plans.build import build
 from claimtide.session import scratch_path
 from claimtide.sources import tables
 from claimtide.sources.seeds import currency_rates
@@ -48,7 +40,7 @@ def as_doubles(df: DataFrame) -> DataFrame:
     )
 
 
-def models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def models(spark: SparkSession, sf_dir: str) -> ModelGraph:
     """The lazy model graph over the adapted test tables."""
     return build(testdata_history(spark, sf_dir), currency_rates(spark))
 
