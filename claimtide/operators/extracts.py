@@ -89,3 +89,13 @@ def transitions_extract(transitions: DataFrame, **filters) -> DataFrame:
     """Transitions extract, newest report week first."""
     filtered = filter_transitions(transitions, **filters).orderBy(F.col("week_end_date").desc())
     return title_case_columns(drop_hidden(filtered))
+
+
+def matching_caption(df: DataFrame, noun: str) -> str:
+    """``"1,234 matching <noun>"`` for a filtered extract (one count job)."""
+    return f"{df.count():,} matching {noun}"
+
+
+def has_rows(df: DataFrame) -> bool:
+    """Emptiness guard without counting everything (stops at the first row)."""
+    return not df.isEmpty()

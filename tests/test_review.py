@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from claimtide.functions.formatting import comparison_text, display_column_name, money
 from claimtide.operators import review as R
-from claimtide.operators.extracts import claims_extract, filter_options, transitions_extract
+from claimtide.operators.extracts import (
+    claims_extract,
+    filter_options,
+    has_rows,
+    matching_caption,
+    transitions_extract,
+)
 from claimtide.operators.periods import WEEKLY
 from claimtide.sources.demo import demo_marts
 
@@ -98,3 +104,10 @@ def test_headers_and_extracts(spark):
     assert [r["Current Status"] for r in tr.collect()] == ["Open"]
     opts = {(r.dimension, r.value) for r in filter_options(marts["current"], ("status", "country")).collect()}
     assert opts == {("status", "Closed"), ("status", "Open"), ("country", "US")}
+
+
+def test_captions_and_emptiness(spark):
+    marts = demo_marts(spark)
+    assert matching_caption(claims_extract(marts["current"]), "current claims") == "2 matching current claims"
+    assert has_rows(marts["weekly_transitions"])
+    assert not has_rows(claims_extract(marts["current"], country=["CA"]))
