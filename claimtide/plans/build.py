@@ -20,6 +20,7 @@ from claimtide.operators.periods import (
     WEEKLY,
     current_claims,
     current_from_staged,
+    latest_per_segment,
     monthly_metrics,
     monthly_state,
     period_state_from_staged,
@@ -36,6 +37,9 @@ from claimtide.sources import tables
 
 STAGED_VIEW = "stg_insurance_claims"
 CLASSIFIED_TABLE = "int_claims_classified"
+#: latest classified snapshot per claim, week and month (shared by the
+#: weekly and monthly marts in ``materialize``)
+SEGMENT_TABLE = "int_claims_period_latest"
 
 
 class ModelGraph(Mapping[str, DataFrame]):
@@ -122,7 +126,10 @@ def materialize(
     (``intermediate/``, ``marts/``); returns table name -> path.
 
     Order follows the model graph; every consumer reads its parent back from
-    storage (full refresh, overwrite).  After the classified table the three
+    storage (full refresh, overwrite).  The weekly and monthly marts read a
+    shared intermediate, the latest snapshot per claim, week and month, so
+    the full classified table is scanned and thinned once for both.  After
+    that the three
     branches (current; weekly -> transitions, metrics; monthly -> metrics)
     are independent and, with ``parallel``, run as concurrent Spark jobs
     from driver threads, so one branch's stragglers do not idle the
@@ -134,7 +141,10 @@ def materialize(
     their lineage is still a single job over a stored table."""
     base = base_dir or ensure_checkpoint_dir(spark)
     names = dict(MART_TABLES)
-    paths = {CLASSIFIED_TABLE: tables.layer_path(base, INTERMEDIATE, CLASSIFIED_TABLE)}
+    paths = {
+        CLASSIFIED_TABLE: tables.layer_path(base, INTERMEDIATE, CLASSIFIED_TABLE),
+        SEGMENT_TABLE: tables.layer_path(base, INTERMEDIATE, SEGMENT_TABLE),
+    }
     paths.update({name: tables.layer_path(base, MARTS, name) for name in names.values()})
 
     def classified_branch() -> None:
@@ -145,6 +155,17 @@ def materialize(
     def classified() -> DataFrame:
         return tables.read_table(spark, paths[CLASSIFIED_TABLE])
 
+    def segments_step() -> None:
+        """Latest per (claim, week, month) of the written classified table:
+        the full history is thinned once for both the weekly and the
+        monthly mart."""
+        tables.write_partitioned(
+            latest_per_segment(classified()), paths[SEGMENT_TABLE], "snapshot_date", ["claim_number"]
+        )
+
+    def segments() -> DataFrame:
+        return tables.read_table(spark, paths[SEGMENT_TABLE])
+
     staged = stage_claims(raw)
 
     def current_df() -> DataFrame:
@@ -153,12 +174,12 @@ def materialize(
     def weekly_df() -> DataFrame:
         if marts_from_history:
             return period_state_from_staged(staged, rates, WEEKLY)
-        return weekly_state(classified())
+        return weekly_state(segments())
 
     def monthly_df() -> DataFrame:
         if marts_from_history:
             return period_state_from_staged(staged, rates, MONTHLY)
-        return monthly_state(classified())
+        return monthly_state(segments())
 
     def current_branch() -> None:
         tables.write_clustered(current_df(), paths[names["current"]], ["claim_number", "status", "wbr_tier1"])
@@ -194,6 +215,7 @@ def materialize(
         branches = (classified_branch, *branches)
     else:
         classified_branch()
+        segments_step()
     if parallel:
         with ThreadPoolExecutor(max_workers=len(branches)) as pool:
             for future in [pool.submit(b) for b in branches]:

@@ -17,6 +17,7 @@ from claimtide.operators.periods import (
     WEEKLY,
     current_claims,
     current_from_staged,
+    latest_per_segment,
     monthly_state,
     period_state_from_staged,
     weekly_state,
@@ -72,6 +73,8 @@ def test_planned_marts_equal_direct(spark, rows):
         (period_state_from_staged(staged, rates, WEEKLY), weekly_state(cls)),
         (period_state_from_staged(staged, rates, MONTHLY), monthly_state(cls)),
         (current_from_staged(staged, rates), current_claims(cls)),
+        (weekly_state(latest_per_segment(cls)), weekly_state(cls)),
+        (monthly_state(latest_per_segment(cls)), monthly_state(cls)),
     )
     for planned, direct in pairs:
         assert planned.columns == direct.columns

@@ -41,7 +41,9 @@ def test_materialize_matches_lazy_graph(spark):
         written = tables.read_mart(spark, base, name)
         assert sorted(written.columns) == sorted(graph[key].columns), name
         assert written.count() == graph[key].count(), name
-    assert set(paths) == {name for _k, name in MART_TABLES} | {"int_claims_classified"}
+    assert set(paths) == {name for _k, name in MART_TABLES} | {"int_claims_classified", "int_claims_period_latest"}
+    segments = tables.read_table(spark, paths["int_claims_period_latest"]).count()
+    assert segments < tables.read_table(spark, paths["int_claims_classified"]).count()
     with pytest.raises(ValueError):
         tables.read_mart(spark, base, "not_a_mart")
 
