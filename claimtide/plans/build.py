@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from claimtide.operators.classify import classify
@@ -120,6 +121,7 @@ def materialize(
     base_dir: str | None = None,
     parallel: bool = True,
     marts_from_history: bool = False,
+    shared_thinning: str = "persist",
 ) -> dict[str, str]:
     """Write classified and the six marts under ``base_dir`` (default: the
     session's ``spark.checkpoint.dir``), one folder per layer
@@ -128,7 +130,10 @@ def materialize(
     Order follows the model graph; every consumer reads its parent back from
     storage (full refresh, overwrite).  The weekly and monthly marts read a
     shared intermediate, the latest snapshot per claim, week and month, so
-    the full classified table is scanned and thinned once for both.  After
+    the full classified table is scanned and thinned once for both.
+    ``shared_thinning`` keeps it ``"persist"`` (MEMORY_AND_DISK; lost blocks
+    are recomputed from the written classified table), ``"write"`` (a table
+    in ``intermediate/``, for very large histories) or ``"none"``.  After
     that the three
     branches (current; weekly -> transitions, metrics; monthly -> metrics)
     are independent and, with ``parallel``, run as concurrent Spark jobs
@@ -155,16 +160,27 @@ def materialize(
     def classified() -> DataFrame:
         return tables.read_table(spark, paths[CLASSIFIED_TABLE])
 
+    cached: list[DataFrame] = []
+
     def segments_step() -> None:
         """Latest per (claim, week, month) of the written classified table:
         the full history is thinned once for both the weekly and the
         monthly mart."""
-        tables.write_partitioned(
-            latest_per_segment(classified()), paths[SEGMENT_TABLE], "snapshot_date", ["claim_number"]
-        )
+        if shared_thinning == "write":
+            tables.write_partitioned(
+                latest_per_segment(classified()), paths[SEGMENT_TABLE], "snapshot_date", ["claim_number"]
+            )
+        elif shared_thinning == "persist":
+            df = latest_per_segment(classified()).persist(StorageLevel.MEMORY_AND_DISK)
+            df.count()
+            cached.append(df)
 
     def segments() -> DataFrame:
-        return tables.read_table(spark, paths[SEGMENT_TABLE])
+        if shared_thinning == "write":
+            return tables.read_table(spark, paths[SEGMENT_TABLE])
+        if shared_thinning == "persist":
+            return cached[0]
+        return classified()
 
     staged = stage_claims(raw)
 
@@ -223,4 +239,8 @@ def materialize(
     else:
         for branch in branches:
             branch()
+    for df in cached:
+        df.unpersist()
+    if shared_thinning != "write":
+        paths.pop(SEGMENT_TABLE)
     return paths

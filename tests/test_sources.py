@@ -35,7 +35,7 @@ def test_materialize_matches_lazy_graph(spark):
     raw = read_history(spark, raw_path)
     rates = currency_rates(spark)
     base = scratch_path(spark, "warehouse")
-    paths = materialize(spark, raw, rates, base)
+    paths = materialize(spark, raw, rates, base, shared_thinning="write")
     graph = build(raw, rates)
     for key, name in MART_TABLES:
         written = tables.read_mart(spark, base, name)
@@ -54,12 +54,13 @@ def test_materialize_matches_lazy_graph(spark):
     expected = graph["weekly"].where("week_end_date between date'1996-03-15' and date'1997-06-30'").count()
     assert pruned.count() == expected
 
-    other = scratch_path(spark, "warehouse_from_history")
-    materialize(spark, raw, rates, other, marts_from_history=True)
-    for _key, name in MART_TABLES:
-        a = tables.read_mart(spark, base, name)
-        b = tables.read_mart(spark, other, name).select(*a.columns)
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+    for options in ({"marts_from_history": True}, {"shared_thinning": "persist"}, {"shared_thinning": "none"}):
+        other = scratch_path(spark, "warehouse_variant")
+        materialize(spark, raw, rates, other, **options)
+        for _key, name in MART_TABLES:
+            a = tables.read_mart(spark, base, name)
+            b = tables.read_mart(spark, other, name).select(*a.columns)
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, (name, options)
 
     names = register_views(spark, graph)
     assert spark.sql(f"SELECT count(*) FROM {names['weekly_metrics']}").first()[0] == graph["weekly_metrics"].count()
