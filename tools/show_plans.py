@@ -9,6 +9,8 @@ history written as Parquet and the marts written by ``materialize``.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
@@ -30,7 +32,14 @@ from claimtide.sources.testdata import testdata_history  # noqa: E402
 PUSHED = re.compile(r"PushedFilters: \[([^\]]*)\]")
 
 
-def summary(plan: str) -> str:
+def formatted(df) -> str:
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
+def summary(plan: str, formatted_plan: str) -> str:
     exchanges = len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange RoundRobin|Exchange SinglePartition|Exchange REBALANCE|ShuffleQueryStage", plan))
     return (
         f"shuffles={len(re.findall(r'ShuffleQueryStage', plan)) or exchanges} "
@@ -38,7 +47,7 @@ def summary(plan: str) -> str:
         f"partial_limits={len(re.findall(r'WindowGroupLimit.*Partial', plan))} "
         f"partial_aggs={len(re.findall(r'partial_', plan))} "
         f"smj={plan.count('SortMergeJoin')} bhj={plan.count('BroadcastHashJoin')} "
-        f"pushed={sorted(set(PUSHED.findall(plan)))[:3]}"
+        f"pushed={sorted(set(p for p in PUSHED.findall(formatted_plan) if p))[:3]}"
     )
 
 
@@ -79,9 +88,10 @@ def main() -> None:
     for label, df in cases.items():
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
-        print(f"== {label}: {summary(plan)}")
+        text = formatted(df)
+        print(f"== {label}: {summary(plan, text)}")
         if full:
-            df.explain("formatted")
+            print(text)
 
 
 if __name__ == "__main__":
