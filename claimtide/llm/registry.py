@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from claimtide.llm.bpe import op1_byte_bpe
+from claimtide.llm.exact_dedup import OP8_SQL, op8_digest_index
 from claimtide.llm.packing import op4_dp_packing
+from claimtide.llm.sharding import op10_interleaved_shards
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op4_dp_packing": op4_dp_packing,
+    "op8_digest_index": op8_digest_index,
+    "op10_interleaved_shards": op10_interleaved_shards,
 }
 
 #: queries that SQL can express; the others are tested against brute force.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op8_digest_index": OP8_SQL}
