@@ -36,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimtide.llm.slices import slice_digests
+
 #: characters handled at once; a chunk's arrays take some 100 bytes for each.
 CHUNK_CHARS = 800_000
 #: distinct slices a worker remembers before it starts afresh.
@@ -201,12 +203,6 @@ class ByteBpe:
         self.pair_keys = np.append(keys, np.iinfo(np.int64).max)
         self.pair_ranks = np.array([pairs[k] for k in keys.tolist()] + [self.none], np.int64)
         self.pairs = pairs
-        rng = np.random.default_rng(7)
-        base = int(rng.integers(1 << 62)) * 2 + 1
-        self.base = np.uint64(base)
-        self.inverse_base = np.uint64(pow(base, -1, 1 << 64))
-        self.scatter = rng.integers(1, 1 << 63, 256).astype(np.uint64)
-        self._powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
         self._forget()
 
     # -- cache of merged slices: sorted digests -> slots; a slot's ids lie in a
@@ -217,11 +213,6 @@ class ByteBpe:
         self.slot_start, self.slot_length, self.pool = (np.zeros(1024, np.int64) for _ in range(3))
         self.pooled = self.made = 0
 
-    def _powers_to(self, n: int):
-        if len(self._powers[0]) < n:
-            self._powers = tuple(np.cumprod(np.append(np.ones(1, np.uint64), np.full(n - 1, x, np.uint64))) for x in (self.base, self.inverse_base))
-        return self._powers
-
     @staticmethod
     def _room(array: np.ndarray, n: int) -> np.ndarray:
         return array if n <= len(array) else np.concatenate([array, np.zeros(max(n, 2 * len(array)) - len(array), array.dtype)])
@@ -320,10 +311,7 @@ class ByteBpe:
     def _slots_of(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Cache slot of every slice of ``data``."""
         raw = np.frombuffer(data, np.uint8)
-        power, inverse = self._powers_to(len(raw) + 1)
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.scatter[raw] * power[: len(raw)])])
-        # the length goes in as well: equal sums of another length differ
-        digest = (total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        digest = slice_digests(raw, starts, ends)
         values, one, which = np.unique(digest, return_index=True, return_inverse=True)
         if len(self.known) + len(values) > CACHE_SLICES:
             self._forget()

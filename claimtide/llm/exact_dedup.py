@@ -21,12 +21,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from claimtide.llm.tables import scratch, written
+from claimtide.llm.tables import join_groups, scratch, written
 
-#: one in so many rows makes a digest a hot one; so many hot ones at most.
-HOT_SHARE = 1000
 BUCKETS = 32
 
 
@@ -77,24 +76,26 @@ def dedup(df: DataFrame, index: DigestIndex, key: str = "doc_id", text: str = "t
         "digest-decisions",
     )
     index.append(index.unseen(groups.where(~F.col("seen"))))
-    hot = groups.where(F.col("group_size") >= max(2, rows.count() // HOT_SHARE))
-    together = rows.join(F.broadcast(hot), "digest").unionByName(
-        rows.join(F.broadcast(hot.select("digest")), "digest", "left_anti").join(groups, "digest")
-    )
+    together = join_groups(rows, groups, "digest", "group_size")
     return together.select(
         F.col("id").alias(key), "digest", "keep_id", "group_size", (~F.col("seen") & (F.col("row") == F.col("keep_row"))).alias("kept"), "row"
     )
 
 
 def distinct_texts(df: DataFrame, index: DigestIndex, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, with all their columns."""
-    source = written(df.withColumns({"__row": F.monotonically_increasing_id()}), "distinct-input")
-    rows = written(source.select("__row", F.col(key).alias("id"), F.unhex(F.sha2(normalised(F.col(text)), 256)).alias("digest")), "distinct-rows")
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "__row"))
-    groups = rows.groupBy("digest").agg(first.alias("first")).select("digest", F.col("first.id").alias("keep_id"), F.col("first.__row").alias("__row"))
+    """The rows of ``df`` that stay, with all their columns.  Of rows that
+    repeat both id and text one stays, any: they differ in other columns only."""
+    digest = F.unhex(F.sha2(normalised(F.col(text)), 256))
+    rows = written(df.select(F.col(key).alias("id"), digest.alias("digest")), "distinct-rows")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id"))
+    groups = rows.groupBy("digest").agg(first.alias("first")).select("digest", F.col("first.id").alias("keep_id"))
     new = written(index.unseen(groups), "distinct-new")
     index.append(new)
-    return source.join(new.select("__row"), "__row", "left_semi").drop("__row")
+    inner = df.select(F.struct(*df.columns).alias("row"), F.col(key).alias("id"), digest.alias("digest"))
+    kept = new.select(F.struct("digest", "keep_id").alias("stay"))
+    met = inner.join(kept, (inner["digest"] == kept["stay.digest"]) & inner["id"].eqNullSafe(kept["stay.keep_id"]))
+    turn = F.row_number().over(W.partitionBy("digest", "id").orderBy(F.lit(1)))
+    return met.withColumn("turn", turn).where("turn = 1").select("row.*")
 
 
 def op8_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:

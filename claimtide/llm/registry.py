@@ -5,6 +5,7 @@ from __future__ import annotations
 from claimtide.llm.bpe import op1_byte_bpe
 from claimtide.llm.exact_dedup import OP8_SQL, op8_digest_index
 from claimtide.llm.license_scan import op2_license_scan
+from claimtide.llm.near_dedup import op6_setsketch_near_dedup
 from claimtide.llm.packing import op4_dp_packing
 from claimtide.llm.pii import op7_weak_pii
 from claimtide.llm.secret_scan import op9_assignment_secrets
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_license_scan": op2_license_scan,
     "op4_dp_packing": op4_dp_packing,
+    "op6_setsketch_near_dedup": op6_setsketch_near_dedup,
     "op7_weak_pii": op7_weak_pii,
     "op8_digest_index": op8_digest_index,
     "op9_assignment_secrets": op9_assignment_secrets,

@@ -89,33 +89,36 @@ def randomness(value: str) -> float:
 
 
 def literal_pairs(text: str) -> list[tuple[str, int, int]]:
-    """(target name, start, end) of each literal, constants propagated."""
-    known: dict[str, list[tuple[int, int]]] = {}
-    pairs = []
+    """(target name, start, end) of each literal; of the names that it reaches
+    through constants, the most telling one."""
+    names: list[str] = []
+    literals: list[list[tuple[int, int]]] = []
+    sources: list[list[int]] = []  # assignments whose target is read here
+    last: dict[str, int] = {}
     for target in NAME.finditer(text):
-        at, values, quoted = target.end(), [], False
-        while True:  # literals and names joined by + or .
+        at, values, reads = target.end(), [], []
+        while True:  # terms joined by +
             if m := STRING.match(text, at):
                 group = m.lastindex or 1
                 values.append((m.start(group), m.end(group)))
-                quoted = True
             elif m := BARE.match(text, at):
                 word = m[0]
-                if word in known:
-                    values += known[word]
-                elif not quoted and (not IDENTIFIER.match(word) or any(c.isdigit() for c in word)):
+                if word in last:
+                    reads.append(last[word])
+                elif not IDENTIFIER.match(word) or any(c.isdigit() for c in word):
                     values.append((m.start(), m.end()))
-                else:
-                    break
-            else:
-                break
-            at = m.end()
-            if not (joint := JOINT.match(text, at)):
+            if not m or not (joint := JOINT.match(text, m.end())):
                 break
             at = joint.end()
-        known[target[2]] = values
-        pairs += [(target[2], a, b) for a, b in values]
-    return pairs
+        last[target[2]] = len(names)
+        names.append(target[2])
+        literals.append(values)
+        sources.append(reads)
+    for i in range(len(names) - 1, -1, -1):  # names flow back to what they read
+        for j in sources[i]:
+            if sensitivity(names[i]) > sensitivity(names[j]):
+                names[j] = names[i]
+    return [(name, a, b) for name, values in zip(names, literals, strict=True) for a, b in values]
 
 
 def literal_spans(text: str) -> list[tuple[int, int, float]]:

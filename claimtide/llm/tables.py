@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from claimtide.session import ensure_checkpoint_dir
 
@@ -20,3 +21,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: one in so many rows makes a group a hot one; so many hot ones at most.
+HOT_SHARE = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` with their group's columns, by ``key``; ``groups`` has the
+    number of rows of each group in ``size``.  Groups with a thousandth of the
+    rows or more (a thousand at most) are broadcast, so no group, however
+    large, meets in one task; the others are joined as usual."""
+    hot = groups.where(F.col(size) >= max(2, rows.count() // HOT_SHARE))
+    return rows.join(F.broadcast(hot), key).unionByName(
+        rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups, key)
+    )
