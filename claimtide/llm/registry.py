@@ -10,10 +10,12 @@ from claimtide.llm.packing import op4_dp_packing
 from claimtide.llm.pii import op7_weak_pii
 from claimtide.llm.secret_scan import op9_assignment_secrets
 from claimtide.llm.sharding import op10_interleaved_shards
+from claimtide.llm.toxicity import op3_counterfactual_toxicity
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_license_scan": op2_license_scan,
+    "op3_counterfactual_toxicity": op3_counterfactual_toxicity,
     "op4_dp_packing": op4_dp_packing,
     "op6_setsketch_near_dedup": op6_setsketch_near_dedup,
     "op7_weak_pii": op7_weak_pii,
