@@ -8,6 +8,7 @@ from claimtide.llm.license_scan import op2_license_scan
 from claimtide.llm.near_dedup import op6_setsketch_near_dedup
 from claimtide.llm.packing import op4_dp_packing
 from claimtide.llm.pii import op7_weak_pii
+from claimtide.llm.quality_rules import op5_risk_controlled_quality
 from claimtide.llm.secret_scan import op9_assignment_secrets
 from claimtide.llm.sharding import op10_interleaved_shards
 from claimtide.llm.toxicity import op3_counterfactual_toxicity
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_counterfactual_toxicity": op3_counterfactual_toxicity,
     "op4_dp_packing": op4_dp_packing,
+    "op5_risk_controlled_quality": op5_risk_controlled_quality,
     "op6_setsketch_near_dedup": op6_setsketch_near_dedup,
     "op7_weak_pii": op7_weak_pii,
     "op8_digest_index": op8_digest_index,
