@@ -219,6 +219,30 @@ def q_review_one_week(spark, sf_dir):
     return R.period_review(_weekly_metrics(spark, sf_dir), WEEKLY, "claim_count", date_range=ONE_WEEK).pivot
 
 
+def _long(result) -> DataFrame:
+    """A review pivot as rows of period and value."""
+    pivot = result.pivot
+    cells = F.array(
+        *(F.struct(F.lit(p.label).alias("period_label"), F.col(f"`{p.label}`").cast("double").alias("value")) for p in result.selected)
+    )
+    comparison = pivot.columns[-1]
+    return pivot.select(
+        F.col("WBR waterfall").alias("waterfall"), F.col(comparison).alias("comparison"), F.inline(cells)
+    )
+
+
+def q_review_weekly_count_long(spark, sf_dir):
+    return _long(R.period_review(_weekly_metrics(spark, sf_dir), WEEKLY, "claim_count"))
+
+
+def q_review_monthly_value_long(spark, sf_dir):
+    return _long(R.period_review(_monthly_metrics(spark, sf_dir), MONTHLY, "claim_value_usd", countries=["US"]))
+
+
+def q_review_monthly_count_long(spark, sf_dir):
+    return _long(R.period_review(_monthly_metrics(spark, sf_dir), MONTHLY, "claim_count"))
+
+
 def q_review_comparison_text(spark, sf_dir):
     """Comparison text of every waterfall row for every weekly period against
     its previous available period (claim value)."""
@@ -319,8 +343,15 @@ def q_title_case_headers(spark, sf_dir):
 
 
 def q_csv_round_trip(spark, sf_dir):
-    """Claims extract written as CSV (header, UTF-8) and read back."""
-    extract = as_doubles(X.claims_extract(_current(spark, sf_dir)))
+    """Claims extract written as CSV (header, UTF-8) and read back, with a
+    note that holds quotes, line breaks, edge spaces, blanks and nulls."""
+    turn = F.length("Claim Number") % 4
+    note = (
+        F.when(turn == 0, F.concat(F.lit(" "), "Status", F.lit(', "'), "Country", F.lit('" ')))
+        .when(turn == 1, F.concat(F.lit("a\n"), F.coalesce("Reason", F.lit('"'))))
+        .when(turn == 2, F.lit(""))
+    )
+    extract = as_doubles(X.claims_extract(_current(spark, sf_dir))).withColumn("Note", note)
     path = scratch_path(spark, "current_claims_csv")
     tables.write_csv(extract, path)
     return tables.read_csv(spark, path, extract.schema)
@@ -345,6 +376,7 @@ def _dq_tables(spark, sf_dir):
     graph = build(raw, currency_rates(spark))
     tables_ = {key: graph[key] for key in graph if key != "staged"}
     tables_[Q.SOURCE] = raw
+    tables_[Q.CURRENCY] = currency_rates(spark)
     return tables_
 
 
@@ -371,6 +403,9 @@ QUERIES.update(
         "review_monthly_count": q_review_monthly_count,
         "review_weekly_range": q_review_weekly_range,
         "review_one_week": q_review_one_week,
+        "review_weekly_count_long": q_review_weekly_count_long,
+        "review_monthly_value_long": q_review_monthly_value_long,
+        "review_monthly_count_long": q_review_monthly_count_long,
         "review_comparison_text": q_review_comparison_text,
         "kpi_cards": q_kpi_cards,
         "default_range": q_default_range,

@@ -2,8 +2,20 @@
 
 from __future__ import annotations
 
-from claimtide import schemas as S
-from claimtide.plans.oracle import _q, with_blocks
+from datetime import date, timedelta
+
+from claimtide.plans.oracle import (
+    REOPENED,
+    _q,
+    _thursday,
+    comparison_sql,
+    hierarchy_sql,
+    money_sql,
+    report_week_sql,
+    report_year_sql,
+    week_start_sql,
+    with_blocks,
+)
 
 _MONEY_STAGED = "CAST(value_of_trailer AS DOUBLE) AS value_of_trailer"
 
@@ -19,7 +31,7 @@ STATE_MONEY = CLASSIFIED_MONEY + ["previous_value_usd"]
 
 SQL = {
     "stage_claims": _select_star_money("stg", ["value_of_trailer"], "stg"),
-    "reopened_claims": with_blocks("cls") + "SELECT claim_number, snapshot_date, is_reopened FROM reopened",
+    "reopened_claims": with_blocks("cls") + REOPENED,
     "currency_convert": with_blocks("cls")
     + "SELECT claim_number, snapshot_date, currency, CAST(value_of_trailer AS DOUBLE) AS value_of_trailer, "
     "CAST(value_usd AS DOUBLE) AS value_usd FROM cls",
@@ -43,17 +55,7 @@ SQL = {
 # calendar, keys, tiers
 # ---------------------------------------------------------------------------
 
-from claimtide.plans.oracle import (  # noqa: E402
-    _thursday,
-    comparison_sql,
-    hierarchy_sql,
-    money_sql,
-    report_week_sql,
-    report_year_sql,
-    week_start_sql,
-)
-
-_DAYS = ", ".join(["snapshot_date", *(n for n, _ in S.STAGED_DATES)])
+_DAYS = "snapshot_date, submitted_date, date_of_loss, dropped_off_date, case_date_closed, last_seen_date"
 
 SQL["report_calendar"] = with_blocks(
     "stg",
@@ -104,62 +106,69 @@ SQL["hierarchy_monthly_value"] = (
 )
 
 
-def _review(level: str, metrics: str, g, measure: str, where: str = "TRUE", date_range=None) -> str:
-    """Dynamic PIVOT over the selected period labels.  DuckDB resolves a
-    dynamic PIVOT separately, so the whole derivation sits inside the PIVOT
-    source and the outer query only fills empty cells with 0.  Rows seen only
-    in the comparison period (outside the selection) get all-zero cells."""
-    year, period, start, end, prefix, label, count = g
-    value_measure = measure == "claim_value_usd"
-    cast = "DOUBLE" if value_measure else "BIGINT"
-    if date_range:
-        chosen = f"{start} BETWEEN DATE '{date_range[0]}' AND DATE '{date_range[1]}'"
-    else:
-        chosen = f"rn <= {count}"
-    blocks = [
+def _review_rows(level: str, metrics: str, g, measure: str, where: str, chosen: str) -> str:
+    """CTEs up to ``cells``: the values of the waterfall rows in the chosen
+    periods and the comparison of the last one with the one before it.  Rows
+    seen only in the comparison period have no value of their own."""
+    _year, _period, start, _end, _prefix, _label, _count = g
+    text = comparison_sql("cur", "prv", measure == "claim_value_usd")
+    return with_blocks(
+        level,
         f"fm AS (SELECT * FROM {metrics} WHERE {where})",
-        hierarchy_sql("h", "fm", start, measure).strip("\n"),
-        f"per AS ({_period_dim('fm', g)})",
-        f"rk AS (SELECT *, row_number() OVER (ORDER BY {start} DESC) AS rn FROM per)",
-        f"sel AS (SELECT {start}, period_label FROM rk WHERE {chosen})",
-        f"lst AS (SELECT max({start}) AS s FROM sel)",
-        f"prv AS (SELECT max({start}) AS s FROM per WHERE {start} < (SELECT s FROM lst))",
-        f"""meta AS (
-  SELECT DISTINCT row_key, category, sort_key FROM h
-  WHERE {start} IN (SELECT {start} FROM sel) OR {start} = (SELECT s FROM prv))""",
-        f"""cmp AS (
-  SELECT row_key,
-    coalesce(sum(CASE WHEN {start} = (SELECT s FROM lst) THEN metric_value END), 0) AS cur,
-    coalesce(sum(CASE WHEN {start} = (SELECT s FROM prv) THEN metric_value END), 0) AS prv
-  FROM h GROUP BY row_key)""",
+        hierarchy_sql("h", "fm", start, measure),
+        f"per AS (SELECT *, row_number() OVER (ORDER BY {start} DESC) AS rn FROM ({_period_dim('fm', g)}))",
+        f"sel AS (SELECT {start} AS day, period_label FROM per WHERE {chosen})",
+        f"""ends AS (
+  SELECT last, (SELECT max({start}) FROM per WHERE {start} < last) AS before FROM (SELECT max(day) AS last FROM sel)
+)""",
         f"""cells AS (
-  SELECT meta.row_key, hs.period_label, hs.metric_value FROM meta
-  LEFT JOIN (SELECT h.row_key, sel.period_label, h.metric_value FROM h JOIN sel ON h.{start} = sel.{start}) hs
-    ON hs.row_key = meta.row_key)""",
-    ]
-    text = comparison_sql("cmp.cur", "cmp.prv", value_measure)
-    inner = with_blocks(level, *blocks) + (
-        f'SELECT cells.row_key, meta.category AS "WBR waterfall", '
-        f"CASE WHEN (SELECT s FROM prv) IS NULL THEN 'N/A' ELSE {text} END AS {label}, "
-        "coalesce(cells.period_label, (SELECT min(period_label) FROM sel)) AS period_label, cells.metric_value "
-        "FROM cells JOIN meta ON meta.row_key = cells.row_key LEFT JOIN cmp ON cmp.row_key = cells.row_key"
+  SELECT row_key, category, sort_key, {start} AS day, metric_value,
+    coalesce(sum(metric_value) FILTER ({start} = last) OVER (PARTITION BY row_key), 0) AS cur,
+    coalesce(sum(metric_value) FILTER ({start} = before) OVER (PARTITION BY row_key), 0) AS prv, before
+  FROM h, ends WHERE {start} = before OR {start} IN (SELECT day FROM sel)
+)""",
+        f"told AS (SELECT *, if(before IS NULL, 'N/A', {text}) AS comparison FROM cells)",
     )
-    return (
-        f'SELECT "WBR waterfall", CAST(coalesce(COLUMNS(* EXCLUDE (row_key, "WBR waterfall", {label})), 0) AS {cast}), '
-        f"{label} FROM (PIVOT ({inner}) ON period_label USING sum(metric_value) "
-        f'GROUP BY row_key, "WBR waterfall", {label})'
+
+
+def _review_wide(level: str, metrics: str, g, measure: str, where: str, first: str, last: str) -> str:
+    """The pivot over a range of weeks: one conditional sum for each."""
+    start, label = g[2], g[5]
+    kind = "DOUBLE" if measure == "claim_value_usd" else "BIGINT"
+    day, weeks = date.fromisoformat(first), []
+    day += timedelta(days=(6 - day.weekday()) % 7)  # the first Sunday
+    while day <= date.fromisoformat(last):
+        year, week, _ = (day + timedelta(days=4)).isocalendar()
+        weeks.append((day, f"{year}-W{week:02d}"))
+        day += timedelta(days=7)
+    sums = ", ".join(
+        f"CAST(coalesce(sum(metric_value) FILTER (day = DATE '{d}'), 0) AS {kind}) AS \"{name}\"" for d, name in weeks
+    )
+    return _review_rows(level, metrics, g, measure, where, f"{start} BETWEEN DATE '{first}' AND DATE '{last}'") + (
+        f'SELECT category AS "WBR waterfall", {sums}, comparison AS {label} FROM told '
+        "GROUP BY row_key, category, sort_key, comparison"
+    )
+
+
+def _review_long(level: str, metrics: str, g, measure: str, where: str = "true") -> str:
+    """The default range (last periods) as rows of period and value."""
+    return _review_rows(level, metrics, g, measure, where, f"rn <= {g[6]}") + (
+        "SELECT nodes.category AS waterfall, sel.period_label, "
+        "CAST(coalesce(told.metric_value, 0) AS DOUBLE) AS value, nodes.comparison FROM "
+        "(SELECT DISTINCT row_key, category, comparison FROM told) nodes CROSS JOIN sel "
+        "LEFT JOIN told ON told.row_key = nodes.row_key AND told.day = sel.day"
     )
 
 
-SQL["review_weekly_count"] = _review("wk_metrics", "wk_metrics", _WK, "claim_count")
-SQL["review_monthly_value"] = _review("mo_metrics", "mo_metrics", _MO, "claim_value_usd", "country = 'US'")
-SQL["review_monthly_count"] = _review("mo_metrics", "mo_metrics", _MO, "claim_count")
-SQL["review_weekly_range"] = _review(
+SQL["review_weekly_count_long"] = _review_long("wk_metrics", "wk_metrics", _WK, "claim_count")
+SQL["review_monthly_value_long"] = _review_long("mo_metrics", "mo_metrics", _MO, "claim_value_usd", "country = 'US'")
+SQL["review_monthly_count_long"] = _review_long("mo_metrics", "mo_metrics", _MO, "claim_count")
+SQL["review_weekly_range"] = _review_wide(
     "wk_metrics", "wk_metrics", _WK, "claim_value_usd",
     "source IN ('Provider F', 'Provider O') AND carrier_name IN ('Carrier 1', 'Carrier 2')",
-    ("1996-01-01", "1996-03-31"),
+    "1996-01-01", "1996-03-31",
 )
-SQL["review_one_week"] = _review("wk_metrics", "wk_metrics", _WK, "claim_count", "TRUE", ("1996-03-31", "1996-04-06"))
+SQL["review_one_week"] = _review_wide("wk_metrics", "wk_metrics", _WK, "claim_count", "true", "1996-03-31", "1996-04-06")
 
 SQL["review_comparison_text"] = with_blocks(
     "wk_metrics",
@@ -188,7 +197,11 @@ SQL["review_comparison_text"] = with_blocks(
     f"{comparison_sql('cur', 'prv', True)} AS comparison FROM vals"
 )
 
-_KPI_TIERS = [t for _l, t in S.KPI_CARDS]
+_KPI_CARDS = [
+    ("Active claims", "ACTIVE CASES"),
+    ("Closed claims", "CLOSED CASES"),
+    ("Re-opened claims", "RE-OPEN CLAIMS"),
+]
 SQL["kpi_cards"] = with_blocks(
     "wk_metrics",
     """wk AS (
@@ -204,7 +217,7 @@ SQL["kpi_cards"] = with_blocks(
     coalesce(sum(CASE WHEN rn = 1 AND wbr_tier1 = t.tier THEN claim_count END), 0) AS cur,
     coalesce(sum(CASE WHEN rn = 2 AND wbr_tier1 = t.tier THEN claim_count END), 0) AS prv
   FROM (VALUES """
-    + ", ".join(f"({i}, {repr(t)})" for i, t in enumerate(_KPI_TIERS))
+    + ", ".join(f"({i}, {repr(t)})" for i, (_card, t) in enumerate(_KPI_CARDS))
     + """) t(i, tier) LEFT JOIN tagged ON TRUE
   GROUP BY t.tier
 )""",
@@ -219,9 +232,9 @@ SQL["kpi_cards"] = with_blocks(
     "CAST(CAST(k.cur AS BIGINT) AS VARCHAR) AS value_text, "
     "CASE WHEN np.n > 1 THEN CAST(CAST(k.cur - k.prv AS BIGINT) AS VARCHAR) END AS delta_text "
     "FROM counts k JOIN (VALUES "
-    + ", ".join(f"({repr(lbl)}, {repr(t)})" for lbl, t in S.KPI_CARDS)
+    + ", ".join(f"({repr(lbl)}, {repr(t)})" for lbl, t in _KPI_CARDS)
     + ") c(card, tier) ON c.tier = k.tier CROSS JOIN np WHERE np.n > 0 "
-    f"UNION ALL SELECT {repr(S.KPI_VALUE_CARD)}, val.cur, CASE WHEN np.n > 1 THEN val.cur - val.prv END, "
+    f"UNION ALL SELECT 'Claim value', val.cur, CASE WHEN np.n > 1 THEN val.cur - val.prv END, "
     f"{money_sql('val.cur')}, CASE WHEN np.n > 1 THEN {money_sql('val.cur - val.prv')} END "
     "FROM val CROSS JOIN np WHERE np.n > 0"
 )
@@ -239,45 +252,84 @@ SQL["default_range"] = with_blocks("all") + (
 # extracts
 # ---------------------------------------------------------------------------
 
-from claimtide.functions.formatting import display_column_name  # noqa: E402
-
-_CLASSIFIED_COLS = (
-    "claim_snapshot_key", *S.STAGED_COLUMNS, "report_year", "report_week", "submitted_year", "submitted_week",
-    "closed_year", "closed_week", "wbr_tier1", "wbr_tier2", "wbr_tier3", "value_usd",
-)
-_TRANSITION_COLS = (
-    "claim_snapshot_key", "claim_number", "snapshot_date", "week_start_date", "week_end_date", "report_year",
-    "report_week", "previous_status", "current_status", "transition_type", "previous_wbr_tier1", "wbr_tier1",
-    "wbr_tier2", "wbr_tier3", "country", "carrier_name", "source", "submitted_date", "case_date_closed",
-    "previous_value_usd", "value_usd", "week_over_week_value_delta_usd",
-)
-_MONEY = {"value_of_trailer", "value_usd", "previous_value_usd", "week_over_week_value_delta_usd"}
+# staged and classified columns with their display names
+_HEADERS = {
+    "claim_number": "Claim Number",
+    "carrier_name": "Carrier Name",
+    "country": "Country",
+    "status": "Status",
+    "reason": "Reason",
+    "results": "Results",
+    "insurance_claims_results": "Insurance Claims Results",
+    "source": "Source",
+    "trailer_license_plate": "Trailer License Plate",
+    "trailer_number": "Trailer Number",
+    "trailer_vin": "Trailer VIN",
+    "currency": "Currency",
+    "submitted_date": "Submitted Date",
+    "date_of_loss": "Date Of Loss",
+    "dropped_off_date": "Dropped Off Date",
+    "case_date_closed": "Case Date Closed",
+    "last_seen_date": "Last Seen Date",
+    "CAST(value_of_trailer AS DOUBLE)": "Value Of Trailer",
+    "report_year": "Report Year",
+    "report_week": "Report Week",
+    "submitted_year": "Submitted Year",
+    "submitted_week": "Submitted Week",
+    "closed_year": "Closed Year",
+    "closed_week": "Closed Week",
+    "wbr_tier1": "WBR Tier 1",
+    "wbr_tier2": "WBR Tier 2",
+    "wbr_tier3": "WBR Tier 3",
+    "CAST(value_usd AS DOUBLE)": "Value USD",
+}
+_TRANSITION_HEADERS = {
+    "claim_number": "Claim Number",
+    "week_start_date": "Week Start Date",
+    "week_end_date": "Week End Date",
+    "report_year": "Report Year",
+    "report_week": "Report Week",
+    "previous_status": "Previous Status",
+    "status": "Current Status",
+    "transition_type": "Transition Type",
+    "previous_wbr_tier1": "Previous WBR Tier 1",
+    "wbr_tier1": "WBR Tier 1",
+    "wbr_tier2": "WBR Tier 2",
+    "wbr_tier3": "WBR Tier 3",
+    "country": "Country",
+    "carrier_name": "Carrier Name",
+    "source": "Source",
+    "submitted_date": "Submitted Date",
+    "case_date_closed": "Case Date Closed",
+    "CAST(previous_value_usd AS DOUBLE)": "Previous Value USD",
+    "CAST(value_usd AS DOUBLE)": "Value USD",
+    "CAST(week_over_week_value_delta_usd AS DOUBLE)": "Week Over Week Value Delta USD",
+}
 
 
-def _extract_select(columns, source_names=None) -> str:
-    out = []
-    for c in columns:
-        if c in ("claim_snapshot_key", "snapshot_date"):
-            continue
-        src = (source_names or {}).get(c, c)
-        expr = f"CAST({src} AS DOUBLE)" if c in _MONEY else src
-        out.append(f'{expr} AS "{display_column_name(c)}"')
-    return ", ".join(out)
+def _headed(columns: dict[str, str]) -> str:
+    return ", ".join(f'{expr} AS "{name}"' for expr, name in columns.items())
 
 
-SQL["title_case_headers"] = with_blocks("cur") + f"SELECT {_extract_select(_CLASSIFIED_COLS)} FROM cur"
-SQL["csv_round_trip"] = SQL["title_case_headers"]
+SQL["title_case_headers"] = with_blocks("cur") + f"SELECT {_headed(_HEADERS)} FROM cur"
+# text that a CSV file must quote: quotes, a line break, edge spaces, blanks
+_NOTE = """CASE length(claim_number) % 4 WHEN 0 THEN ' ' || status || ', "' || country || '" '
+  WHEN 1 THEN 'a' || chr(10) || coalesce(reason, '"') WHEN 2 THEN '' END"""
+SQL["csv_round_trip"] = with_blocks("cur") + f"SELECT {_headed(_HEADERS)}, {_NOTE} AS \"Note\" FROM cur"
 SQL["filter_current"] = with_blocks("cur") + (
-    f"SELECT {_extract_select(_CLASSIFIED_COLS)} FROM cur WHERE country IN ('US') AND status IN ('Open', 'Closed') "
+    f"SELECT {_headed(_HEADERS)} FROM cur WHERE country IN ('US') AND status IN ('Open', 'Closed') "
     "AND carrier_name IN ('Carrier 0', 'Carrier 1') AND regexp_matches(claim_number, '(?i)clm-\\d*7')"
 )
 SQL["filter_transitions"] = with_blocks("weekly") + (
-    f"SELECT {_extract_select(_TRANSITION_COLS, {'current_status': 'status'})} FROM weekly "
+    f"SELECT {_headed(_TRANSITION_HEADERS)} FROM weekly "
     "WHERE status_changed AND country IN ('CA') AND transition_type IN ('CLOSED_TO_OPEN', 'OPEN_TO_CLOSED') "
     "AND regexp_matches(claim_number, '(?i)clm')"
 )
-SQL["filter_options"] = with_blocks("weekly", "cur AS (SELECT * FROM cls QUALIFY row_number() OVER "
-                                    "(PARTITION BY claim_number ORDER BY snapshot_date DESC) = 1)") + (
+SQL["filter_options"] = with_blocks(
+    "weekly",
+    "cur AS (SELECT * FROM cls SEMI JOIN (SELECT claim_number, max(snapshot_date) AS snapshot_date FROM cls GROUP BY ALL) m "
+    "USING (claim_number, snapshot_date))",
+) + (
     "SELECT DISTINCT dimension, value, 'current' AS table_name FROM (SELECT unnest(["
     "{'dimension': 'country', 'value': country}, {'dimension': 'status', 'value': status}, "
     "{'dimension': 'source', 'value': source}, {'dimension': 'carrier_name', 'value': carrier_name}], "
@@ -300,8 +352,6 @@ SQL["month_pruned_read"] = with_blocks("weekly") + (
 # data quality
 # ---------------------------------------------------------------------------
 
-from claimtide.operators.quality import CHECKS  # noqa: E402
-
 _DQ_CTE = {
     "source": "raw",
     "classified": "cls",
@@ -311,48 +361,87 @@ _DQ_CTE = {
     "weekly_metrics": "wk_metrics",
     "monthly": "monthly",
     "monthly_metrics": "mo_metrics",
+    "currency": "rates",
 }
 _TRN = "trn AS (SELECT * EXCLUDE (status), status AS current_status FROM weekly WHERE status_changed)"
+_STATUSES = "'Open', 'Closed'"
+_MOVES = "'NEW_CLAIM', 'NO_CHANGE', 'OPEN_TO_CLOSED', 'CLOSED_TO_OPEN', 'STATUS_CHANGED'"
+_KEY = "source+carrier_name+country+status+wbr_tier1+wbr_tier2+wbr_tier3"
+
+# kind: checks as table:columns, with what they ask for
+_NOT_NULL = """source:snapshot_date source:claim_number source:submitted source:source
+classified:claim_snapshot_key classified:snapshot_date classified:wbr_tier1 classified:wbr_tier2
+current:claim_number current:snapshot_date weekly:claim_number weekly:report_week weekly:transition_type
+weekly_transitions:claim_number monthly:claim_number"""
+_UNIQUE = "classified:claim_snapshot_key current:claim_number currency:currency_code"
+_ACCEPTED = {
+    "source:status": _STATUSES,
+    "classified:wbr_tier1": "'ACTIVE CASES', 'CLOSED CASES', 'RE-OPEN CLAIMS'",
+    "weekly:transition_type": _MOVES,
+    "weekly_transitions:transition_type": "'OPEN_TO_CLOSED', 'CLOSED_TO_OPEN', 'STATUS_CHANGED'",
+    "monthly:transition_type": _MOVES,
+}
+_COMBINATIONS = f"""source:snapshot_date+claim_number current:claim_number weekly:claim_number+report_year+report_week
+weekly_metrics:report_year+report_week+{_KEY} monthly:claim_number+metric_year+metric_month
+monthly_metrics:metric_year+metric_month+{_KEY}"""
+_RANGES = {
+    "classified:report_week": "NOT BETWEEN 1 AND 53",
+    "classified:submitted_week": "NOT BETWEEN 1 AND 53",
+    "classified:value_usd": "< 0",
+    "weekly:report_week": "NOT BETWEEN 1 AND 53",
+    "weekly_metrics:claim_count": "< 0",
+    "monthly:metric_month": "NOT BETWEEN 1 AND 12",
+    "monthly_metrics:claim_count": "< 0",
+}
 
 
-def _check_sql(check) -> str:
-    t = _DQ_CTE[check.table]
-    cols = ", ".join(check.columns)
-    c = check.columns[0]
-    if check.kind == "not_null":
-        body = f"SELECT count(*) FROM {t} WHERE {c} IS NULL"
-    elif check.kind == "unique":
-        body = f"SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) x"
-    elif check.kind == "accepted_values":
-        vals = ", ".join(_q(v) for v in check.values)
-        body = f"SELECT count(*) FROM (SELECT {c} AS v FROM {t} GROUP BY {c}) x WHERE v NOT IN ({vals})"
-    elif check.kind == "unique_combination":
-        body = f"SELECT count(*) FROM (SELECT {cols} FROM {t} GROUP BY {cols} HAVING count(*) > 1) x"
-    elif check.kind == "between":
-        conds = []
-        if check.min_value is not None:
-            conds.append(f"{c} {'>' if check.strictly else '>='} {check.min_value}")
-        if check.max_value is not None:
-            conds.append(f"{c} {'<' if check.strictly else '<='} {check.max_value}")
-        body = f"SELECT count(*) FROM {t} WHERE NOT ({' AND '.join(conds)})"
-    elif check.name == "assert_all_claims_classified":
-        body = f"SELECT count(*) FROM {t} WHERE wbr_tier2 IS NULL"
-    else:
-        body = f"SELECT count(*) FROM (SELECT {cols} FROM {t} GROUP BY {cols} HAVING count(*) > 1) x"
-    return (
-        f"SELECT {_q(check.name)} AS check_name, {_q(check.table)} AS table_name, {_q(check.kind)} AS kind, "
-        f"CAST(({body}) AS BIGINT) AS failing_rows"
-    )
-
-
-def _dq_sql(kinds) -> str:
-    parts = [_check_sql(c) for c in CHECKS if c.kind in kinds]
+def _repeated(table: str, columns: str, where: str = "true") -> str:
+    names = columns.replace("+", ", ")
+    return f"SELECT count(*) FROM (SELECT 1 FROM {table} WHERE {where} GROUP BY {names} HAVING count(*) > 1)"
+
+
+def _checks(kind: str) -> list[tuple[str, str, str]]:
+    """(check, table, count of failures) of a kind."""
+    if kind == "singular":
+        text = "value_of_trailer"
+        return [
+            ("assert_all_claims_classified", "classified", "SELECT count(*) FROM cls WHERE wbr_tier2 IS NULL"),
+            ("assert_no_duplicate_claims_per_week", "weekly", _repeated("weekly", "claim_number+report_year+report_week")),
+            (
+                "assert_no_value_cut",
+                "source",
+                f"SELECT count(*) FROM raw WHERE isfinite(try_cast({text} AS DOUBLE)) AND try_cast({text} AS DECIMAL(28,9)) IS NULL",
+            ),
+        ]
+    names = {"not_null": _NOT_NULL, "unique": _UNIQUE, "unique_combination": _COMBINATIONS}
+    listed = names[kind].split() if kind in names else [*(_ACCEPTED if kind == "accepted_values" else _RANGES)]
+    out = []
+    for entry in listed:
+        table, columns = entry.split(":")
+        cte = _DQ_CTE[table]
+        count = {
+            "not_null": lambda: f"SELECT count(*) FROM {cte} WHERE {columns} IS NULL",
+            "unique": lambda: _repeated(cte, columns, f"{columns} IS NOT NULL"),
+            "unique_combination": lambda: _repeated(cte, columns),
+            "accepted_values": lambda: f"SELECT count(DISTINCT {columns}) FROM {cte} WHERE {columns} NOT IN ({_ACCEPTED[entry]})",
+            "between": lambda: f"SELECT count(*) FROM {cte} WHERE {columns} {_RANGES[entry]}",
+        }[kind]()
+        out.append((f"{kind}:{entry}", table, count))
+    return out
+
+
+def _dq_sql(kind: str) -> str:
+    parts = [
+        f"SELECT {_q(name)} AS check_name, {_q(table)} AS table_name, {_q(kind)} AS kind, "
+        f"CAST(({count}) AS BIGINT) AS failing_rows"
+        for name, table, count in _checks(kind)
+    ]
     return with_blocks("all", _TRN) + " UNION ALL ".join(parts)
 
 
-SQL["dq_not_null"] = _dq_sql(("not_null",))
-SQL["dq_unique"] = _dq_sql(("unique",))
-SQL["dq_accepted"] = _dq_sql(("accepted_values",))
-SQL["dq_unique_combo"] = _dq_sql(("unique_combination",))
-SQL["dq_between"] = _dq_sql(("between",))
-SQL["dq_singular"] = _dq_sql(("singular",))
+SQL["dq_not_null"] = _dq_sql("not_null")
+SQL["dq_unique"] = _dq_sql("unique")
+SQL["dq_accepted"] = _dq_sql("accepted_values")
+SQL["dq_unique_combo"] = _dq_sql("unique_combination")
+SQL["dq_between"] = _dq_sql("between")
+SQL["dq_singular"] = _dq_sql("singular")

@@ -93,12 +93,25 @@ def read_mart(spark: SparkSession, base_dir: str, table: str) -> DataFrame:
     return read_table(spark, layer_path(base_dir, MARTS, table))
 
 
+#: both ways: quotes are doubled, spaces at the edges stay, an empty text is
+#: quoted and a null is not, so that the two differ.
+_CSV = {
+    "header": "true",
+    "encoding": "UTF-8",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV export with a header, UTF-8.  ``single_file`` only for small
-    results (a review pivot); extracts are written by all tasks."""
+    """CSV export with a header, as any CSV reader takes it.  ``single_file``
+    only for small results (a review pivot); extracts are written by all
+    tasks."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", "true").option("encoding", "UTF-8").csv(path)
+    out.write.mode("overwrite").options(**_CSV, nullValue="", emptyValue='""').csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).option("header", "true").csv(path)
+    """An export read back; values may hold line breaks."""
+    return spark.read.schema(schema).options(**_CSV, multiLine="true", nullValue="\u0000", emptyValue="").csv(path)

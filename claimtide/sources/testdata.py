@@ -1,10 +1,12 @@
 """Adapter: the star-schema test tables -> a raw claim snapshot history.
 
-One history row per (part, ship day): the lowest line by order key, line
-number, supplier, price and quantity.  Every column is text, so staging's
-trims and safe casts run for real.  Rules (same in the DuckDB oracle):
+One history row per line.  Lines of one part and ship day are numbered by
+order key, line number, supplier, price, quantity, return flag and status;
+the number is part of the claim's, so a claim has one snapshot a day.  Every
+column is text, so staging's trims and safe casts run for real.  Rules (same
+in the DuckDB oracle):
 
-* claim_number ' CLM-<partkey> ' (padded), snapshot/last-seen = ship day
+* claim_number ' CLM-<partkey>-<number> ' (padded), snapshot/last-seen = ship day
 * status O -> Open, F -> Closed; case_date_closed = ship day when Closed
 * reason A/R/N -> the three steering reasons, null for line numbers >= 6
 * insurance_claims_results by line number % 3 (0, 1, 2 -> wait, not liable, null)
@@ -45,12 +47,11 @@ def testdata_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linestatus",
         F.to_date("l_shipdate").alias("ship_day"),
     )
-    # first line per (part, day); the rank-1 filter becomes a partial
-    # WindowGroupLimit, so each task thins its rows before the shuffle
-    first = Window.partitionBy("l_partkey", "ship_day").orderBy(
-        "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity"
+    # a window group holds one part's lines of one day: a handful
+    of_day = Window.partitionBy("l_partkey", "ship_day").orderBy(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus"
     )
-    line = line.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
+    line = line.withColumn("line_of_day", F.row_number().over(of_day))
 
     orders = _table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
@@ -76,7 +77,13 @@ def testdata_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_text = F.date_format("ship_day", _DAY)
     priority = F.substring("o_orderpriority", 1, 1)
     columns = {
-        "claim_number": F.concat(F.lit(" CLM-"), F.col("l_partkey").cast("string"), F.lit(" ")),
+        "claim_number": F.concat(
+            F.lit(" CLM-"),
+            F.col("l_partkey").cast("string"),
+            F.lit("-"),
+            F.col("line_of_day").cast("string"),
+            F.lit(" "),
+        ),
         "snapshot_date": ship_text,
         "carrier_name": F.when(
             F.col("l_suppkey") % 7 != 0, F.concat(F.lit("Carrier "), (F.col("l_suppkey") % 3).cast("string"))
