@@ -1,56 +1 @@
 """Column-level functions (text, calendar, keys, categories, formatting)."""
-
-from claimtide.functions.calendar import (
-    metric_month,
-    metric_year,
-    month_end,
-    month_start,
-    report_week,
-    report_week_thursday,
-    report_year,
-    week_end,
-    week_start,
-)
-from claimtide.functions.categories import (
-    reopened_flag,
-    status_changed,
-    transition_type,
-    value_delta,
-    wbr_tiers,
-)
-from claimtide.functions.formatting import (
-    category_label,
-    comparison_text,
-    display_column_name,
-    money,
-    python_fixed,
-)
-from claimtide.functions.keys import surrogate_key
-from claimtide.functions.text import blank_to_null, clean_text, safe_date, safe_decimal
-
-__all__ = [
-    "blank_to_null",
-    "category_label",
-    "clean_text",
-    "comparison_text",
-    "display_column_name",
-    "metric_month",
-    "metric_year",
-    "money",
-    "month_end",
-    "month_start",
-    "python_fixed",
-    "reopened_flag",
-    "report_week",
-    "report_week_thursday",
-    "report_year",
-    "safe_date",
-    "safe_decimal",
-    "status_changed",
-    "surrogate_key",
-    "transition_type",
-    "value_delta",
-    "wbr_tiers",
-    "week_end",
-    "week_start",
-]

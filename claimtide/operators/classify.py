@@ -33,8 +33,15 @@ def _with_closed_before(staged: DataFrame, history: DataFrame | None = None) ->
     closed = first_closed_dates(staged if history is None else history)
     # left join back on the claim: AQE broadcasts the per-claim side when its
     # measured size allows and otherwise splits a hot claim (skew join)
-    joined = staged.join(closed, "claim_number", "left")
-    return joined.withColumn("_closed_before", F.col("first_closed_date") < F.col("snapshot_date"))
+    before = (F.col("first_closed_date") < F.col("snapshot_date")).alias("_closed_before")
+    if history is not None:
+        return staged.join(closed, "claim_number", "left").select(staged["*"], before)
+    # over the whole history only Open rows go through the join's shuffle; the
+    # others can't be re-opened (a null status is unknown, so it counts as Open)
+    is_open = F.coalesce(F.col("status") == S.STATUS_OPEN, F.lit(True))
+    opened = staged.where(is_open)
+    joined = opened.join(closed, "claim_number", "left").select(opened["*"], before)
+    return joined.unionByName(staged.where(~is_open).withColumn("_closed_before", F.lit(None).cast("boolean")))
 
 
 def detect_reopened(staged: DataFrame) -> DataFrame:
@@ -56,8 +63,13 @@ def convert_currency(staged: DataFrame, rates: DataFrame) -> DataFrame:
     The seed is broadcast once its row count is proven small: a seed built
     in Python has no size statistics, and a shuffle join would move the
     whole history by currency, a key with a handful of values.  A seed past
-    the limit falls back to a planner-chosen join."""
-    rates = broadcast_if_small(rates.select("currency_code", "rate_to_usd"), RATE_BROADCAST_LIMIT)
+    the limit falls back to a planner-chosen join.  A code that the seed
+    holds twice would multiply the history and is refused."""
+    rates = rates.select("currency_code", "rate_to_usd")
+    repeated = rates.where("currency_code is not null").groupBy("currency_code").count().where("count > 1").head()
+    if repeated is not None:
+        raise ValueError(f"currency code {repeated[0]!r} has several rates")
+    rates = broadcast_if_small(rates, RATE_BROADCAST_LIMIT)
     joined = staged.join(rates, staged["currency"] == rates["currency_code"], "left").drop("currency_code")
     rate = F.coalesce(F.col("rate_to_usd"), F.lit(1).cast(S.RATE_TYPE))
     return joined.withColumn("value_usd", F.col("value_of_trailer") * rate)

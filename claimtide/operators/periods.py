@@ -46,32 +46,6 @@ MONTHLY = PeriodGrain(
 )
 GRAINS = {"weekly": WEEKLY, "monthly": MONTHLY}
 
-TRANSITION_COLUMNS = (
-    "claim_snapshot_key",
-    "claim_number",
-    "snapshot_date",
-    "week_start_date",
-    "week_end_date",
-    "report_year",
-    "report_week",
-    "previous_status",
-    "current_status",
-    "transition_type",
-    "previous_wbr_tier1",
-    "wbr_tier1",
-    "wbr_tier2",
-    "wbr_tier3",
-    "country",
-    "carrier_name",
-    "source",
-    "submitted_date",
-    "case_date_closed",
-    "previous_value_usd",
-    "value_usd",
-    "week_over_week_value_delta_usd",
-)
-
-
 def _latest(df: DataFrame, keys: list[str]) -> DataFrame:
     """Latest snapshot per key group (rank-1 filter -> partial group limit)."""
     order = Window.partitionBy(*keys).orderBy(F.col("snapshot_date").desc())
@@ -179,7 +153,7 @@ def monthly_state(classified: DataFrame) -> DataFrame:
 def weekly_transitions(weekly: DataFrame) -> DataFrame:
     """Weekly rows whose status changed (null-changed rows drop out)."""
     return weekly.where(F.col("status_changed")).withColumnRenamed("status", "current_status").select(
-        *TRANSITION_COLUMNS
+        *S.TRANSITION_COLUMNS
     )
 
 

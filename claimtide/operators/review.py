@@ -35,15 +35,26 @@ def _grain(grain: PeriodGrain | str) -> PeriodGrain:
 # --------------------------------------------------------------------------
 
 
-def numeric_sum(column: Column | str) -> Column:
-    """Sum as double; non-numeric values count as 0, no rows give 0.0."""
-    col = F.col(column) if isinstance(column, str) else column
-    return F.coalesce(F.sum(F.coalesce(col.cast("string").try_cast("double"), F.lit(0.0))), F.lit(0.0))
-
-
-def tier_metric(tier: str, column: str = "claim_count") -> Column:
+def numeric_sum(frame: DataFrame, column: str, rows: Column | None = None) -> Column:
+    """Sum of ``column`` over ``rows`` as double.  Numbers are added in their
+    own type; text that is no number counts as 0; no rows, or a column that
+    ``frame`` doesn't have, give 0.0."""
+    if column not in frame.columns:
+        return F.lit(0.0)
+    value = F.col(column)
+    if not isinstance(frame.schema[column].dataType, T.NumericType):
+        value = value.cast("string").try_cast("double")
+    if rows is not None:
+        value = F.when(rows, value)
+    return F.coalesce(F.sum(value).cast("double"), F.lit(0.0))
+
+
+def tier_metric(frame: DataFrame, tier: str, column: str = "claim_count", rows: Column | None = None) -> Column:
     """``numeric_sum`` of ``column`` over rows of one tier-1 class."""
-    return numeric_sum(F.when(F.col("wbr_tier1") == tier, F.col(column)))
+    if "wbr_tier1" not in frame.columns:
+        return F.lit(0.0)
+    of_tier = F.col("wbr_tier1") == tier
+    return numeric_sum(frame, column, of_tier if rows is None else of_tier & rows)
 
 
 # --------------------------------------------------------------------------
@@ -202,8 +213,9 @@ def build_review_pivot(
     selected period with its previous available period.
 
     Rows are the hierarchy nodes seen in the selected or compared periods;
-    missing values are 0.  One conditional aggregation over the hierarchy of
-    the relevant periods only.  Returns (pivot, previous period label)."""
+    missing values are 0.  One pivot over the hierarchy of the relevant
+    periods only; its work doesn't grow with their number.  Returns (pivot,
+    previous period label)."""
     g = _grain(grain)
     if not selected:
         raise ValueError("no selected periods")
@@ -212,17 +224,19 @@ def build_review_pivot(
     relevant = [p.start for p in selected] + [last.start] + ([prev.start] if prev else [])
     relevant = sorted(set(relevant))
     hierarchy = hierarchy_values(metrics.where(F.col(g.start).isin(relevant)), g, measure)
-    value = F.col("metric_value")
     zero = F.lit(0).cast(hierarchy.schema["metric_value"].dataType)
-    start = F.col(g.start)
+    wide = hierarchy.groupBy("row_key", "category", "sort_key").pivot(g.start, relevant).agg(F.sum("metric_value"))
 
-    def period_sum(p: Period) -> Column:
-        return F.coalesce(F.sum(F.when(start == F.lit(p.start), value)), zero)
+    def cell(p: Period) -> Column:
+        return F.coalesce(F.col(f"`{p.start}`"), zero)
 
-    aggs = [period_sum(p).alias(p.label) for p in selected]
-    aggs.append(period_sum(last).alias("_current"))
-    aggs.append((period_sum(prev) if prev else zero).alias("_previous"))
-    pivot = hierarchy.groupBy("row_key", "category", "sort_key").agg(*aggs)
+    pivot = wide.select(
+        "category",
+        "sort_key",
+        *(cell(p).alias(p.label) for p in selected),
+        cell(last).alias("_current"),
+        (cell(prev) if prev else zero).alias("_previous"),
+    )
     if prev:
         text = comparison_text("_current", "_previous", measure == "claim_value_usd")
     else:
@@ -252,18 +266,22 @@ def period_review(
     carriers: list[str] | None = None,
     countries: list[str] | None = None,
     date_range: tuple[date, date] | None = None,
+    periods: list[Period] | None = None,
 ) -> ReviewResult:
     """Filters -> periods -> inclusive date range (default: last 8 weeks /
-    12 months) -> waterfall pivot with WoW / MoM comparison."""
+    12 months) -> waterfall pivot with WoW / MoM comparison.
+
+    ``metrics`` is read twice (its periods, the pivot): give a written mart,
+    or the ``periods`` of the filtered rows if they are known."""
     g = _grain(grain)
     filtered = apply_review_filters(metrics, sources, carriers, countries)
-    periods = collect_periods(filtered, g)
+    periods = collect_periods(filtered, g) if periods is None else periods
     if not periods:
-        return ReviewResult(None, [], None, None, "No metrics match the selected provider, carrier, and country.")
+        return ReviewResult(None, [], None, None, "The chosen filters leave no metrics.")
     lo, hi = date_range or default_range(periods, g)
     selected = [p for p in periods if lo <= p.start <= hi]
     if not selected:
-        return ReviewResult(None, [], None, None, "No reporting periods fall within this date range.")
+        return ReviewResult(None, [], None, None, "The date range holds no period.")
     pivot, previous_label = build_review_pivot(filtered, periods, selected, g, measure, g.comparison_label)
     return ReviewResult(pivot, selected, selected[-1].label, previous_label)
 
@@ -289,7 +307,8 @@ def kpi_cards(weekly_metrics: DataFrame) -> DataFrame:
     (null when there is only one week).
 
     The two latest weeks are a top-2 over the distinct periods; the metrics
-    are then aggregated once with conditional sums for both weeks.
+    are then aggregated once with conditional sums for both weeks.  Give a
+    written mart: it is read for the weeks and for the sums.
     """
     g = WEEKLY
     spark = weekly_metrics.sparkSession
@@ -305,15 +324,13 @@ def kpi_cards(weekly_metrics: DataFrame) -> DataFrame:
     cur_week = in_week(latest[0])
     has_prev = len(latest) > 1
     prev_week = in_week(latest[1]) if has_prev else F.lit(False)
-    value = F.col("claim_value_usd")
     aggs = []
     for i, (_label, tier) in enumerate(S.KPI_CARDS):
-        is_tier = F.col("wbr_tier1") == tier
-        # whole-number counts, truncated like int() of the float sum
-        aggs.append(F.coalesce(F.sum(F.when(cur_week & is_tier, F.col("claim_count"))), F.lit(0)).alias(f"c{i}"))
-        aggs.append(F.coalesce(F.sum(F.when(prev_week & is_tier, F.col("claim_count"))), F.lit(0)).alias(f"p{i}"))
-    aggs.append(F.coalesce(F.sum(F.when(cur_week, value)).cast("double"), F.lit(0.0)).alias("cv"))
-    aggs.append(F.coalesce(F.sum(F.when(prev_week, value)).cast("double"), F.lit(0.0)).alias("pv"))
+        # whole-number counts, truncated below
+        aggs.append(tier_metric(weekly_metrics, tier, "claim_count", cur_week).alias(f"c{i}"))
+        aggs.append(tier_metric(weekly_metrics, tier, "claim_count", prev_week).alias(f"p{i}"))
+    aggs.append(numeric_sum(weekly_metrics, "claim_value_usd", cur_week).alias("cv"))
+    aggs.append(numeric_sum(weekly_metrics, "claim_value_usd", prev_week).alias("pv"))
     totals = weekly_metrics.where(cur_week | prev_week).agg(*aggs)
 
     cards = []

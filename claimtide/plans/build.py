@@ -9,10 +9,10 @@ raw history.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from claimtide.operators.classify import classify
@@ -31,13 +31,14 @@ from claimtide.operators.periods import (
 )
 from claimtide.operators.staging import stage_claims
 from claimtide.schemas import MART_TABLES
-from claimtide.sources.tables import INTERMEDIATE, MARTS
 from claimtide.session import ensure_checkpoint_dir
 from claimtide.sources import tables
+from claimtide.sources.tables import INTERMEDIATE, MARTS, SEEDS, STAGING
 
 
 STAGED_VIEW = "stg_insurance_claims"
 CLASSIFIED_TABLE = "int_claims_classified"
+CURRENCY_SEED, CATEGORY_SEED = "seed_currency_rates", "seed_category_hierarchy"
 #: latest classified snapshot per claim, week and month (shared by the
 #: weekly and monthly marts in ``materialize``)
 SEGMENT_TABLE = "int_claims_period_latest"
@@ -121,7 +122,6 @@ def materialize(
     base_dir: str | None = None,
     parallel: bool = True,
     marts_from_history: bool = False,
-    shared_thinning: str = "persist",
 ) -> dict[str, str]:
     """Write classified and the six marts under ``base_dir`` (default: the
     session's ``spark.checkpoint.dir``), one folder per layer
@@ -129,16 +129,12 @@ def materialize(
 
     Order follows the model graph; every consumer reads its parent back from
     storage (full refresh, overwrite).  The weekly and monthly marts read a
-    shared intermediate, the latest snapshot per claim, week and month, so
-    the full classified table is scanned and thinned once for both.
-    ``shared_thinning`` keeps it ``"persist"`` (MEMORY_AND_DISK; lost blocks
-    are recomputed from the written classified table), ``"write"`` (a table
-    in ``intermediate/``, for very large histories) or ``"none"``.  After
-    that the three
-    branches (current; weekly -> transitions, metrics; monthly -> metrics)
-    are independent and, with ``parallel``, run as concurrent Spark jobs
-    from driver threads, so one branch's stragglers do not idle the
-    cluster.
+    shared written table, the latest snapshot per claim, week and month, so
+    the full classified table is scanned and thinned once for both.  After
+    that the three branches (current; weekly -> transitions, metrics; monthly
+    -> metrics) are independent and, with ``parallel``, run as concurrent
+    Spark jobs from driver threads, so one branch's stragglers do not idle
+    the cluster.
 
     With ``marts_from_history`` the current/weekly/monthly marts are built
     from ``raw`` with the skew-planned composition (latest rows first, then
@@ -160,27 +156,14 @@ def materialize(
     def classified() -> DataFrame:
         return tables.read_table(spark, paths[CLASSIFIED_TABLE])
 
-    cached: list[DataFrame] = []
-
     def segments_step() -> None:
         """Latest per (claim, week, month) of the written classified table:
         the full history is thinned once for both the weekly and the
-        monthly mart."""
-        if shared_thinning == "write":
-            tables.write_partitioned(
-                latest_per_segment(classified()), paths[SEGMENT_TABLE], "snapshot_date", ["claim_number"]
-            )
-        elif shared_thinning == "persist":
-            df = latest_per_segment(classified()).persist(StorageLevel.MEMORY_AND_DISK)
-            df.count()
-            cached.append(df)
+        monthly mart, which read all of it (no partitions needed)."""
+        latest_per_segment(classified()).write.mode("overwrite").parquet(paths[SEGMENT_TABLE])
 
     def segments() -> DataFrame:
-        if shared_thinning == "write":
-            return tables.read_table(spark, paths[SEGMENT_TABLE])
-        if shared_thinning == "persist":
-            return cached[0]
-        return classified()
+        return tables.read_table(spark, paths[SEGMENT_TABLE])
 
     staged = stage_claims(raw)
 
@@ -239,8 +222,31 @@ def materialize(
     else:
         for branch in branches:
             branch()
-    for df in cached:
-        df.unpersist()
-    if shared_thinning != "write":
+    if marts_from_history:
         paths.pop(SEGMENT_TABLE)
     return paths
+
+
+def refresh(
+    spark: SparkSession, raw: DataFrame, rates: DataFrame, categories: DataFrame, base_dir: str, prefix: str = ""
+) -> dict[str, str]:
+    """A full refresh in the catalog: seeds, classified and marts are written
+    into a fresh folder under ``base_dir``, then each name in its layer's
+    schema (``staging``, ``intermediate``, ``marts``, ``seeds``, after
+    ``prefix``) is pointed at the new table.  A name always shows a whole
+    table, the old one or the new one, and a reader of the old one keeps its
+    files.  The staged rows are written as well: the
+    source may change after the refresh.  Returns table name ->
+    path; folders of earlier refreshes may be deleted once nobody reads them."""
+    run = f"{base_dir.rstrip('/')}/refresh-{uuid.uuid4().hex}"
+    paths = materialize(spark, raw, rates, run)
+    layers = {name: INTERMEDIATE if name.startswith("int_") else MARTS for name in paths}
+    for name, seed in ((CURRENCY_SEED, rates), (CATEGORY_SEED, categories)):
+        paths[name], layers[name] = tables.layer_path(run, SEEDS, name), SEEDS
+        seed.write.mode("overwrite").parquet(paths[name])
+    source = tables.layer_path(run, STAGING, STAGED_VIEW)
+    stage_claims(raw).write.mode("overwrite").parquet(source)
+    paths[STAGED_VIEW], layers[STAGED_VIEW] = source, STAGING
+    for name, path in paths.items():
+        tables.publish(spark, f"{prefix}{layers[name]}", name, path)
+    return paths

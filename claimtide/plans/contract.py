@@ -151,12 +151,20 @@ def q_tier_counts(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """A mart written and read back: the review layer reads it several times,
+    which must not run the history again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _weekly_metrics(spark, sf_dir):
-    return models(spark, sf_dir)["weekly_metrics"]
+    return _stored(models(spark, sf_dir)["weekly_metrics"], "weekly_metrics")
 
 
 def _monthly_metrics(spark, sf_dir):
-    return models(spark, sf_dir)["monthly_metrics"]
+    return _stored(models(spark, sf_dir)["monthly_metrics"], "monthly_metrics")
 
 
 def q_period_dimension_weekly(spark, sf_dir):

@@ -234,6 +234,32 @@ MART_TABLES = (
     ("monthly_metrics", "mart_claims_monthly_metrics"),
 )
 
+# Output columns of the transitions mart, in order
+TRANSITION_COLUMNS = (
+    "claim_snapshot_key",
+    "claim_number",
+    "snapshot_date",
+    "week_start_date",
+    "week_end_date",
+    "report_year",
+    "report_week",
+    "previous_status",
+    "current_status",
+    "transition_type",
+    "previous_wbr_tier1",
+    "wbr_tier1",
+    "wbr_tier2",
+    "wbr_tier3",
+    "country",
+    "carrier_name",
+    "source",
+    "submitted_date",
+    "case_date_closed",
+    "previous_value_usd",
+    "value_usd",
+    "week_over_week_value_delta_usd",
+)
+
 # ==========================================================================
 # End of fixed values
 # ==========================================================================

@@ -12,7 +12,7 @@ from claimtide.schemas import MART_TABLES
 MONTH_PARTITION = "partition_month"
 
 #: layer folders (the source project's schema per layer)
-STAGING, INTERMEDIATE, MARTS = "staging", "intermediate", "marts"
+STAGING, INTERMEDIATE, MARTS, SEEDS = "staging", "intermediate", "marts", "seeds"
 
 #: bound on rows per written file, so a hot month still splits into files.
 MAX_RECORDS_PER_FILE = 5_000_000
@@ -47,10 +47,12 @@ def write_partitioned(
 
 
 def write_clustered(df: DataFrame, path: str, cluster_by: list[str], mode: str = "overwrite") -> None:
-    """Clustered table without partitions (the current-state mart): evenly
-    sized files (``REBALANCE``), rows sorted by the cluster columns."""
+    """Clustered table without partitions (the current-state mart): a file
+    holds one range of the cluster columns, sorted, so a point lookup opens
+    one file and skips the others by their statistics.  The ranges come from
+    a sample, which reads ``df`` once more: give a cheap or written one."""
     (
-        df.hint("rebalance")
+        df.repartitionByRange(*cluster_by)
         .sortWithinPartitions(*cluster_by)
         .write.mode(mode)
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
@@ -85,11 +87,22 @@ def layer_path(base_dir: str, layer: str, table: str) -> str:
     return f"{base_dir.rstrip('/')}/{layer}/{table}"
 
 
-def read_mart(spark: SparkSession, base_dir: str, table: str) -> DataFrame:
-    """``select *`` of one of the six marts by its table name."""
+def publish(spark: SparkSession, schema: str, table: str, path: str) -> None:
+    """Points ``schema.table`` at the table written to ``path``.  The name is
+    a view that is replaced in one step, so it is never missing."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
+    columns = ", ".join(f"`{c}`" for c in read_table(spark, path).columns)
+    spark.sql(f"CREATE OR REPLACE VIEW `{schema}`.`{table}` AS SELECT {columns} FROM parquet.`{path}`")
+
+
+def read_mart(spark: SparkSession, base_dir: str | None, table: str, prefix: str = "") -> DataFrame:
+    """``select *`` of one of the six marts by its table name: from the folder
+    of a build or, without one, from the catalog's ``marts`` schema."""
     names = {name for _key, name in MART_TABLES}
     if table not in names:
-        raise ValueError(f"Unexpected mart table: {table!r}")
+        raise ValueError(f"no such mart: {table!r}")
+    if base_dir is None:
+        return spark.table(f"`{prefix}{MARTS}`.`{table}`")
     return read_table(spark, layer_path(base_dir, MARTS, table))
 
 

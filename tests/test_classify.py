@@ -67,3 +67,19 @@ def test_report_weeks_of_dates(spark):
     assert (r.report_year, r.report_week) == (2025, 1)
     assert (r.submitted_year, r.submitted_week) == (2020, 53)
     assert (r.closed_year, r.closed_week) == (2024, 52)
+
+
+def test_a_currency_code_with_two_rates_is_refused(spark):
+    from decimal import Decimal
+
+    import pytest
+
+    from claimtide.operators.classify import convert_currency
+    from claimtide.operators.staging import stage_claims
+    from claimtide.operators.quality import CURRENCY, run_checks
+    from claimtide.schemas import CURRENCY_SCHEMA
+
+    rates = spark.createDataFrame([("USD", "a", Decimal(1)), ("USD", "b", Decimal(2)), (None, "c", Decimal(1)), (None, "d", Decimal(1))], CURRENCY_SCHEMA)
+    with pytest.raises(ValueError, match="USD"):
+        convert_currency(stage_claims(raw_rows(spark, [snapshot("A", "2024-01-01", "Open")])), rates)
+    assert [(r.check_name, r.failing_rows) for r in run_checks({CURRENCY: rates}).collect()] == [("unique:currency:currency_code", 1)]

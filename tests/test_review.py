@@ -111,3 +111,19 @@ def test_captions_and_emptiness(spark):
     assert matching_caption(claims_extract(marts["current"]), "current claims") == "2 matching current claims"
     assert has_rows(marts["weekly_transitions"])
     assert not has_rows(claims_extract(marts["current"], country=["CA"]))
+
+
+def test_numeric_sum_rules(spark):
+    df = spark.createDataFrame([("ACTIVE CASES", "5", 2), ("ACTIVE CASES", "x", 3), ("CLOSED CASES", None, None)], "wbr_tier1 string, text string, claim_count int")
+    sums = [R.numeric_sum(df, "text"), R.numeric_sum(df, "claim_count"), R.numeric_sum(df, "absent"), R.tier_metric(df, "ACTIVE CASES"), R.tier_metric(df, "OTHER"), R.tier_metric(df, "ACTIVE CASES", "absent")]
+    assert list(df.agg(*(s.alias(f"s{i}") for i, s in enumerate(sums))).first()) == [5.0, 5.0, 0.0, 5.0, 0.0, 0.0]
+    assert list(df.limit(0).agg(R.numeric_sum(df, "claim_count"), R.tier_metric(df, "ACTIVE CASES")).first()) == [0.0, 0.0]
+
+
+def test_orders_are_kept(spark):
+    metrics = spark.createDataFrame([(2024, w, f"2024-0{m}-01", f"2024-0{m}-07") for w, m in ((9, 3), (1, 1), (5, 2))], "report_year int, report_week int, week_start_date string, week_end_date string")
+    assert [r.report_week for r in R.period_dimension(metrics, WEEKLY).collect()] == [1, 5, 9]
+    assert [p.label for p in R.collect_periods(metrics, WEEKLY)] == ["2024-W01", "2024-W05", "2024-W09"]
+    rows = spark.createDataFrame([("a", "2024-01-07"), ("b", "2024-03-09"), ("c", "2024-02-10"), ("d", "2024-03-09")], "claim_number string, week_end_date string").repartition(4)
+    days = [r["Week End Date"] for r in transitions_extract(rows).collect()]
+    assert days == sorted(days, reverse=True) and len(days) == 4
