@@ -10,10 +10,13 @@ reach the threshold are confirmed on the full sets.
 
 A bucket's members are not paired with each other.  Documents with equal sets
 form one class first.  Then every member of a bucket is compared with one of
-them, the bucket's pivot; links are merged into components; and only buckets
-that still hold several components go on: with other pivots while there is
-much to compare, and at last with all pairs across components (not within
-them), so no link between components is left out.  Components come from
+them, the bucket's pivot, and links are merged into components.  Only buckets
+of three and more that still hold several components go on: the members
+outside their bucket's largest component are compared with all of another
+component, on the full sets.  Such a bucket is cut into tiles of at most
+``TILE`` by ``TILE`` members, so a large one is many tasks; a tile counts the
+common shingles of all its pairs by one matrix product and returns no more
+links than it has members (those that join components).  Components come from
 repeated minima over written tables; nothing but counts reaches the driver.
 
 Cases: null, empty and wordless texts have an empty set, are linked with
@@ -41,19 +44,19 @@ from claimtide.llm.tables import join_groups, written
 WORDS = 5
 #: links need ``100 * intersection >= PERCENT * union``.
 PERCENT = 85
-#: 24 bands of 4: a pair at the threshold shares none with a chance of 2e-8.
-BANDS, ROWS = 24, 4
-REGISTERS = BANDS * ROWS
+#: 20 bands of 4: a pair at the threshold shares none with a chance of 4e-7.
+BANDS, ROWS = 20, 4
+#: all of them count for the estimate, the first ones are banded.
+REGISTERS = 160
 #: the register scale: base, rate and largest value.
 BASE, RATE, LARGEST = 1.001, 20.0, 65535
-#: pairs whose estimate is below are not confirmed: the estimate's error is
-#: 0.036 at the threshold, so that is nearly seven times the error below it.
-LEAST_ESTIMATE = 0.6
+#: pairs whose estimate is below are not confirmed: its error is 0.028 at the
+#: threshold, so that is more than four and a half times the error below it.
+LEAST_ESTIMATE = 0.72
 #: bytes of text sketched at once.
 CHUNK_BYTES = 3_000_000
-#: pairs across components, per member, from which on another round of pivots
-#: comes first, and how many such rounds there may be.
-PIVOT_FACTOR, PIVOT_ROUNDS = 16, 4
+#: members on either side of a tile, and columns multiplied at once.
+TILE, COLUMNS = 512, 16_384
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -175,9 +178,8 @@ def sketches(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _sets(df: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """(node, shingles) of the wanted nodes, from their documents' texts."""
-    node = wanted.schema["node"].dataType
-    schema = T.StructType([T.StructField("node", node), T.StructField("shingles", T.BinaryType())])
+    """(node, shingles) of the wanted nodes, from their first documents."""
+    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("shingles", T.BinaryType())])
 
     def run(batches):
         for batch in batches:
@@ -188,7 +190,7 @@ def _sets(df: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
                 )
 
     texts = df.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
-    of = wanted.select("node", F.col("node.id").alias("w_id"), F.col("node.text_hash").alias("w_hash"))
+    of = wanted.select("node", F.col("first.id").alias("w_id"), F.col("first.text_hash").alias("w_hash"))
     met = texts.join(of, texts["id"].eqNullSafe(of["w_id"]) & (texts["text_hash"] == of["w_hash"])).select("node", "text").mapInArrow(run, schema)
     # rows that repeat an id and its text have given the same set
     return met.dropDuplicates(["node"])
@@ -196,8 +198,7 @@ def _sets(df: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (a, b) that are links."""
-    node = pairs.schema["a"].dataType
-    schema = T.StructType([T.StructField("a", node), T.StructField("b", node)])
+    schema = "a long, b long"
 
     def likely(batches):
         for batch in batches:
@@ -241,8 +242,89 @@ def components(links: DataFrame) -> DataFrame:
             return roots
 
 
-def _alike_in_size(a: str, b: str, percent: int):
-    return (100 * F.least(a, b) >= percent * F.greatest(a, b))
+def common_counts(some: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all ``some`` with all ``others``."""
+    values, which, count = np.unique(np.concatenate([*some, *others]), return_inverse=True, return_counts=True)
+    # a shingle that one set alone has is in no intersection
+    column = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[which]
+    row = np.repeat(np.arange(len(some) + len(others)), [len(x) for x in [*some, *others]])
+    row, column = row[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(some), len(others)), np.float64)
+    for first in range(0, int((count > 1).sum()), COLUMNS):
+        a, b = np.searchsorted(column, [first, first + COLUMNS])
+        part = np.zeros((len(some) + len(others), COLUMNS), np.float32)
+        part[row[a:b], column[a:b] - first] = 1
+        out += part[: len(some)] @ part[len(some) :].T
+    return out.astype(np.int64)
+
+
+def joining_links(some, others, percent: int) -> list[tuple[int, int]]:
+    """Links between (node, root, set) rows of ``some`` and ``others`` that
+    join their components: no more than there are components."""
+    sets = [x[2] for x in some], [x[2] for x in others]
+    common = common_counts(*sets)
+    sizes = [np.array([len(x) for x in side]) for side in sets]
+    linked = 100 * common >= percent * (sizes[0][:, None] + sizes[1][None, :] - common)
+    linked &= np.array([x[1] for x in some])[:, None] != np.array([x[1] for x in others])[None, :]
+    top: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while top.setdefault(x, x) != x:
+            top[x] = x = top[top[x]]
+        return x
+
+    out = []
+    for i, j in zip(*(k.tolist() for k in np.nonzero(linked)), strict=True):
+        x, y = find(some[i][1]), find(others[j][1])
+        if x != y:
+            top[x] = y
+            out.append((some[i][0], others[j][0]))
+    return out
+
+
+def _across(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components that share a bucket."""
+    placed = members.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("part"))
+    split = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("part").alias("size"), F.max(F.struct("part", "root")).alias("main"))
+    tiles = lambda n: F.ceil(n / TILE).cast("int")
+    split = written(
+        split.where("parts > 1 and size > 2").select("bucket", F.col("main.root").alias("main"), tiles(F.col("size") - F.col("main.part")).alias("down"), tiles(F.col("size")).alias("over")), "near-open"
+    )
+    rows = placed.join(split, "bucket")
+    outside = F.col("root") != F.col("main")
+    single = (F.col("down") == 1) & (F.col("over") == 1)
+    at = lambda seed, n: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
+    every = rows.withColumn("side", F.when(single & outside, 2).otherwise(1)).select(
+        "bucket", F.explode(F.sequence(F.lit(0), F.col("down") - 1)).alias("i"), at(1, "over").alias("j"), "side", "node", "root"
+    )
+    some = rows.where(outside & ~single).select(
+        "bucket", at(2, "down").alias("i"), F.explode(F.sequence(F.lit(0), F.col("over") - 1)).alias("j"), F.lit(0).alias("side"), "node", "root"
+    )
+    tile = ["bucket", "i", "j"]
+
+    def run(batches):
+        made: list[tuple[int, int]] = []
+        here, some, others = None, [], []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in [*tile, "side", "node", "root", "shingles"]), strict=True):
+                if row[:3] != here:
+                    if some and others:
+                        made += joining_links(some, others, percent)
+                    here, some, others = row[:3], [], []
+                member = (row[4], row[5], np.frombuffer(row[6], np.uint64))
+                if row[3] != 1:
+                    some.append(member)
+                if row[3] != 0:
+                    others.append(member)
+        if some and others:
+            made += joining_links(some, others, percent)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (list(zip(*made, strict=True)) or [[], []])], ["a", "b"])
+
+    held = some.unionByName(every).join(sets, "node").select(*tile, "side", "node", "root", "shingles")
+    return held.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(run, "a long, b long")
 
 
 def groups(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -250,49 +332,23 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     the component's first document; null for empty sets)."""
     rows = written(sketches(df, key, text), "near-sketches")
     filled = rows.where("n > 0")
-    classes = written(
-        filled.groupBy("digest").agg(F.min(F.struct("id", "text_hash")).alias("node"), F.first("registers").alias("registers"), F.first("n").alias("n"), F.count("*").alias("rows")), "near-classes"
-    )
-    nodes = classes.select("node", "registers", "n")
+    same = filled.groupBy("digest").agg(F.min(F.struct("id", "text_hash")).alias("first"), F.first("registers").alias("registers"), F.first("n").alias("n"), F.count("*").alias("rows"))
+    classes = written(same.withColumn("node", F.monotonically_increasing_id()), "near-classes")
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substr("registers", i * (2 * ROWS) + 1, F.lit(2 * ROWS))))
-    banded = nodes.select("node", "n", F.explode(band).alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("pivot")).where("size > 1")
+    banded = classes.select("node", F.explode(band).alias("bucket"))
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).where("size > 1")
     members = written(banded.join(shared, "bucket"), "near-members")
-    pairs = (
-        members.where((F.col("node") != F.col("pivot.node")) & _alike_in_size("n", "pivot.n", percent)).select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).distinct()
-    )
-    wanted = members.select("node").distinct()
+    pairs = members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    wanted = classes.select("node", "first").join(members.select("node").distinct(), "node")
     sets = written(_sets(df, wanted, key, text), "near-sets")
-    links = written(_confirmed(pairs, nodes, sets, percent), "near-links")
+    links = written(_confirmed(pairs, classes.select("node", "registers", "n"), sets, percent), "near-links")
     roots = components(links)
-    for turn in range(PIVOT_ROUNDS + 1):
-        # buckets that hold several components
-        placed = members.join(roots, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"), F.col("pivot.node").alias("pivot"))
-        parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("part"), F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("some"))
-        split = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("part").alias("size"), F.sum(F.col("part") * F.col("part")).alias("squares"), F.max(F.struct("part", "root")).alias("largest"), F.min("some").alias("some")).where("parts > 1 and size > 2")
-        split = written(split.select("bucket", "size", "squares", F.col("largest.root").alias("main"), F.col("some.node").alias("other")), "near-open")
-        work = split.agg(F.sum("size"), F.sum((F.col("size") * F.col("size") - F.col("squares")) / 2)).first()
-        if work[0] is None:
-            break
-        open_members = placed.join(split, "bucket")
-        last = turn == PIVOT_ROUNDS or work[1] <= PIVOT_FACTOR * work[0]
-        if last:  # all pairs across components, the smaller parts against all
-            less = open_members.where(F.col("root") != F.col("main")).select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"), "pivot")
-            every = open_members.select("bucket", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), (F.col("root") == F.col("main")).alias("in_main"))
-            across = less.join(every, "bucket").where(
-                (F.col("root_a") != F.col("root_b")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & (F.col("pivot") != F.col("a")) & (F.col("pivot") != F.col("b")) & _alike_in_size("n_a", "n_b", percent)
-            )
-            pairs = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        else:
-            chosen = open_members.where(F.col("node") == F.col("other")).select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-            pairs = open_members.join(chosen, "bucket").where((F.col("root") != F.col("root_a")) & _alike_in_size("n", "n_a", percent)).select("a", F.col("node").alias("b")).distinct()
-        found = written(_confirmed(pairs, nodes, sets, percent), "near-links")
-        links = links.union(found)
-        if not found.isEmpty():
-            roots = components(links)
-        if last:
-            break
-    named = written(classes.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"), F.col("rows").alias("group_rows")), "near-named")
+    across = written(_across(members.where("size > 2"), roots, sets, percent), "near-across")
+    if not across.isEmpty():
+        roots = components(links.union(across))
+    named = classes.select("digest", "node", "first", F.col("rows").alias("group_rows")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = named.groupBy("root").agg(F.min("first").alias("least"), F.count("*").alias("classes"))
+    named = written(join_groups(named, least, "root", "classes").select("digest", F.col("least").alias("root"), "group_rows"), "near-named")
     placed = join_groups(filled, named, "digest", "group_rows")
     return placed.select("id", "text_hash", "n", "root").unionByName(rows.where("n = 0").select("id", "text_hash", "n", F.lit(None).cast(named.schema["root"].dataType).alias("root")))
 

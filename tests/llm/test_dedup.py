@@ -8,6 +8,7 @@ import sys
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from claimtide.llm import exact_dedup, near_dedup, tables
 
@@ -117,13 +118,24 @@ def test_chains_are_followed_to_the_end(spark):
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == want
 
 
-def test_buckets_that_hold_several_components_go_on(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "PIVOT_FACTOR", 0)  # pivot rounds first
-    monkeypatch.setattr(near_dedup, "PIVOT_ROUNDS", 1)
-    rows = list(enumerate(near_copies(5, 50, 90, 7)))
+@pytest.mark.parametrize("tile", [3, 512])
+def test_buckets_that_hold_several_components_go_on(spark, monkeypatch, tile):
+    monkeypatch.setattr(near_dedup, "TILE", tile)
+    rows = list(enumerate(near_copies(5, 60, 90, 7)))
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute_components(rows)
 
 
+def test_links_across_components(monkeypatch):
+    monkeypatch.setattr(near_dedup, "COLUMNS", 7)
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 60, 40)).astype(np.uint64) for _ in range(12)]
+    want = [[len(np.intersect1d(x, y)) for y in sets[5:]] for x in sets[:5]]
+    assert near_dedup.common_counts(sets[:5], sets[5:]).tolist() == want
+    one = np.arange(100, dtype=np.uint64)
+    some = [(1, 1, one), (2, 2, one[:90]), (3, 3, one[:50])]
+    assert len(near_dedup.joining_links(some, [*some, (9, 1, one)], 85)) == 1
+
+
 def test_first_documents_stay_with_their_columns(spark):
     texts = near_copies(1, 12, 120, 2)
     rows = [(20 + i, t, "d", i, 2) for i, t in enumerate(texts)] + [(1, "", "e", 0, 0), (2, None, "f", 0, 0), (20, texts[0], "d", 0, 2)]
