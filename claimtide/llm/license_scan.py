@@ -144,3 +144,44 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", phrases=PHRASES
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Phrases and notices of all documents."""
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("spans")
+
+
+def _template_rows() -> str:
+    every = [(t, label, "true") for t, label in PHRASES] + [(t, label, "false") for t, label in NOTICES]
+    return ", ".join(f"({k}, {template_words(t)}, '{label}', {base})" for k, (t, label, base) in enumerate(every))
+
+
+OP2_SQL = rf"""
+WITH templates(template, words, label, base) AS (VALUES {_template_rows()}),
+pairs AS (
+  SELECT template, len(words) AS length, label, base, place, words[place + 1] AS one, words[place + 2] AS two
+  FROM (SELECT *, unnest(range(len(words) - 1)) AS place FROM templates)),
+worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '{WORD}') AS w
+  FROM documents),
+hits AS (
+  SELECT doc_id, pos, p.* FROM (SELECT doc_id, w, unnest(range(len(w) - 1)) AS pos FROM worded) d
+  JOIN pairs p ON p.one = w[pos + 1] AND p.two = w[pos + 2]),
+diagonals AS (
+  SELECT doc_id, template, length, label, base, pos - place AS diagonal, count(*) AS votes, min(pos) AS first,
+    max(pos) + 2 AS after, list(place) AS places
+  FROM hits GROUP BY ALL),
+opened AS (
+  SELECT *, base OR coalesce(diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) > {SLACK}, true) AS opens
+  FROM diagonals),
+numbered AS (
+  SELECT *, count_if(opens) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM opened),
+spans AS (
+  SELECT doc_id, template, length, label, base, sum(votes) AS votes, min(first) AS first, max(after) AS after,
+    len(list_distinct(flatten(list(list_concat(places, list_transform(places, lambda p: p + 1)))))) / length AS share
+  FROM numbered GROUP BY doc_id, template, length, label, base, span),
+found AS (
+  SELECT * FROM spans WHERE CASE WHEN base THEN votes = length - 1
+    ELSE share >= {LEAST_SHARE} AND after - first <= length * {LONGEST_SPAN} END)
+SELECT d.doc_id, len(any_value(w)) AS n_words, count(f.first) FILTER (base) AS n_base, min(f.first) FILTER (base) AS first_word,
+  max(f.first) FILTER (base) AS last_word,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base), '') AS base_labels,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(share), 0.0::DOUBLE) AS score
+FROM worded d LEFT JOIN found f USING (doc_id) GROUP BY d.doc_id
+"""

@@ -372,3 +372,29 @@ def op6_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = groups(documents)
     component = F.when(F.col("n") > 0, F.col("root.id")).otherwise(F.col("id"))
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+
+
+OP6_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+placed AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS i FROM worded),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, hash(word, b, c, d, e) AS shingle
+  FROM (SELECT doc_id, n, i, word, lead(word) OVER o AS b, lead(word, 2) OVER o AS c, lead(word, 3) OVER o AS d,
+          lead(word, 4) OVER o AS e
+        FROM placed WINDOW o AS (PARTITION BY doc_id ORDER BY i))
+  WHERE i + 5 <= n OR i = 0),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+SELECT doc_id, coalesce(max(n), 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""

@@ -195,4 +195,59 @@ def judge(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 def op5_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality verdicts on all documents."""
-    return judge(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    judged = judge(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged.withColumn("failed_rules", F.array_join("failed_rules", ","))
+
+
+OP5_SQL = rf"""
+WITH worded AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+placed AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM worded),
+triples AS (
+  SELECT doc_id, i, word, lead(word) OVER d AS second, lead(word, 2) OVER d AS third
+  FROM placed WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, word, second, third) AS n FROM triples WHERE third IS NOT NULL),
+inside AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM windows CROSS JOIN range(3) r(k) WHERE n > 1 GROUP BY doc_id),
+counted AS (
+  SELECT doc_id, lang, text, w, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM worded LEFT JOIN inside USING (doc_id)),
+measured AS (
+  SELECT * EXCLUDE (text, w, lines), len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    if(n_words = 0, [0.0, 0, 0, 0, 0, 0], [n_symbols / word_chars, (len(lines) - len(list_distinct(lines))) / len(lines),
+      n_repeat_words / n_words,
+      len(list_filter(w, lambda x: regexp_matches(x, '\p{{Lu}}') AND NOT regexp_matches(x, '[\p{{Ll}}\p{{Lt}}]'))) / n_words,
+      len(regexp_extract_all(text, '!')) / word_chars, word_chars / n_words / 50]) AS v
+  FROM counted),
+stepped AS (
+  SELECT * EXCLUDE (v), unnest({RULES}) AS rule, unnest(range(1, {len(RULES) + 1})) AS place,
+    CAST(ceil(least(1.0, unnest(v)) * {STEPS}) AS INTEGER) AS step
+  FROM measured),
+marked AS (SELECT doc_id, min(quality) AS good FROM labels GROUP BY doc_id HAVING min(quality) = max(quality) AND min(quality) IN (0, 1)),
+tallied AS (
+  SELECT lang, rule, step, count_if(good = 1) AS good, count_if(good = 0) AS poor FROM stepped JOIN marked USING (doc_id) GROUP BY ALL),
+beyond AS (
+  SELECT lang, rule, c.step, coalesce(sum(good) FILTER (t.step > c.step), 0) AS good, coalesce(sum(poor) FILTER (t.step > c.step), 0) AS poor,
+    sum(good) AS n
+  FROM tallied t CROSS JOIN range({STEPS}) c(step) GROUP BY lang, rule, c.step),
+tested AS (
+  SELECT *, list_sum(list_transform(range(CAST(good AS BIGINT) + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1)
+      - CASE WHEN n > i THEN lgamma(n - i + 1) ELSE 0 END + i * ln({RULE_RISK}) + (n - i) * ln(1 - {RULE_RISK}))))
+    > {DELTA} / (SELECT count(*) FROM (SELECT DISTINCT lang, rule FROM tallied)) AS fails
+  FROM beyond),
+chosen AS (
+  SELECT lang, rule, min(step) AS cutoff
+  FROM (SELECT *, max(step) FILTER (fails) OVER (PARTITION BY lang, rule) AS last_failure FROM tested)
+  WHERE n > 0 AND step > coalesce(last_failure, -1) AND poor > 0 AND poor >= {PURITY} * (good + poor) GROUP BY ALL)
+SELECT s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED_PERCENT} * n_words AS base_failed,
+  NOT (n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED_PERCENT} * n_words) AND count(cutoff) FILTER (s.step > cutoff) = 0 AS kept,
+  coalesce(string_agg(s.rule, ',' ORDER BY place) FILTER (s.step > cutoff), '') AS failed_rules
+FROM stepped s LEFT JOIN chosen c ON c.rule = s.rule AND c.lang IS NOT DISTINCT FROM s.lang
+GROUP BY s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words
+"""

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from claimtide.llm.bpe import op1_byte_bpe
 from claimtide.llm.exact_dedup import OP8_SQL, op8_digest_index
-from claimtide.llm.license_scan import op2_license_scan
-from claimtide.llm.near_dedup import op6_setsketch_near_dedup
+from claimtide.llm.license_scan import OP2_SQL, op2_license_scan
+from claimtide.llm.near_dedup import OP6_SQL, op6_setsketch_near_dedup
 from claimtide.llm.packing import op4_dp_packing
 from claimtide.llm.pii import op7_weak_pii
-from claimtide.llm.quality_rules import op5_risk_controlled_quality
+from claimtide.llm.quality_rules import OP5_SQL, op5_risk_controlled_quality
 from claimtide.llm.secret_scan import op9_assignment_secrets
-from claimtide.llm.sharding import op10_interleaved_shards
+from claimtide.llm.sharding import OP10_SQL, op10_interleaved_shards
 from claimtide.llm.toxicity import op3_counterfactual_toxicity
 
 QUERIES = {
@@ -27,4 +27,10 @@ QUERIES = {
 }
 
 #: queries that SQL can express; the others are tested against brute force.
-SQL: dict[str, str] = {"op8_digest_index": OP8_SQL}
+SQL: dict[str, str] = {
+    "op2_license_scan": OP2_SQL,
+    "op5_risk_controlled_quality": OP5_SQL,
+    "op6_setsketch_near_dedup": OP6_SQL,
+    "op8_digest_index": OP8_SQL,
+    "op10_interleaved_shards": OP10_SQL,
+}

@@ -83,3 +83,39 @@ def op10_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source"
     )
+
+
+def _crc_table() -> list[int]:
+    """CRC-32 of the sixteen half bytes, by its polynomial."""
+    table = list(range(16))
+    for _ in range(4):
+        table = [c >> 1 ^ (0xEDB88320 if c & 1 else 0) for c in table]
+    return table
+
+
+def _half(register: str) -> str:
+    return f"xor(({register}) >> 4, {_crc_table()}[(({register}) & 15) + 1])"
+
+
+OP10_SQL = f"""
+WITH bytes AS (
+  SELECT doc_id, source, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x:
+    (strpos('0123456789ABCDEF', x[1]) - 1) * 16 + strpos('0123456789ABCDEF', x[2]) - 1) AS b
+  FROM documents),
+summed AS (
+  SELECT doc_id, source, CAST(len(b) + 1 AS BIGINT) AS size,
+    xor(list_reduce(b, lambda c, x: {_half(_half("xor(c, x)"))}, 4294967295::BIGINT), 4294967295) AS text_crc32
+  FROM bytes),
+ranked AS (
+  SELECT *, md5('{SEED}:' || doc_id) AS place,
+    row_number() OVER (PARTITION BY source ORDER BY md5('{SEED}:' || doc_id), doc_id, text_crc32, size) AS rank,
+    count(*) OVER (PARTITION BY source) AS of_source, count(*) OVER () AS total
+  FROM summed),
+dealt AS (
+  SELECT *, row_number() OVER (
+    ORDER BY CAST(2 * rank - 1 AS DOUBLE) / (2 * of_source), source, place, doc_id, text_crc32, size) - 1 AS pos
+  FROM ranked)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(pos * {SHARDS} // total AS INTEGER) AS shard,
+  pos - (pos * {SHARDS} // total * total + {SHARDS - 1}) // {SHARDS} AS slot, CAST(NULL AS INTEGER) AS grown_shard, source
+FROM dealt
+"""
