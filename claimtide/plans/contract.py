@@ -26,6 +26,7 @@ from claimtide.plans.build import ModelGraph, build
 from claimtide.schemas import STAGED_DATES
 from claimtide.session import scratch_path
 from claimtide.sources import tables
+from claimtide.sources.history import read_history
 from claimtide.sources.seeds import currency_rates
 from claimtide.sources.testdata import testdata_history
 
@@ -374,6 +375,31 @@ def q_month_pruned_read(spark, sf_dir):
     return as_doubles(tables.read_month_range(spark, path, "week_end_date", "1996-03-15", "1997-06-30"))
 
 
+def q_history_scan(spark, sf_dir):
+    """The history as a stored table, through the shipped reader (the 19 used
+    columns of a wider table) and staging."""
+    path = scratch_path(spark, "raw_history")
+    testdata_history(spark, sf_dir).withColumn("unused", F.lit(1)).write.parquet(path)
+    return as_doubles(stage_claims(read_history(spark, path)))
+
+
+def q_currency_convert_csv(spark, sf_dir):
+    """Conversion with a currency seed read from CSV."""
+    path = scratch_path(spark, "currency_seed_csv")
+    tables.write_csv(currency_rates(spark), path)
+    conv = convert_currency(staged(spark, sf_dir), currency_rates(spark, path))
+    return as_doubles(conv.select("claim_number", "snapshot_date", "currency", "value_of_trailer", "value_usd"))
+
+
+def q_mart_by_name(spark, sf_dir):
+    """The current mart written range-clustered and read by its name."""
+    base, name = scratch_path(spark, "by_name"), "mart_claims_current"
+    tables.write_clustered(
+        _current(spark, sf_dir), tables.layer_path(base, tables.MARTS, name), ["claim_number", "status", "wbr_tier1"]
+    )
+    return as_doubles(tables.read_mart(spark, base, name))
+
+
 # ---------------------------------------------------------------------------
 # data quality
 # ---------------------------------------------------------------------------
@@ -423,6 +449,9 @@ QUERIES.update(
         "title_case_headers": q_title_case_headers,
         "csv_round_trip": q_csv_round_trip,
         "month_pruned_read": q_month_pruned_read,
+        "history_scan": q_history_scan,
+        "currency_convert_csv": q_currency_convert_csv,
+        "mart_by_name": q_mart_by_name,
         "dq_not_null": _dq(("not_null",)),
         "dq_unique": _dq(("unique",)),
         "dq_accepted": _dq(("accepted_values",)),

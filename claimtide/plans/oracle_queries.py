@@ -348,6 +348,10 @@ SQL["month_pruned_read"] = with_blocks("weekly") + (
     "FROM weekly WHERE week_end_date BETWEEN DATE '1996-03-15' AND DATE '1997-06-30'"
 )
 
+SQL["history_scan"] = SQL["stage_claims"]
+SQL["currency_convert_csv"] = SQL["currency_convert"]
+SQL["mart_by_name"] = SQL["current_claims"]
+
 # ---------------------------------------------------------------------------
 # data quality
 # ---------------------------------------------------------------------------
