@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from claimtide.llm.tables import join_groups, scratch, written
+from claimtide.llm.tables import every_column, join_groups, scratch, written
 
 BUCKETS = 32
 
@@ -91,7 +91,7 @@ def distinct_texts(df: DataFrame, index: DigestIndex, key: str = "doc_id", text:
     groups = rows.groupBy("digest").agg(first.alias("first")).select("digest", F.col("first.id").alias("keep_id"))
     new = written(index.unseen(groups), "distinct-new")
     index.append(new)
-    inner = df.select(F.struct(*df.columns).alias("row"), F.col(key).alias("id"), digest.alias("digest"))
+    inner = df.select(F.struct(*every_column(df)).alias("row"), F.col(key).alias("id"), digest.alias("digest"))
     kept = new.select(F.struct("digest", "keep_id").alias("stay"))
     met = inner.join(kept, (inner["digest"] == kept["stay.digest"]) & inner["id"].eqNullSafe(kept["stay.keep_id"]))
     turn = F.row_number().over(W.partitionBy("digest", "id").orderBy(F.lit(1)))

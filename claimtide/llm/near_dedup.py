@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimtide.llm.slices import mixed, slice_digests
-from claimtide.llm.tables import join_groups, written
+from claimtide.llm.tables import every_column, join_groups, written
 
 WORDS = 5
 #: links need ``100 * intersection >= PERCENT * union``.
@@ -360,7 +360,7 @@ def first_documents(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     stay = found.where((F.col("n") > 0) & F.col("root").eqNullSafe(F.struct("id", "text_hash"))).select("id", "text_hash").distinct()
     blank = found.where("n = 0").select("id", "text_hash").distinct()
     held = written(stay.withColumn("blank", F.lit(False)).union(blank.withColumn("blank", F.lit(True))), "near-held").select(F.struct(F.col("id"), F.col("text_hash"), F.col("blank")).alias("held"))
-    inner = df.select(F.struct(*df.columns).alias("row"), F.col(key).alias("id"), F.xxhash64(text).alias("text_hash"))
+    inner = df.select(F.struct(*every_column(df)).alias("row"), F.col(key).alias("id"), F.xxhash64(text).alias("text_hash"))
     met = inner.join(held, inner["id"].eqNullSafe(held["held.id"]) & (inner["text_hash"] == held["held.text_hash"]))
     turn = F.row_number().over(W.partitionBy("id", "text_hash").orderBy(F.lit(1)))
     return met.withColumn("turn", turn).where(F.col("held.blank") | (F.col("turn") == 1)).select("row.*")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimtide.session import ensure_checkpoint_dir
@@ -15,6 +15,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def every_column(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written and read again: computed once, its lineage cut, and read
     by every executor from the shared folder."""

@@ -146,6 +146,13 @@ def test_first_documents_stay_with_their_columns(spark):
     assert near_dedup.first_documents(df.limit(0)).count() == 0
 
 
+def test_odd_column_names_are_kept(spark):
+    rows = [(1, "a b c d e f", 1, 2, 3), (2, "a  b c d e f", 4, 5, 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `a.b` int, `x``y` int, `row` int")
+    for got in (near_dedup.first_documents(df), exact_dedup.distinct_texts(df, index_of(spark))):
+        assert got.columns == df.columns and [tuple(r) for r in got.collect()] == rows[:1]
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(0)
     pool = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
