@@ -40,11 +40,14 @@ def blank_to_null(c: Column | str) -> Column:
 def safe_date(c: Column | str, data_type: T.DataType | None = None) -> Column:
     """``safe_cast(c as date)``: null instead of an error.
 
-    Date and timestamp columns are converted directly; anything else goes
-    through its text, which must have the date literal form.
+    Dates and timestamps without a zone are converted directly, instants by
+    their day in UTC whatever the session's zone; anything else goes through
+    its text, which must have the date literal form.
     """
     col = _col(c)
-    if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+    if isinstance(data_type, T.TimestampType):
+        return F.date_from_unix_date(F.floor(F.unix_seconds(col) / 86_400).cast("int"))
+    if isinstance(data_type, (T.DateType, T.TimestampNTZType)):
         return col.cast("date")
     text = col.cast("string")
     return F.when(text.rlike(DATE_TEXT), text.try_cast("date"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,20 +75,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    sub = f"{name}-{os.getpid()}-{next(_counter)}"
-    if base.startswith("file:"):
-        base = base[len("file:") :]
-    return os.path.join(base, sub)
-
-
-def _count():
-    n = 0
-    while True:
-        n += 1
-        yield n
-
-
-_counter = _count()
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:

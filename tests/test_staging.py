@@ -49,3 +49,18 @@ def test_classified_schema_and_key(spark):
 
     assert r.claim_snapshot_key == hashlib.md5(b"A-2024-01-01").hexdigest()
     assert str(cls.schema["value_usd"].dataType) == "DecimalType(38,9)"
+
+
+def test_instants_count_by_their_day_in_utc(spark):
+    from pyspark.sql import functions as F
+
+    from claimtide.functions.text import safe_date
+
+    df = spark.createDataFrame([("2024-03-01T00:30:00Z",), ("2024-03-01T23:30:00Z",), ("1969-12-31T23:59:59Z",), (None,)], "t string").select(F.to_timestamp("t").alias("t"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert [str(r[0]) for r in df.select(safe_date("t", df.schema["t"].dataType)).collect()] == ["2024-03-01", "2024-03-01", "1969-12-31", "None"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
