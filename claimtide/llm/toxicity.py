@@ -43,7 +43,7 @@ LEAST_TEXTS = 4
 BEGINNINGS = (4, 5, 6, 7)
 OFTEN = 3
 ROUNDS = 400
-RIDGE = 3e-4
+RIDGE = 3e-5
 SWAP_COST = 0.5
 THRESHOLD = 0.3
 
