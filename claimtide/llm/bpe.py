@@ -19,6 +19,11 @@ of any length is cut into pieces where a token always starts, so memory
 depends on ``CHUNK_CHARS`` and the longest run without such a place; repeated
 rows give repeated results; an empty table gives an empty one; columns of the
 input are replaced where their name is one of the result's.
+
+A vocabulary is a rank file or the JSON file of a tokenizer.  The latter may
+name added tokens: their literals are taken out of a text before all else,
+wherever they stand, and the parts between them are encoded by themselves.  A
+rank file has none, so that there such a literal is a text like any other.
 """
 
 from __future__ import annotations
@@ -26,6 +31,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -177,27 +184,69 @@ def token_starts(points: np.ndarray, documents: np.ndarray) -> np.ndarray:
     return np.flatnonzero(machine.starts[machine.states_before(symbols) * (2 * SYMBOLS) + symbols])
 
 
+def _rank_file(path: str) -> tuple[dict[bytes, int], dict[int, int]]:
+    """Ids of the tokens and of the pairs that merge, from lines of base64
+    token and id: all pairs whose bytes are a token merge."""
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    pairs = {}
+    for word, i in ranks.items():
+        for cut in range(1, len(word)):
+            a, b = ranks.get(word[:cut]), ranks.get(word[cut:])
+            if a is not None and b is not None:
+                pairs[a << 20 | b] = i
+    return ranks, pairs
+
+
+def _byte_letters() -> dict[str, int]:
+    """The byte behind each character of a JSON file's tokens: printable
+    Latin-1 stands for itself, the other bytes follow from U+0100."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+def _json_file(path: str) -> tuple[dict[bytes, int], dict[int, int], dict[str, int]]:
+    """Ids of the tokens, of the pairs that merge and of the added tokens;
+    settings that would need other work are refused."""
+    with open(path, encoding="utf-8") as file:
+        whole = json.load(file)
+    model, split, added = whole["model"], whole["pre_tokenizer"] or {}, whole["added_tokens"]
+    plain = model["type"] == "BPE" and not whole["normalizer"] and not any(model.get(x) for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback"))
+    plain &= split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    merges = [x.split(" ") if isinstance(x, str) else x for x in model["merges"]]
+    vocabulary = model["vocab"]
+    made = [vocabulary[a + b] for a, b in merges]
+    if not plain or made != sorted(made) or any(x["single_word"] or x["lstrip"] or x["rstrip"] for x in added):
+        raise ValueError(f"{path}: not a plain byte-level BPE")
+    literals = {x["content"]: x["id"] for x in added}
+    letters = _byte_letters()
+    ranks = {bytes(letters[c] for c in word): i for word, i in vocabulary.items() if word not in literals}
+    return ranks, {vocabulary[a] << 20 | vocabulary[b]: i for (a, b), i in zip(merges, made, strict=True)}, literals
+
+
 class ByteBpe:
-    """Encoder and decoder for one rank file (lines of base64 token and id)."""
+    """Encoder and decoder for one vocabulary: a rank file (lines of base64
+    token and id) or the JSON file of a tokenizer, with its added tokens."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        size = max(self.ranks.values()) + 1
+        self.added: dict[str, int] = {}
+        if path.endswith(".json"):
+            self.ranks, pairs, self.added = _json_file(path)
+        else:
+            self.ranks, pairs = _rank_file(path)
+        # where several begin at one place, the longest counts
+        longest = sorted(self.added, key=len, reverse=True)
+        self.literals = re.compile("|".join(map(re.escape, longest))) if longest else None
+        size = max([*self.ranks.values(), *self.added.values()]) + 1
         words = [b""] * size
-        for word, i in self.ranks.items():
+        for word, i in [*self.ranks.items(), *((w.encode(), i) for w, i in self.added.items())]:
             words[i] = word
         self.words = words
         self.word_length = np.array([len(w) for w in words], np.int64)
         self.word_start = np.concatenate([[0], np.cumsum(self.word_length)[:-1]])
         self.word_bytes = np.frombuffer(b"".join(words), np.uint8)
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
-        pairs = {}
-        for word, i in self.ranks.items():
-            for cut in range(1, len(word)):
-                a, b = self.ranks.get(word[:cut]), self.ranks.get(word[cut:])
-                if a is not None and b is not None:
-                    pairs[a << 20 | b] = i
         self.none = size  # rank of a pair that doesn't merge
         keys = np.array(sorted(pairs), np.int64)
         self.pair_keys = np.append(keys, np.iinfo(np.int64).max)
@@ -366,6 +415,28 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text (unsigned 32-bit)."""
+        if self.literals is None:
+            return self._encode_plain(texts)
+        between, found = [], []
+        for text in texts:
+            at, ids = 0, []
+            for literal in self.literals.finditer(text):
+                between.append(text[at : literal.start()])
+                ids.append(self.added[literal.group()])
+                at = literal.end()
+            between.append(text[at:])
+            found.append(ids)
+        parts = iter(self._encode_plain(between))
+        out = []
+        for ids in found:
+            one = [next(parts)]
+            for i in ids:
+                one += [np.array([i], "<u4"), next(parts)]
+            out.append(np.concatenate(one) if ids else one[0])
+        return out
+
+    def _encode_plain(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts without added tokens."""
         out: list[np.ndarray] = []
         for part in _chunks(texts):
             ids, _, counts = self._encode_chunk([piece for _, piece in part])
@@ -421,7 +492,7 @@ def _chunks(texts: list[str]) -> Iterator[list[tuple[int, str]]]:
 
 @lru_cache(4)
 def load(path: str) -> ByteBpe:
-    """The encoder of a rank file, one per worker process."""
+    """The encoder of a vocabulary, one per worker process."""
     return ByteBpe(path)
 
 

@@ -18,7 +18,9 @@ carries a block's last, still open window into the next block.  A partition
 closes one window early at most.
 
 Cases: a null or empty text is the end id alone; a document of any length is
-cut over windows (its ids are held by one task while it is cut); equal ids
+cut over windows (its ids are held by one task while it is cut); the literal
+of a token that the vocabulary adds is that token's id, wherever it stands, and
+a window may end behind it as behind a sentence; equal ids
 are ordered by their text's hash; an empty table gives an empty result; only
 the two named columns are read, other columns don't matter.
 """
@@ -137,7 +139,8 @@ class _Stream:
 def pack(df: DataFrame, ranks: str, key: str = "doc_id", text: str = "text", size: int = SIZE, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """One row for each piece of a document: where it lies in its document
     (``start``, ``length``, ``doc_tokens``) and in its window (``sequence_id``,
-    ``offset``), and its ids' crc32; ``with_ids`` adds the ids."""
+    ``offset``), and its ids' crc32; ``with_ids`` adds the ids.  ``ranks``: a rank
+    file or, for its added tokens too, the JSON file of a tokenizer."""
     schema = T.StructType(
         [
             T.StructField(key, df.schema[key].dataType),
@@ -148,7 +151,9 @@ def pack(df: DataFrame, ranks: str, key: str = "doc_id", text: str = "text", siz
 
     def rows(batches, key_type):
         encoder = bpe.load(ranks)
-        stream = _Stream(np.append(sentence_ends(encoder.words), True), size)
+        sentence_end = np.append(sentence_ends(encoder.words), True)
+        sentence_end[list(encoder.added.values())] = True
+        stream = _Stream(sentence_end, size)
         top = len(encoder.words)
         first = TaskContext.get().partitionId() << 36  # partitions hold fewer windows than this
         end = np.array([end_id], np.uint32)
@@ -189,4 +194,4 @@ def op4_dp_packing(spark, sf_dir: str) -> DataFrame:
     """All documents in windows of 2048 ids."""
     import public_tokenizers
 
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.json"))

@@ -124,3 +124,38 @@ def test_all_documents_are_packed_with_little_padding(spark):
     ids_of = {r.doc_id: [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1] for r in texts}
     windows = check_pieces(packing.op4_dp_packing(spark, sf).collect(), ids_of, packing.SIZE)
     assert sum(map(len, ids_of.values())) > 0.97 * packing.SIZE * (len(windows) - 1)
+
+
+LITERALS = ["one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|>'s <|endoftext|><|endoftext|>", "<|endoftext|", " <|endoftext|>\n\n", "<|<|endoftext|>|> it's. " * 40]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "'s"]), st.text(alphabet="ab '\n1.日<|>", max_size=5)), max_size=8).map("".join), max_size=4))
+def test_added_tokens_equal_the_library(texts):
+    path = P.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    texts = [*texts, *LITERALS, *ODD[:5]]
+    coded = bpe.load(path)
+    got = coded.encode(texts)
+    assert [x.tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [coded.decode(x).decode() for x in got] == texts
+
+
+def test_every_token_is_reached_by_its_merges():
+    coded = bpe.load(P.path("byte_bpe_50k.json"))
+    assert all(coded._merge_long(word) == [i] for word, i in coded.ranks.items())
+
+
+def test_added_tokens_are_packed(spark, tmp_path):
+    tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = [*ODD, *LITERALS, None]
+    ids_of = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+    assert sum(x.count(50256) for x in ids_of.values()) == 46
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for got in (packing.op4_dp_packing(spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, str(tmp_path))):
+        check_pieces(got.collect(), ids_of, packing.SIZE)
+    small = packing.pack(docs, P.path("byte_bpe_50k.json"), size=16, with_ids=True).collect()
+    assert all(r.ids == ids_of[r.doc_id][r.start : r.start + r.length] for r in small)
