@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -44,15 +45,17 @@ from claimtide.llm.tables import every_column, join_groups, written
 WORDS = 5
 #: links need ``100 * intersection >= PERCENT * union``.
 PERCENT = 85
-#: 20 bands of 4: a pair at the threshold shares none with a chance of 4e-7.
-BANDS, ROWS = 20, 4
+#: a pair at the threshold shares no band with this chance at most.
+BAND_MISS = 2.1e-8
+#: registers of a band; fewer where a low threshold needs more bands than fit.
+ROWS = 4
 #: all of them count for the estimate, the first ones are banded.
 REGISTERS = 160
 #: the register scale: base, rate and largest value.
 BASE, RATE, LARGEST = 1.001, 20.0, 65535
-#: pairs whose estimate is below are not confirmed: its error is 0.028 at the
-#: threshold, so that is more than four and a half times the error below it.
-LEAST_ESTIMATE = 0.72
+#: pairs whose estimate lies this many of its errors below the threshold are
+#: not confirmed.
+ERRORS = 9
 #: bytes of text sketched at once.
 CHUNK_BYTES = 3_000_000
 #: members on either side of a tile, and columns multiplied at once.
@@ -64,6 +67,26 @@ _MULTIPLIERS = np.random.default_rng(11).integers(1, 1 << 62, REGISTERS).astype(
 _PLACES = np.random.default_rng(13).integers(1, 1 << 62, WORDS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+class Limits(NamedTuple):
+    """What a threshold needs to lose none of its pairs."""
+
+    bands: int
+    rows: int
+    least_estimate: float
+
+
+def limits(percent: int) -> Limits:
+    """Bands and least estimate for links of ``percent``: two sets agree in a
+    register as often as their similarity says."""
+    at = percent / 100
+    if 0 < at <= 1:
+        for rows in range(ROWS, 0, -1):
+            bands = math.ceil(math.log(BAND_MISS) / math.log1p(-(min(at, 0.999) ** rows)))
+            if bands * rows <= REGISTERS:
+                return Limits(bands, rows, at - ERRORS * math.sqrt(at * (1 - at) / REGISTERS))
+    raise ValueError(f"{REGISTERS} registers don't find links of {percent} percent")
+
+
 def shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of each text, sorted, one after the other, and where
     each text's begin (with the end of the last)."""
@@ -199,6 +222,7 @@ def _sets(df: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
 def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (a, b) that are links."""
     schema = "a long, b long"
+    least = limits(percent).least_estimate
 
     def likely(batches):
         for batch in batches:
@@ -206,7 +230,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int
                 continue
             one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS) for c in ("registers_a", "registers_b"))
             sizes = [batch.column(c).to_numpy().astype(np.float64) for c in ("n_a", "n_b")]
-            yield batch.select(["a", "b"]).filter(pa.array(likely_similarity(one, two, *sizes) >= LEAST_ESTIMATE))
+            yield batch.select(["a", "b"]).filter(pa.array(likely_similarity(one, two, *sizes) >= least))
 
     def linked(batches):
         for batch in batches:
@@ -330,11 +354,12 @@ def _across(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int)
 def groups(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """Per row: ``id``, ``text_hash``, ``n`` and ``root`` (id and text hash of
     the component's first document; null for empty sets)."""
+    bands, width, _ = limits(percent)
     rows = written(sketches(df, key, text), "near-sketches")
     filled = rows.where("n > 0")
     same = filled.groupBy("digest").agg(F.min(F.struct("id", "text_hash")).alias("first"), F.first("registers").alias("registers"), F.first("n").alias("n"), F.count("*").alias("rows"))
     classes = written(same.withColumn("node", F.monotonically_increasing_id()), "near-classes")
-    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substr("registers", i * (2 * ROWS) + 1, F.lit(2 * ROWS))))
+    band = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substr("registers", i * (2 * width) + 1, F.lit(2 * width))))
     banded = classes.select("node", F.explode(band).alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).where("size > 1")
     members = written(banded.join(shared, "bucket"), "near-members")

@@ -7,7 +7,8 @@ the columns of ``documents``; every stage works on all rows it is given:
 * toxicity: rows whose score reaches the threshold go (fitted on the labelled
   rows among those given);
 * exact_dedup: of texts equal but for white space, the smallest id's row stays;
-* near_dedup: of each component of near-duplicates, the smallest id's row stays;
+* near_dedup: of each component of near-duplicates (links from a similarity of
+  0.8 on), the smallest id's row stays;
 * secrets: no row goes; the values of secrets are replaced in the texts;
 * packing: pieces of the documents in windows of 2048 ids.
 
@@ -22,6 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from claimtide.llm import exact_dedup, near_dedup, packing, secret_scan, toxicity
 from claimtide.llm.tables import scratch, written
 
+#: links of near_dedup, as ``near_dedup.PERCENT`` for its own query.
+NEAR_PERCENT = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scorer = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -34,7 +38,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.first_documents(docs)
+    return near_dedup.first_documents(docs, percent=NEAR_PERCENT)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

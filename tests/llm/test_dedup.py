@@ -173,3 +173,31 @@ def test_op6_and_op8_on_documents(spark):
 
     want = duck(SF).execute(exact_dedup.OP8_SQL).fetchall()
     assert Counter(map(tuple, exact_dedup.op8_digest_index(spark, SF).collect())) == Counter(want)
+
+
+def pairs_around(percent, n):
+    """Pairs of their own words, every second one a link by the least margin."""
+    rows = []
+    for k in range(n):
+        words = [f"p{k}w{i}" for i in range(200)]
+        # the last t words differ: 196 - t of 196 + t shingles are common
+        t = max(t for t in range(196) if 100 * (196 - t) >= percent * (196 + t)) + k % 2
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*words[: 200 - t], *(f"q{w}" for w in words[200 - t :])]))]
+    return rows
+
+
+@pytest.mark.parametrize("percent", [80, 70, 30])
+def test_thresholds_equal_brute_force(spark, percent):
+    rows = pairs_around(percent, 500)
+    links = {(a, b) for (a, x), (b, y) in zip(rows[::2], rows[1::2], strict=True) if 100 * len(shingles(x) & shingles(y)) >= percent * len(shingles(x) | shingles(y))}
+    assert links == {(2 * k, 2 * k + 1) for k in range(0, 500, 2)}
+    got = near_dedup.groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), percent=percent).collect()
+    assert {(r.root.id, r.id) for r in got if r.root.id != r.id} == links
+
+
+def test_the_pipeline_links_from_080_on(spark, tmp_path):
+    import corpus_pipeline
+
+    rows = pairs_around(80, 40)
+    got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path))
+    assert {r.doc_id for r in got.collect()} == {i for i, _ in rows} - {2 * k + 1 for k in range(0, 40, 2)}
