@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import random
 import re
@@ -201,3 +202,12 @@ def test_the_pipeline_links_from_080_on(spark, tmp_path):
     rows = pairs_around(80, 40)
     got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path))
     assert {r.doc_id for r in got.collect()} == {i for i, _ in rows} - {2 * k + 1 for k in range(0, 40, 2)}
+
+
+@pytest.mark.parametrize("percent", [85, 80])
+def test_a_link_at_the_threshold_is_hardly_lost(percent):
+    bands, rows, least = near_dedup.limits(percent)
+    at, n = percent / 100, near_dedup.REGISTERS
+    assert bands * rows <= n and (1 - at**rows) ** bands <= 2.1e-8
+    below = range(math.ceil(least * n))
+    assert sum(math.comb(n, k) * at**k * (1 - at) ** (n - k) for k in below) < 1e-12
