@@ -16,7 +16,9 @@ outside their bucket's largest component are compared with all of another
 component, on the full sets.  Such a bucket is cut into tiles of at most
 ``TILE`` by ``TILE`` members, so a large one is many tasks; a tile counts the
 common shingles of all its pairs by one matrix product and returns no more
-links than it has members (those that join components).  Components come from
+links than it has members (those that join components).  Each member's set goes
+to all tiles of its row or column, so the shuffle of a bucket that mostly isn't
+linked grows with the square of its members over ``TILE``.  Components come from
 repeated minima over written tables; nothing but counts reaches the driver.
 
 Cases: null, empty and wordless texts have an empty set, are linked with
