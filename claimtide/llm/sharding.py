@@ -10,7 +10,9 @@ No rank is taken over a whole source or the whole table: both orders are cut
 into buckets by value (the shuffle key's leading digits, the fraction), the
 buckets' counts are summed up in order, and a rank is the sum before the
 bucket plus the rank inside it.  A bucket holds about ``BUCKET_ROWS`` rows
-however large its source is.  DataFrame functions only.
+however large its source is, as long as ids differ: the shuffle key hashes the
+id alone, so the rows of one repeated or null id in a source share a bucket and
+are ranked in one task.  DataFrame functions only.
 
 Cases: a null text has size 1 and the digest of no bytes; a null source is a
 source of its own; null ids and repeated rows are ordered by the text's
