@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from claimtide.llm.bpe import op1_byte_bpe
 from claimtide.llm.exact_dedup import OP8_SQL, op8_digest_index
+from claimtide.llm.importance import OP11_SQL, op11_importance_resampling
 from claimtide.llm.license_scan import OP2_SQL, op2_license_scan
 from claimtide.llm.near_dedup import OP6_SQL, op6_setsketch_near_dedup
 from claimtide.llm.packing import op4_dp_packing
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_digest_index": op8_digest_index,
     "op9_assignment_secrets": op9_assignment_secrets,
     "op10_interleaved_shards": op10_interleaved_shards,
+    "op11_importance_resampling": op11_importance_resampling,
 }
 
 #: queries that SQL can express; the others are tested against brute force.
@@ -33,4 +35,5 @@ SQL: dict[str, str] = {
     "op6_setsketch_near_dedup": OP6_SQL,
     "op8_digest_index": OP8_SQL,
     "op10_interleaved_shards": OP10_SQL,
+    "op11_importance_resampling": OP11_SQL,
 }
