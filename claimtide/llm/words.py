@@ -119,12 +119,14 @@ def xxhash64(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     length = ends - starts
     order = np.argsort(length, kind="stable")
     sizes, begins = np.unique(length[order], return_index=True)
+    begins = [*begins.tolist(), len(order)]
     with np.errstate(over="ignore"):
-        for size, rows in zip(sizes.tolist(), np.split(order, begins[1:]), strict=True):
+        for size, a, b in zip(sizes.tolist(), begins, begins[1:]):
+            rows = order[a:b]
             if size <= LANED:
                 out[rows] = _hash_alike(raw, starts[rows], size)
             else:
-                out[rows] = [xxhash.xxh64_intdigest(raw[a : a + size].tobytes()) for a in starts[rows].tolist()]
+                out[rows] = [xxhash.xxh64_intdigest(raw[k : k + size].tobytes()) for k in starts[rows].tolist()]
     return out
 
 
