@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from claimtide.llm.bpe import op1_byte_bpe
+from claimtide.llm.decontamination import OP13_SQL, op13_wu_manber_decontamination
 from claimtide.llm.exact_dedup import OP8_SQL, op8_digest_index
 from claimtide.llm.importance import OP11_SQL, op11_importance_resampling
 from claimtide.llm.license_scan import OP2_SQL, op2_license_scan
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_assignment_secrets": op9_assignment_secrets,
     "op10_interleaved_shards": op10_interleaved_shards,
     "op11_importance_resampling": op11_importance_resampling,
+    "op13_wu_manber_decontamination": op13_wu_manber_decontamination,
 }
 
 #: queries that SQL can express; the others are tested against brute force.
@@ -36,4 +38,5 @@ SQL: dict[str, str] = {
     "op8_digest_index": OP8_SQL,
     "op10_interleaved_shards": OP10_SQL,
     "op11_importance_resampling": OP11_SQL,
+    "op13_wu_manber_decontamination": OP13_SQL,
 }
