@@ -14,6 +14,7 @@ from claimtide.llm.quality_rules import OP5_SQL, op5_risk_controlled_quality
 from claimtide.llm.secret_scan import op9_assignment_secrets
 from claimtide.llm.sharding import OP10_SQL, op10_interleaved_shards
 from claimtide.llm.toxicity import op3_counterfactual_toxicity
+from claimtide.llm.whitening import op12_feast_whitening
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_assignment_secrets": op9_assignment_secrets,
     "op10_interleaved_shards": op10_interleaved_shards,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_feast_whitening": op12_feast_whitening,
     "op13_wu_manber_decontamination": op13_wu_manber_decontamination,
 }
 
