@@ -9,7 +9,8 @@ name ``password``.  A literal's score is the sensitivity of its most telling
 target name times how random it looks; placeholders score nothing.
 
 Beside these the fixed kinds of the contract are found (assign, access, hex).
-Their patterns never go back over a run, so a scan is linear in the text.
+No pattern goes back over a run, runs that hold many targets are read once, and
+so are the characters of values with one end: a scan is linear in the text.
 Each row is scanned by itself, without a shuffle.
 
 Cases: a null text counts as empty and has no spans; every input row gives a
@@ -45,15 +46,19 @@ SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "pwd": 0.9, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 1.0, "credential": 0.9, "credentials": 0.9,
     "private": 0.6, "auth": 0.6, "authorization": 0.7, "bearer": 0.8, "key": 0.55, "access": 0.4, "signing": 0.5, "session": 0.4, "client": 0.2, "api": 0.4,
 }
-PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|<.*>|\$\{.*\}|%\(.*|\{\{.*|your.*|change.?me.*|example.*|dummy.*|test.*|none|null|true|false|todo.*)$")
+#: how a placeholder begins; one of the pairs encloses others.
+PLACEHOLDER = re.compile(r"(?i)%\(|\{\{|your|change.?me|example|dummy|test|todo")
+ENCLOSED = (("<", ">"), ("${", "}"))
 LEAST_LITERAL = 8
 THRESHOLD = 0.45
 
-NAME = re.compile(r"""(["']?)([A-Za-z_$][A-Za-z0-9_$.-]*)\1[ \t]*(?::=|=>|=(?![=~])|:(?![:/]))[ \t]*""")
+#: a name begins with the first letter of its run of characters, and a quote
+#: before it must follow it, too; a run is read twice at most.
+NAME = re.compile(r"""(?:(["'])|(?<![A-Za-z0-9_$.-])[0-9.-]*+)([A-Za-z_$][A-Za-z0-9_$.-]*+)(?(1)\1)[ \t]*+(?::=|=>|=(?![=~])|:(?![:/]))[ \t]*+""")
 STRING = re.compile(r'''"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)\'|`([^`\n]*)`''')
 JOINT = re.compile(r"[ \t]*[+][ \t]*")
 BARE = re.compile(r"[A-Za-z0-9+/_.=~$@!#%^&*-]+")
-IDENTIFIER = re.compile(r"[A-Za-z_$][A-Za-z0-9_$.-]*$")
+IDENTIFIER = re.compile(r"[A-Za-z_$][A-Za-z0-9_$.-]*+")
 
 
 def fixed_spans(text: str) -> list[tuple[int, int, int, int]]:
@@ -80,44 +85,68 @@ def sensitivity(name: str) -> float:
 
 def randomness(value: str) -> float:
     """From 0 to 1: entropy of the characters, long mixed values highest."""
-    if len(value) < LEAST_LITERAL or PLACEHOLDER.match(value) or any(c.isspace() for c in value):
+    return _randomness(value, 0, len(value), Counter(value))
+
+
+def _randomness(text: str, start: int, end: int, characters: Counter) -> float:
+    """Of ``text[start:end]``, whose characters are counted already."""
+    n = end - start
+    if n < LEAST_LITERAL or any(c.isspace() for c in characters) or any(set(characters) <= set(alike) for alike in ("xX", "*", ".")):
+        return 0.0
+    if PLACEHOLDER.match(text, start, end) or any(text.startswith(a, start) and text.endswith(b, start, end) for a, b in ENCLOSED):
         return 0.0
-    n = len(value)
-    bits = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    kinds = sum(bool(re.search(k, value)) for k in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    bits = -sum(c / n * math.log2(c / n) for c in characters.values())
+    kinds = sum(any(of(c) for c in characters) for of in (lambda c: "a" <= c <= "z", lambda c: "A" <= c <= "Z", lambda c: "0" <= c <= "9", lambda c: not (c.isascii() and c.isalnum())))
     return min(1.0, bits / 3.5) * (0.4 + 0.2 * min(3, kinds))
 
 
 def literal_pairs(text: str) -> list[tuple[str, int, int]]:
     """(target name, start, end) of each literal; of the names that it reaches
-    through constants, the most telling one."""
+    through constants, the most telling one.  Terms joined by + end with the
+    one that holds another target (strings may hold some)."""
     names: list[str] = []
     literals: list[list[tuple[int, int]]] = []
     sources: list[list[int]] = []  # assignments whose target is read here
     last: dict[str, int] = {}
-    for target in NAME.finditer(text):
+    targets = list(NAME.finditer(text))
+    begins = [m.start(2) for m in targets]
+    run = (0, 0)  # the run of bare characters met last
+    for target in targets:
         at, values, reads = target.end(), [], []
         while True:  # terms joined by +
             if m := STRING.match(text, at):
                 group = m.lastindex or 1
                 values.append((m.start(group), m.end(group)))
-            elif m := BARE.match(text, at):
-                word = m[0]
-                if word in last:
-                    reads.append(last[word])
-                elif not IDENTIFIER.match(word) or any(c.isdigit() for c in word):
-                    values.append((m.start(), m.end()))
-            if not m or not (joint := JOINT.match(text, m.end())):
+                end = m.end()
+            else:
+                # targets may lie in a run: it is read once for all of them
+                if not run[0] <= at < run[1]:
+                    m = BARE.match(text, at)
+                    if not m:
+                        break
+                    run = m.span()
+                end = run[1]
+                m = IDENTIFIER.match(text, at)
+                if not m or m.end() != end:
+                    values.append((at, end))
+                elif m[0] in last:
+                    reads.append(last[m[0]])
+                elif any(c.isdigit() for c in m[0]):
+                    values.append((at, end))
+                if bisect_left(begins, end) > bisect_left(begins, at):
+                    break  # another assignment begins here
+            if not (joint := JOINT.match(text, end)):
                 break
             at = joint.end()
         last[target[2]] = len(names)
         names.append(target[2])
         literals.append(values)
         sources.append(reads)
+    told = [sensitivity(name) for name in names]
     for i in range(len(names) - 1, -1, -1):  # names flow back to what they read
         for j in sources[i]:
-            if sensitivity(names[i]) > sensitivity(names[j]):
-                names[j] = names[i]
+            if told[i] > told[j]:
+                names[j], told[j] = names[i], told[i]
     return [(name, a, b) for name, values in zip(names, literals, strict=True) for a, b in values]
 
 
@@ -125,11 +154,25 @@ def literal_spans(text: str) -> list[tuple[int, int, float]]:
     """(start, end, score) of literals that look like secrets."""
     if "=" not in text and ":" not in text:
         return []
-    best: dict[tuple[int, int], float] = {}
+    telling: dict[str, float] = {}
+    best: dict[int, dict[int, float]] = {}  # by end, then start
     for name, start, end in literal_pairs(text):
-        if end - start >= LEAST_LITERAL and (told := sensitivity(name)):
-            best[start, end] = max(best.get((start, end), 0.0), told * randomness(text[start:end]))
-    return [(a, b, s) for (a, b), s in sorted(best.items()) if s >= THRESHOLD]
+        if name not in telling:
+            telling[name] = sensitivity(name)
+        if end - start >= LEAST_LITERAL and telling[name]:
+            of_end = best.setdefault(end, {})
+            of_end[start] = max(of_end.get(start, 0.0), telling[name])
+    out = []
+    for end, starts in best.items():
+        characters: Counter = Counter()
+        counted = end
+        for start in sorted(starts, reverse=True):  # the shortest first: all are counted once
+            characters.update(text[start:counted])
+            counted = start
+            score = starts[start] * _randomness(text, start, end, characters)
+            if score >= THRESHOLD:
+                out.append((start, end, score))
+    return sorted(out)
 
 
 def spans(text: str) -> list[tuple[int, int, int, int]]:

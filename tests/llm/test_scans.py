@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -228,3 +229,27 @@ def test_secrets_of_all_documents(spark):
     for r in secret_scan.op9_assignment_secrets(spark, SF).collect():
         base = ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in brute_secrets(texts[r.doc_id]))
         assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+
+
+LONG = {
+    "letters": "k=1 " + "a" * 1_000_000, "digits": "1" * 1_000_000 + "=", "dots": "a." * 500_000, "spaces": "key" + " " * 1_000_000 + "x",
+    "targets": "a=" * 250_000, "sensitive": "key=" * 125_000, "query": "key=1&" * 80_000, "value": "token=" + "Ab1+/" * 200_000,
+    "terms": "x=1 + " * 80_000, "hidden": "y/x=1 + " * 60_000, "quotes": "key=\"" * 80_000, "open": "password='a\\'" * 40_000, "strings": 'a="x=1 + y" + ' * 30_000,
+}
+
+
+@pytest.mark.parametrize("name", sorted(LONG))
+def test_secret_scan_is_linear(name):
+    """Runs without a target, runs of targets, open quotes: seconds for what
+    took hours."""
+    began = time.process_time()
+    secret_scan.spans(LONG[name])
+    assert time.process_time() - began < (2 if name == "letters" else 15)
+
+
+def test_terms_and_suffixes_of_one_run():
+    assert literals("secret_key=Zk3ab9Xq11=pLm2") == ["Zk3ab9Xq11=pLm2"]
+    pairs = secret_scan.literal_pairs("a = 'x=1' + b0 + c=d1 + e1")
+    assert sorted(pairs) == [("a", 5, 8), ("a", 12, 14), ("a", 17, 21), ("c", 19, 21), ("c", 24, 26), ("x", 7, 8)]
+    for text, want in (("--password=Zk3ab9Xq11pLm2", 1), ("9password: Zk3ab9Xq11pLm2", 1), ('x"db.pwd" := `Zk3ab9Xq11pLm2`', 1), ('db_pwd" = "Zk3ab9Xq11pLm2"', 0), ("pwd == 'Zk3ab9Xq11pLm2'", 0)):
+        assert len(literals(text)) == want, text
