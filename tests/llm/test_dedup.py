@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from claimtide.llm import exact_dedup, near_dedup, tables
 
@@ -46,9 +47,46 @@ def test_the_index_outlives_a_batch(spark):
 
 def test_the_anti_join_reads_sorted_buckets(spark):
     index = index_of(spark)
-    index.append(spark.createDataFrame([(bytearray(b"a" * 32), 1)], "digest binary, keep_id long"))
-    plan = index.unseen(spark.createDataFrame([(bytearray(b"b" * 32), 2)], "digest binary, keep_id long"))._jdf.queryExecution().toString()
+    index.append(spark.createDataFrame([(bytearray(b"a" * 32), 1)], "digest binary, keep_id long"), "one")
+    batch = spark.createDataFrame([(bytearray(b"b" * 32), 2)], "digest binary, keep_id long")
+    plan = index.unseen(batch, "two")._jdf.queryExecution().toString()
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    assert "Exchange" not in index.before("two")._jdf.queryExecution().executedPlan().toString()
+
+
+def kept_of(spark, df, path, batch, whole):
+    with index_of(spark, path) as index:
+        if whole:
+            return sorted(r.doc_id for r in exact_dedup.distinct_texts(df, index, batch=batch).collect())
+        return sorted(r.doc_id for r in exact_dedup.dedup(df, index, batch=batch).collect() if r.kept)
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_a_batch_may_be_run_again(spark, monkeypatch, whole):
+    """Also after a failure between append and output, and after a part of the
+    append; other batches still count as seen."""
+    path = tables.scratch(spark, "test-index")
+    one = spark.createDataFrame([(1, "a b"), (2, "c"), (3, "a  b")], "doc_id long, text string")
+    two = spark.createDataFrame([(4, "c"), (5, "d")], "doc_id long, text string")
+    with index_of(spark, path) as index:  # of the first digest only
+        part = one.where("doc_id = 2").select(F.unhex(F.sha2("text", 256)).alias("digest"), F.col("doc_id").alias("keep_id"))
+        index.append(part, "one")
+    if not whole:
+        with monkeypatch.context() as broken, pytest.raises(OSError):
+            broken.setattr(exact_dedup, "join_groups", lambda *_: (_ for _ in ()).throw(OSError()))
+            kept_of(spark, one, path, "one", whole)
+    for _ in range(3):
+        assert kept_of(spark, one, path, "one", whole) == [1, 2]
+    for _ in range(2):
+        assert kept_of(spark, two, path, "two", whole) == [5]
+    assert kept_of(spark, one, path, "one", whole) == [1, 2]
+    assert kept_of(spark, one, path, None, whole) == []
+    with exact_dedup.DigestIndex(spark, path, buckets=9) as index:
+        assert index.buckets == 4 and index.table().count() == 3
+        index.append(part.withColumn("digest", F.unhex(F.lit("00"))), "three")
+        spark.sql(f"INSERT INTO {index.name} SELECT digest, 1L, 'four' FROM {index.name} WHERE batch = 'three'")
+        assert index.before("one").where("digest = unhex('00')").collect()[0]["keep_id"] == 1
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("digest_index") and t.name == index.name]
 
 
 def test_rows_that_stay_keep_their_columns(spark):
