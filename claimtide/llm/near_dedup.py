@@ -41,8 +41,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimtide.llm.slices import mixed, slice_digests
-from claimtide.llm.tables import every_column, join_groups, written
+from claimtide.llm.slices import mixed
+from claimtide.llm.tables import discard, every_column, join_groups, written
 
 WORDS = 5
 #: links need ``100 * intersection >= PERCENT * union``.
@@ -89,11 +89,28 @@ def limits(percent: int) -> Limits:
     raise ValueError(f"{REGISTERS} registers don't find links of {percent} percent")
 
 
+def word_digests(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64 bits for every word: of up to 8 bytes the bytes themselves, mixed; of
+    longer ones a cryptographic digest, so that no pattern in the words makes
+    two of them equal.  ``raw`` ends with 8 bytes that no word has."""
+    length = ends - starts
+    lanes = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+    value = lanes[starts] & (~np.uint64(0) >> ((8 - np.minimum(length, 8)) * 8).astype(np.uint64))
+    out = mixed(mixed(value) + length.astype(np.uint64))
+    data, known = raw.tobytes(), {}
+    for k in np.flatnonzero(length > 8).tolist():
+        word = data[starts[k] : ends[k]]
+        if word not in known:
+            known[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        out[k] = known[word]
+    return out
+
+
 def shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of each text, sorted, one after the other, and where
     each text's begin (with the end of the last)."""
     encoded = [t.encode().translate(_LOWER) for t in texts]
-    raw = np.frombuffer(b" ".join(encoded), np.uint8)
+    raw = np.frombuffer(b" ".join([*encoded, b" " * 8]), np.uint8)
     begins = np.cumsum([0] + [len(e) + 1 for e in encoded])[:-1]
     word = np.zeros(len(raw) + 2, np.int8)
     word[1:-1] = ~_SPACE[raw]
@@ -102,7 +119,7 @@ def shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     none = np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.intp)
     if not len(starts):
         return none
-    digest = slice_digests(raw, starts, ends)
+    digest = word_digests(raw, starts, ends)
     text_of = np.searchsorted(begins, starts, side="right") - 1
     count = np.bincount(text_of, minlength=len(texts))
     n = len(digest)
@@ -257,14 +274,16 @@ def components(links: DataFrame) -> DataFrame:
     be reached.  Each round takes the least root among the neighbours, then
     the root's root; every round's table is written."""
     edges = written(links.select("a", "b").union(links.select("b", "a")).distinct(), "near-edges")
-    roots = written(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node"), "near-roots")
+    new = roots = written(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node"), "near-roots")
     while True:
         told = edges.join(roots.select(F.col("node").alias("a"), "root"), "a").groupBy("b").agg(F.min("root").alias("told")).withColumnRenamed("b", "node")
         least = roots.join(told, "node").select("node", F.col("root").alias("old"), F.least("root", "told").alias("near"))
         above = roots.select(F.col("node").alias("near"), F.col("root").alias("far"))
-        new = written(least.join(above, "near").select("node", "old", F.least("near", "far").alias("root")), "near-roots")
+        new, old = written(least.join(above, "near").select("node", "old", F.least("near", "far").alias("root")), "near-roots"), new
         roots = new.select("node", "root")
+        discard(old)
         if new.where(F.col("old") != F.col("root")).isEmpty():
+            discard(edges)
             return roots
 
 
@@ -385,12 +404,15 @@ def first_documents(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     an empty set; of rows that repeat an id and its text, one."""
     found = groups(df, key, text, percent)
     stay = found.where((F.col("n") > 0) & F.col("root").eqNullSafe(F.struct("id", "text_hash"))).select("id", "text_hash").distinct()
-    blank = found.where("n = 0").select("id", "text_hash").distinct()
-    held = written(stay.withColumn("blank", F.lit(False)).union(blank.withColumn("blank", F.lit(True))), "near-held").select(F.struct(F.col("id"), F.col("text_hash"), F.col("blank")).alias("held"))
-    inner = df.select(F.struct(*every_column(df)).alias("row"), F.col(key).alias("id"), F.xxhash64(text).alias("text_hash"))
-    met = inner.join(held, inner["id"].eqNullSafe(held["held.id"]) & (inner["text_hash"] == held["held.text_hash"]))
+    held = written(stay, "near-held").select(F.struct("id", "text_hash").alias("held"))
+    # rows without words all stay, whatever their number: they need no join
+    worded = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    inner = df.where(worded).select(F.struct(*every_column(df)).alias("row"), F.col(key).alias("id"), F.xxhash64(text).alias("text_hash"))
+    met = inner.join(held, inner["id"].eqNullSafe(F.col("held.id")) & (inner["text_hash"] == F.col("held.text_hash")))
+    # a rank filter alone, so that every task sends one row of an (id, text) on
     turn = F.row_number().over(W.partitionBy("id", "text_hash").orderBy(F.lit(1)))
-    return met.withColumn("turn", turn).where(F.col("held.blank") | (F.col("turn") == 1)).select("row.*")
+    first = met.withColumn("turn", turn).where(F.col("turn") == 1).select("row.*")
+    return first.unionByName(df.where(~worded))
 
 
 def op6_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

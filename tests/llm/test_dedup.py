@@ -105,7 +105,7 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
-def brute_components(rows):
+def brute_components(rows, percent=85):
     sets = [(i, shingles(t)) for i, t in rows]
     root = list(range(len(rows)))
 
@@ -117,7 +117,7 @@ def brute_components(rows):
     for a in range(len(sets)):
         for b in range(a):
             x, y = sets[a][1], sets[b][1]
-            if x and y and 100 * len(x & y) >= 85 * len(x | y):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
                 root[find(a)] = find(b)
     least = {}
     for k, (i, _) in enumerate(sets):
@@ -214,6 +214,30 @@ def test_op6_and_op8_on_documents(spark):
     assert Counter(map(tuple, exact_dedup.op8_digest_index(spark, SF).collect())) == Counter(want)
 
 
+def test_words_of_one_pattern_are_told_apart(spark):
+    """A Thue-Morse word and its complement have one polynomial hash to every
+    odd base; so have long words that differ in two places only, by design."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, word.translate(str.maketrans("ab", "ba"))), (3, "abcdefgh"), (4, "abcdefgh\0"), (5, "abcdefg"), (6, "é" * 9), (7, word)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(df) == Counter({(i, 1, 1 if i == 7 else i): 1 for i, _ in rows})
+    raw = np.frombuffer(" ".join(t for _, t in rows).encode() + b" " * 8, np.uint8)
+    edge = np.diff(np.concatenate([[0], raw != 32, [0]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    assert len(set(near_dedup.word_digests(raw, starts, ends).tolist())) == 6
+
+
+def test_rows_without_words_stay_and_meet_in_no_task(spark):
+    rows = [(1, None, "x"), (1, None, "y"), (None, " \n", "z"), (2, "", "w"), (3, "a b", "v"), (3, "a b", "u"), (4, "A  b", "t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, held string")
+    got = near_dedup.first_documents(df)
+    assert sorted(r["held"] for r in got.where("held < 'x' or held > 'v'").where("doc_id is null or doc_id < 3").collect()) == ["w", "x", "y", "z"]
+    assert [(r.doc_id, r.text) for r in got.where("doc_id > 2").collect()] == [(3, "a b")]
+    assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def pairs_around(percent, n):
     """Pairs of their own words, every second one a link by the least margin."""
     rows = []
