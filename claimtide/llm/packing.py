@@ -186,8 +186,11 @@ def pack(df: DataFrame, ranks: str, key: str = "doc_id", text: str = "text", siz
         if (one := next(batches, None)) is not None:
             yield from rows((b for part in ([one], batches) for b in part), one.column(key).type)
 
-    by = [F.col(key), F.xxhash64(text)]
-    return df.select(key, text).repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(run, schema)
+    # the row's place tells rows of one id and text apart, so any number of them
+    # is dealt to many tasks
+    by = [F.col(key), F.xxhash64(text), F.col("__row")]
+    placed = df.select(key, text, F.monotonically_increasing_id().alias("__row"))
+    return placed.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(run, schema)
 
 
 def op4_dp_packing(spark, sf_dir: str) -> DataFrame:

@@ -159,3 +159,26 @@ def test_added_tokens_are_packed(spark, tmp_path):
         check_pieces(got.collect(), ids_of, packing.SIZE)
     small = packing.pack(docs, P.path("byte_bpe_50k.json"), size=16, with_ids=True).collect()
     assert all(r.ids == ids_of[r.doc_id][r.start : r.start + r.length] for r in small)
+
+
+def test_rows_of_one_id_and_text_are_dealt_to_many_tasks(spark):
+    """Null and repeated ids: every row's ids lie in pieces, and windows of
+    several tasks hold the copies."""
+    rows = [(7, "one and the same text. " * 30)] * 600 + [(None, "no id here.")] * 50 + [(None, None)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = packing.pack(df, P.path("byte_bpe_50k.json"), size=256).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    for key, text, n in ((7, rows[0][1], 600), (None, "no id here.", 50), (None, "", 3)):
+        ids = len(tokenizer.encode(text, add_special_tokens=False).ids) + 1
+        of = [r for r in got if r.doc_id == key and r.doc_tokens == ids]
+        assert sum(r.length for r in of) == n * ids and sum(r.start == 0 for r in of) == n
+    windows = defaultdict(list)
+    for r in got:
+        windows[r.sequence_id].append((r.offset, r.length))
+    for of in windows.values():
+        assert all(a + n == b for (a, n), (b, _) in zip(sorted(of), sorted(of)[1:], strict=False)) and sum(n for _, n in of) <= 256
+    assert len({r.sequence_id >> 36 for r in got if r.doc_id == 7}) > 1
