@@ -6,13 +6,11 @@ fraction interleave the sources in proportion, so equal cuts of this order
 give shards that all have the whole table's mixture, with row counts at most
 one apart (law ``rows``).
 
-No rank is taken over a whole source or the whole table: both orders are cut
-into buckets by value (the shuffle key's leading digits, the fraction), the
-buckets' counts are summed up in order, and a rank is the sum before the
-bucket plus the rank inside it.  A bucket holds about ``BUCKET_ROWS`` rows
-however large its source is, as long as ids differ: the shuffle key hashes the
-id alone, so the rows of one repeated or null id in a source share a bucket and
-are ranked in one task.  DataFrame functions only.
+No rank is taken in one task: both orders are range partitionings of the rows,
+sorted within each task; a row's place is its place in the task plus the rows
+of the tasks before.  The row's number is the last sort key, so neither a large
+source nor rows of one id, nor many sources of one row with the same fraction,
+meet in one task.  DataFrame functions only.
 
 Cases: a null text has size 1 and the digest of no bytes; a null source is a
 source of its own; null ids and repeated rows are ordered by the text's
@@ -27,52 +25,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from claimtide.llm.tables import written
+from claimtide.llm.tables import join_groups, written
 
 SHARDS = 8
 SEED = "interleave-1"
-BUCKET_ROWS = 100_000
-LEAST_BUCKETS = 256
+
+
+def _placed(rows: DataFrame, order: list, name: str) -> DataFrame:
+    """``rows`` with ``at``, their place from 0 in ``order``."""
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # the number's upper part is the partition, its lower 33 bits the row in it
+    ordered = written(ordered.withColumn("in_task", F.monotonically_increasing_id()).withColumn("task", F.shiftright("in_task", 33)), name)
+    sizes = ordered.groupBy("task").agg(F.count("*").alias("n"))  # a row a task
+    before = sizes.select("task", (F.sum("n").over(W.orderBy("task")) - F.col("n")).alias("before"))
+    inside = F.col("in_task").bitwiseAND((1 << 33) - 1)
+    return ordered.join(F.broadcast(before), "task").withColumn("at", F.col("before") + inside).drop("in_task", "task", "before")
 
 
 def shard(df: DataFrame, shards: int = SHARDS, seed: str = SEED, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """Per row: ``key``, ``source``, ``size``, ``text_crc32``, ``shard`` and
     ``slot`` (place inside the shard, from 0)."""
-    total = df.count()
-    buckets = max(LEAST_BUCKETS, total // BUCKET_ROWS)
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
     shuffled = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
-    # the first 15 of the digest's 32 digits as a number, scaled to a bucket
-    leading = F.conv(F.substring("place", 1, 8), 16, 10).cast("long")
     rows = written(
-        df.select(F.col(key).alias("id"), F.col(source).cast("string").alias("origin"), (F.octet_length(content) + 1).cast("long").alias("size"), F.crc32(content).alias("crc"), shuffled.alias("place"))
-        .withColumn("bucket", F.shiftright(leading * F.lit(buckets), 32)),
-        "shard-rows",
-    )
-    counts = rows.groupBy("origin", "bucket").agg(F.count("*").alias("n"))
-    by_bucket = W.partitionBy("origin").orderBy("bucket")
-    before = written(
-        counts.select(
-            "origin",
-            "bucket",
-            (F.sum("n").over(by_bucket) - F.col("n")).alias("before"),
-            F.sum("n").over(W.partitionBy("origin")).alias("of_origin"),
+        df.select(
+            F.col(key).alias("id"), F.col(source).cast("string").alias("origin"), (F.octet_length(content) + 1).cast("long").alias("size"),
+            F.crc32(content).alias("crc"), shuffled.alias("place"), F.monotonically_increasing_id().alias("row"),
         ),
-        "shard-offsets",
-    ).alias("b")
-    r = rows.alias("r")
-    inside = W.partitionBy("r.origin", "r.bucket").orderBy("place", F.col("id").asc_nulls_first(), "crc", "size")
-    ranked = r.join(before, F.col("r.origin").eqNullSafe(F.col("b.origin")) & (F.col("r.bucket") == F.col("b.bucket"))).select(
-        "id", F.col("r.origin").alias("origin"), "size", "crc", "place", "of_origin", (F.col("before") + F.row_number().over(inside)).alias("rank")
-    )
-    fraction = (2 * F.col("rank") - 1) / (2 * F.col("of_origin"))
-    mixed = written(
-        ranked.select("id", "origin", "size", "crc", "place", fraction.alias("fraction")).withColumn("bucket", F.floor(F.col("fraction") * buckets)), "shard-fractions"
-    )
-    counts = mixed.groupBy("bucket").agg(F.count("*").alias("n"))
-    before = counts.select("bucket", (F.sum("n").over(W.orderBy("bucket")) - F.col("n")).alias("before"))
-    inside = W.partitionBy("bucket").orderBy("fraction", F.col("origin").asc_nulls_first(), "place", F.col("id").asc_nulls_first(), "crc", "size")
-    placed = mixed.join(before, "bucket").withColumn("at", F.col("before") + F.row_number().over(inside) - 1)
+        "shard-rows",
+    )
+    total = rows.count()
+    in_source = [F.col("place"), F.col("id").asc_nulls_first(), F.col("crc"), F.col("size"), F.col("row")]
+    by_source = _placed(rows, [F.col("origin").asc_nulls_first(), *in_source], "shard-sources")
+    # a source's rows lie one after the other
+    origin = F.struct(F.col("origin").isNull(), F.coalesce("origin", F.lit(""))).alias("key")
+    begins = by_source.groupBy(origin).agg(F.min("at").alias("begin"), F.count("*").alias("of_origin"))
+    ranked = join_groups(by_source.withColumn("key", origin), begins, "key", "of_origin")
+    rank = F.col("at") - F.col("begin") + 1
+    fraction = (2 * rank - 1) / (2 * F.col("of_origin"))
+    mixed = ranked.select("id", "origin", "size", "crc", "place", "row", fraction.alias("fraction"))
+    placed = _placed(mixed, [F.col("fraction"), F.col("origin").asc_nulls_first(), *in_source], "shard-order")
     number = F.expr(f"at * {shards} div {max(1, total)}")
     first = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")
     return placed.withColumn("shard", number).select(

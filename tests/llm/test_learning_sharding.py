@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from claimtide.llm import quality_rules, sharding, toxicity
 
@@ -160,9 +161,7 @@ def measured(text):
     return len(data) + 1, zlib.crc32(data)
 
 
-@pytest.mark.parametrize("buckets", [3, 256])
-def test_shards_equal_brute_force(spark, monkeypatch, buckets):
-    monkeypatch.setattr(sharding, "LEAST_BUCKETS", buckets)
+def test_shards_equal_brute_force(spark):
     rows = [(i, f"t{i % 50}" + "é" * (i % 7), f"s{min(i % 9, 4)}", "r", 1) for i in range(403)]
     rows += [(None, "a", "s1", "r", 2), (None, None, None, "r", 3), (7, "", None, "r", 4), (7, "again", "s0", "r", 5), (7, "again", "s0", "r", 5), (8, "x" * 90_000, "s0", "r", 6)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, bucket string, rank int").repartition(4)
@@ -172,6 +171,31 @@ def test_shards_equal_brute_force(spark, monkeypatch, buckets):
     assert sharding.shard(df.limit(0)).count() == 0 and sharding.shard(df.limit(3)).count() == 3
 
 
+@pytest.mark.parametrize("kind", ["sources of one row", "rows of one id", "equal rows"])
+def test_no_task_of_the_orders_holds_most_rows(spark, monkeypatch, kind):
+    """20,000 sources have one fraction; rows alike in all columns are dealt
+    to many tasks as well."""
+    n = 20_000
+    columns = {
+        "sources of one row": ["id as doc_id", "'a' as text", "cast(id as string) as source"],
+        "rows of one id": ["7L as doc_id", "concat('a', id % 99) as text", "'s' as source"],
+        "equal rows": ["7L as doc_id", "'a' as text", "'s' as source"],
+    }
+    df = spark.range(0, n, 1, 6).selectExpr(*columns[kind])
+    largest = []
+    placed = sharding._placed
+
+    def watched(rows, order, name):
+        with_task = rows.repartitionByRange(8, *order).groupBy(F.spark_partition_id()).count()
+        largest.append(max(r["count"] for r in with_task.collect()))
+        return placed(rows, order, name)
+
+    monkeypatch.setattr(sharding, "_placed", watched)
+    got = sharding.shard(df).groupBy("shard").agg(F.count("*"), F.max("slot"), F.countDistinct("slot")).collect()
+    assert sorted(map(tuple, got)) == [(k, n // 8, n // 8 - 1, n // 8) for k in range(8)]
+    assert len(largest) == 2 and max(largest) < n / 4
+
+
 def test_all_documents_are_dealt_in_proportion(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet").collect()
     df = sharding.op10_interleaved_shards(spark, SF)
@@ -207,7 +231,7 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
     for i, t in sorted(rows):
         by_text.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t), (i, t))
     rows = sorted(by_text.values())
-    stay = {c for _, _, c in brute_components(rows)}
+    stay = {c for _, _, c in brute_components(rows, 80)}
     rows = [(i, t) for i, t in rows if i in stay]
     texts = {}
     for i, t in rows:
