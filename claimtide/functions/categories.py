@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from claimtide import schemas as S
+from claimtide.functions.money import difference
 
 
 def _col(c: Column | str) -> Column:
@@ -97,12 +98,5 @@ def transition_type(status: Column | str, previous_status: Column | str) -> Colu
 
 
 def value_delta(value: Column | str, previous_value: Column | str) -> Column:
-    """``round(value - previous, 2)``, subtracted at scale 9.
-
-    Both operands are narrowed to (28,9) first: subtracting two (38,9)
-    decimals would round the difference to scale 8 before the final
-    rounding.  ``try_cast`` turns an impossible narrowing into null.
-    """
-    v = _col(value).try_cast(S.VALUE_TYPE)
-    p = _col(previous_value).try_cast(S.VALUE_TYPE)
-    return F.round(v - p, 2)
+    """``round(value - previous, 2)``, subtracted at scale 9 whatever their size."""
+    return F.round(difference(value, previous_value), 2)

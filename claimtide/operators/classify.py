@@ -9,6 +9,7 @@ from claimtide import schemas as S
 from claimtide.functions.calendar import report_week, report_year
 from claimtide.functions.categories import reopened_flag, wbr_tiers
 from claimtide.functions.keys import surrogate_key
+from claimtide.functions.money import product
 from claimtide.session import broadcast_if_small
 
 #: currency seeds up to this many rows are broadcast (checked by counting).
@@ -72,7 +73,7 @@ def convert_currency(staged: DataFrame, rates: DataFrame) -> DataFrame:
     rates = broadcast_if_small(rates, RATE_BROADCAST_LIMIT)
     joined = staged.join(rates, staged["currency"] == rates["currency_code"], "left").drop("currency_code")
     rate = F.coalesce(F.col("rate_to_usd"), F.lit(1).cast(S.RATE_TYPE))
-    return joined.withColumn("value_usd", F.col("value_of_trailer") * rate)
+    return joined.withColumn("value_usd", product("value_of_trailer", rate))
 
 
 def classify(staged: DataFrame, rates: DataFrame, history: DataFrame | None = None) -> DataFrame:

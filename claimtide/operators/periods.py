@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from claimtide import schemas as S
 from claimtide.functions import calendar as cal
 from claimtide.functions.categories import status_changed, transition_type, value_delta
+from claimtide.functions.money import total
 from claimtide.operators.classify import classify
 
 
@@ -162,11 +163,11 @@ def period_metrics(state: DataFrame, grain: PeriodGrain) -> DataFrame:
 
     One hash aggregate with map-side partial aggregation; null dimensions form
     their own groups."""
-    zero = F.lit(0).cast(S.USD_TYPE)
+    none = F.lit(0).cast(S.USD_TYPE)
     tt = F.col("transition_type")
     return state.groupBy(grain.year, grain.period, grain.start, grain.end, *S.METRIC_DIMENSIONS).agg(
         F.count(F.lit(1)).alias("claim_count"),
-        F.round(F.sum(F.coalesce(F.col("value_usd"), zero)), 2).alias("claim_value_usd"),
+        F.round(total(F.coalesce(F.col("value_usd"), none)), 2).alias("claim_value_usd"),
         F.count_if(tt == S.NEW_CLAIM).alias("new_claim_count"),
         F.count_if(tt == S.OPEN_TO_CLOSED).alias("open_to_closed_count"),
         F.count_if(tt == S.CLOSED_TO_OPEN).alias("reopened_count"),

@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimtide import schemas as S
 from claimtide.functions import calendar as cal
 from claimtide.functions.formatting import comparison_text
+from claimtide.functions.money import billionths, whole_part
 from claimtide.operators import extracts as X
 from claimtide.operators import quality as Q
 from claimtide.operators import review as R
@@ -95,7 +97,42 @@ def q_monthly_metrics(spark, sf_dir):
     return as_doubles(models(spark, sf_dir)["monthly_metrics"])
 
 
+def _wide_models(spark, sf_dir):
+    """The models over values of 18 to 24 whole digits and 9 decimals, put
+    together from each row's own value and trailer number; every eleventh
+    trailer's are negative."""
+    raw = testdata_history(spark, sf_dir)
+    cents = F.replace("value_of_trailer", F.lit("."), F.lit(""))
+    sign = F.when(F.col("trailer_number").cast("long") % 11 == 0, "-").otherwise("")
+    wide = F.concat(sign, "trailer_number", F.lpad(cents, 10, "0"), F.lpad("trailer_number", 9, "7"), F.lit("."), F.lpad(cents, 9, "3"))
+    return build(raw.withColumn("value_of_trailer", wide), currency_rates(spark))
+
+
+def _cents(column: str):
+    """An exact amount of two decimals as text, in hundredths."""
+    return (F.col(column) * F.lit(100)).cast("decimal(38,0)").cast("string")
+
+
+def q_wide_money_metrics(spark, sf_dir):
+    metrics = _wide_models(spark, sf_dir)["weekly_metrics"]
+    return metrics.select("report_year", "report_week", *S.METRIC_DIMENSIONS, "claim_count", _cents("claim_value_usd").alias("claim_value_cents"))
+
+
+def q_wide_money_deltas(spark, sf_dir):
+    """Whole part and billionths of every weekly value, and its change."""
+    weekly = _wide_models(spark, sf_dir)["weekly"]
+    return weekly.select(
+        "claim_number",
+        "week_start_date",
+        whole_part("value_usd").cast("string").alias("value_whole"),
+        billionths("value_usd").alias("value_billionths"),
+        _cents("week_over_week_value_delta_usd").alias("delta_cents"),
+    )
+
+
 QUERIES = {
+    "wide_money_metrics": q_wide_money_metrics,
+    "wide_money_deltas": q_wide_money_deltas,
     "stage_claims": q_stage_claims,
     "reopened_claims": q_reopened_claims,
     "currency_convert": q_currency_convert,

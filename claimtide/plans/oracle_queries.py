@@ -15,6 +15,7 @@ from claimtide.plans.oracle import (
     report_year_sql,
     week_start_sql,
     with_blocks,
+    with_wide_money,
 )
 
 _MONEY_STAGED = "CAST(value_of_trailer AS DOUBLE) AS value_of_trailer"
@@ -449,3 +450,18 @@ SQL["dq_accepted"] = _dq_sql("accepted_values")
 SQL["dq_unique_combo"] = _dq_sql("unique_combination")
 SQL["dq_between"] = _dq_sql("between")
 SQL["dq_singular"] = _dq_sql("singular")
+
+
+# ---------------------------------------------------------------------------
+# money of more than 19 whole digits: everything in whole billionths
+# ---------------------------------------------------------------------------
+
+SQL["wide_money_metrics"] = with_wide_money() + (
+    "SELECT report_year, report_week, source, carrier_name, country, status, wbr_tier1, wbr_tier2, wbr_tier3, claim_count, "
+    "CAST(claim_value_usd AS VARCHAR) AS claim_value_cents FROM wk_metrics"
+)
+SQL["wide_money_deltas"] = with_wide_money() + (
+    "SELECT claim_number, week_start_date, CAST(sign(value_usd)::HUGEINT * (abs(value_usd) // 1000000000) AS VARCHAR) AS value_whole, "
+    "CAST(sign(value_usd)::HUGEINT * (abs(value_usd) % 1000000000) AS BIGINT) AS value_billionths, "
+    "CAST(week_over_week_value_delta_usd AS VARCHAR) AS delta_cents FROM weekly"
+)

@@ -13,10 +13,11 @@ from pyspark.sql import types as T
 # Column types
 # --------------------------------------------------------------------------
 
-#: trailer value after the safe numeric cast.  28 digits (19 integer, 9
-#: fractional) so that value x rate stays at scale 9 in Spark's decimal rules
-#: (28,9) x (18,9) -> (38,9); a (38,9) operand would drop to scale 6.
-VALUE_TYPE = T.DecimalType(28, 9)
+#: trailer value after the safe numeric cast: 29 whole digits, 9 decimals.
+VALUE_TYPE = T.DecimalType(38, 9)
+#: values that Spark's own arithmetic keeps at scale 9: (28,9) x (18,9) ->
+#: (38,9), (28,9) - (28,9) -> (29,9).  For wider ones see ``functions.money``.
+NARROW_TYPE = T.DecimalType(28, 9)
 #: currency conversion rate.
 RATE_TYPE = T.DecimalType(18, 9)
 #: value converted to USD (result type of VALUE_TYPE x RATE_TYPE).
