@@ -33,8 +33,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    index = exact_dedup.DigestIndex(spark, scratch(spark, "pipeline-digests"), docs.schema["doc_id"].dataType.simpleString())
-    return exact_dedup.distinct_texts(docs, index)
+    with exact_dedup.DigestIndex(spark, scratch(spark, "pipeline-digests"), docs.schema["doc_id"].dataType.simpleString()) as index:
+        return exact_dedup.distinct_texts(docs, index)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
