@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimtide.functions.formatting import display_column_name
+from claimtide.sources.tables import write_csv
 
 CLAIM_FILTERS = ("country", "status", "source", "carrier_name")
 TRANSITION_FILTERS = ("country", "current_status", "source", "carrier_name", "transition_type")
@@ -91,9 +92,16 @@ def transitions_extract(transitions: DataFrame, **filters) -> DataFrame:
     return title_case_columns(drop_hidden(filtered))
 
 
-def matching_caption(df: DataFrame, noun: str) -> str:
-    """``"1,234 matching <noun>"`` for a filtered extract (one count job)."""
-    return f"{df.count():,} matching {noun}"
+def matching_caption(rows: DataFrame | int, noun: str) -> str:
+    """``"1,234 matching <noun>"`` for a number of rows, or for a filtered
+    extract that isn't written (one count job)."""
+    return f"{rows if isinstance(rows, int) else rows.count():,} matching {noun}"
+
+
+def export(extract: DataFrame, path: str, noun: str) -> str:
+    """Writes an extract as CSV and returns its caption; the rows are counted
+    on their way into the file, so the extract is computed once."""
+    return matching_caption(write_csv(extract, path), noun)
 
 
 def has_rows(df: DataFrame) -> bool:

@@ -12,27 +12,29 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from claimtide.operators import quality
 from claimtide.operators.classify import classify
 from claimtide.operators.periods import (
     MONTHLY,
     WEEKLY,
+    PeriodGrain,
     current_claims,
     current_from_staged,
     latest_per_segment,
     monthly_metrics,
-    monthly_state,
+    period_state,
     period_state_from_staged,
     weekly_metrics,
-    weekly_state,
     weekly_transitions,
 )
 from claimtide.operators.staging import stage_claims
 from claimtide.schemas import MART_TABLES
 from claimtide.session import ensure_checkpoint_dir
-from claimtide.sources import tables
+from claimtide.sources import tables, versions
 from claimtide.sources.tables import INTERMEDIATE, MARTS, SEEDS, STAGING
 
 
@@ -42,6 +44,9 @@ CURRENCY_SEED, CATEGORY_SEED = "seed_currency_rates", "seed_category_hierarchy"
 #: latest classified snapshot per claim, week and month (shared by the
 #: weekly and monthly marts in ``materialize``)
 SEGMENT_TABLE = "int_claims_period_latest"
+#: what it is bucketed by, and what its buckets are sorted by after that
+SEGMENT_ORDER = ("claim_number", ["snapshot_date"])
+QUALITY, ROW_CHECKS = "quality", "row_checks"
 
 
 class ModelGraph(Mapping[str, DataFrame]):
@@ -122,6 +127,7 @@ def materialize(
     base_dir: str | None = None,
     parallel: bool = True,
     marts_from_history: bool = False,
+    buckets: int | None = None,
 ) -> dict[str, str]:
     """Write classified and the six marts under ``base_dir`` (default: the
     session's ``spark.checkpoint.dir``), one folder per layer
@@ -130,8 +136,12 @@ def materialize(
     Order follows the model graph; every consumer reads its parent back from
     storage (full refresh, overwrite).  The weekly and monthly marts read a
     shared written table, the latest snapshot per claim, week and month, so
-    the full classified table is scanned and thinned once for both.  After
-    that the three branches (current; weekly -> transitions, metrics; monthly
+    the full classified table is scanned and thinned once for both.  It is
+    stored in ``buckets`` by claim (default: the session's shuffle partitions),
+    so neither mart shuffles it again: rank and lag run within the buckets.
+    The row-level quality checks of every table are taken by its write and
+    stored as the table ``quality/row_checks`` (see ``quality.run_checks``).
+    After that the three branches (current; weekly -> transitions, metrics; monthly
     -> metrics) are independent and, with ``parallel``, run as concurrent
     Spark jobs from driver threads, so one branch's stragglers do not idle
     the cluster.
@@ -142,6 +152,15 @@ def materialize(
     their lineage is still a single job over a stored table."""
     base = base_dir or ensure_checkpoint_dir(spark)
     names = dict(MART_TABLES)
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    measured: list[tuple] = []
+
+    @contextmanager
+    def measuring(table: str) -> Iterator[tables.Measure]:
+        measure = tables.Measure(**quality.measured_checks(table))
+        yield measure
+        measured.extend(quality.measured_results(table, measure))
+
     paths = {
         CLASSIFIED_TABLE: tables.layer_path(base, INTERMEDIATE, CLASSIFIED_TABLE),
         SEGMENT_TABLE: tables.layer_path(base, INTERMEDIATE, SEGMENT_TABLE),
@@ -149,9 +168,11 @@ def materialize(
     paths.update({name: tables.layer_path(base, MARTS, name) for name in names.values()})
 
     def classified_branch() -> None:
-        tables.write_partitioned(
-            classify(stage_claims(raw), rates), paths[CLASSIFIED_TABLE], "snapshot_date", ["claim_number", "status"]
-        )
+        with measuring(quality.CLASSIFIED) as measure:
+            tables.write_partitioned(
+                classify(stage_claims(raw), rates), paths[CLASSIFIED_TABLE], "snapshot_date",
+                ["claim_number", "status"], ranged=False, measure=measure,
+            )
 
     def classified() -> DataFrame:
         return tables.read_table(spark, paths[CLASSIFIED_TABLE])
@@ -160,54 +181,43 @@ def materialize(
         """Latest per (claim, week, month) of the written classified table:
         the full history is thinned once for both the weekly and the
         monthly mart, which read all of it (no partitions needed)."""
-        latest_per_segment(classified()).write.mode("overwrite").parquet(paths[SEGMENT_TABLE])
+        tables.write_bucketed(latest_per_segment(classified()), paths[SEGMENT_TABLE], *SEGMENT_ORDER, buckets)
 
-    def segments() -> DataFrame:
-        return tables.read_table(spark, paths[SEGMENT_TABLE])
+    @contextmanager
+    def state_of(grain: PeriodGrain) -> Iterator[DataFrame]:
+        if marts_from_history:
+            yield period_state_from_staged(staged, rates, grain)
+        else:
+            with tables.bucketed_table(spark, paths[SEGMENT_TABLE], *SEGMENT_ORDER, buckets) as segments:
+                yield period_state(segments, grain)
 
     staged = stage_claims(raw)
 
     def current_df() -> DataFrame:
         return current_from_staged(staged, rates) if marts_from_history else current_claims(classified())
 
-    def weekly_df() -> DataFrame:
-        if marts_from_history:
-            return period_state_from_staged(staged, rates, WEEKLY)
-        return weekly_state(segments())
-
-    def monthly_df() -> DataFrame:
-        if marts_from_history:
-            return period_state_from_staged(staged, rates, MONTHLY)
-        return monthly_state(segments())
+    def write(key: str, df: DataFrame, date_column: str, cluster_by: list[str]) -> None:
+        with measuring(key) as measure:
+            tables.write_partitioned(df, paths[names[key]], date_column, cluster_by, measure=measure)
 
     def current_branch() -> None:
-        tables.write_clustered(current_df(), paths[names["current"]], ["claim_number", "status", "wbr_tier1"])
+        with measuring("current") as measure:
+            tables.write_clustered(
+                current_df(), paths[names["current"]], ["claim_number", "status", "wbr_tier1"], measure=measure
+            )
 
     def weekly_branch() -> None:
-        tables.write_partitioned(
-            weekly_df(), paths[names["weekly"]], "week_end_date",
-            ["claim_number", "report_year", "report_week", "status"],
-        )
+        with state_of(WEEKLY) as state:
+            write("weekly", state, "week_end_date", ["claim_number", "report_year", "report_week", "status"])
         weekly = tables.read_table(spark, paths[names["weekly"]])
-        tables.write_partitioned(
-            weekly_transitions(weekly), paths[names["weekly_transitions"]], "week_end_date",
-            ["claim_number", "transition_type"],
-        )
-        tables.write_partitioned(
-            weekly_metrics(weekly), paths[names["weekly_metrics"]], "week_end_date",
-            ["report_year", "report_week", "wbr_tier1", "status"],
-        )
+        write("weekly_transitions", weekly_transitions(weekly), "week_end_date", ["claim_number", "transition_type"])
+        write("weekly_metrics", weekly_metrics(weekly), "week_end_date", ["report_year", "report_week", "wbr_tier1", "status"])
 
     def monthly_branch() -> None:
-        tables.write_partitioned(
-            monthly_df(), paths[names["monthly"]], "month_end_date",
-            ["claim_number", "metric_year", "metric_month", "status"],
-        )
+        with state_of(MONTHLY) as state:
+            write("monthly", state, "month_end_date", ["claim_number", "metric_year", "metric_month", "status"])
         monthly = tables.read_table(spark, paths[names["monthly"]])
-        tables.write_partitioned(
-            monthly_metrics(monthly), paths[names["monthly_metrics"]], "month_end_date",
-            ["metric_year", "metric_month", "wbr_tier1", "status"],
-        )
+        write("monthly_metrics", monthly_metrics(monthly), "month_end_date", ["metric_year", "metric_month", "wbr_tier1", "status"])
 
     branches = (weekly_branch, monthly_branch, current_branch)
     if marts_from_history:
@@ -224,19 +234,25 @@ def materialize(
             branch()
     if marts_from_history:
         paths.pop(SEGMENT_TABLE)
+    results = spark.createDataFrame(sorted(measured), quality.RESULT_SCHEMA)  # a row a check
+    results.coalesce(1).write.mode("overwrite").parquet(tables.layer_path(base, QUALITY, ROW_CHECKS))
     return paths
 
 
+def measured_checks(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Results of the quality checks that ``materialize`` took in its writes."""
+    return tables.read_table(spark, tables.layer_path(base_dir, QUALITY, ROW_CHECKS))
+
+
 def refresh(
     spark: SparkSession, raw: DataFrame, rates: DataFrame, categories: DataFrame, base_dir: str, prefix: str = ""
 ) -> dict[str, str]:
     """A full refresh in the catalog: seeds, classified and marts are written
-    into a fresh folder under ``base_dir``, then each name in its layer's
-    schema (``staging``, ``intermediate``, ``marts``, ``seeds``, after
-    ``prefix``) is pointed at the new table.  A name always shows a whole
-    table, the old one or the new one, and a reader of the old one keeps its
-    files.  The staged rows are written as well: the
-    source may change after the refresh.  Returns table name ->
+    into a fresh folder under ``base_dir``, then all names in their layers'
+    schemas (``staging``, ``intermediate``, ``marts``, ``seeds``, after
+    ``prefix``) move to the new tables at once (``sources.versions``).  A
+    reader of the old tables keeps their files.  The staged rows are written as
+    well: the source may change after the refresh.  Returns table name ->
     path; folders of earlier refreshes may be deleted once nobody reads them."""
     run = f"{base_dir.rstrip('/')}/refresh-{uuid.uuid4().hex}"
     paths = materialize(spark, raw, rates, run)
@@ -247,6 +263,5 @@ def refresh(
     source = tables.layer_path(run, STAGING, STAGED_VIEW)
     stage_claims(raw).write.mode("overwrite").parquet(source)
     paths[STAGED_VIEW], layers[STAGED_VIEW] = source, STAGING
-    for name, path in paths.items():
-        tables.publish(spark, f"{prefix}{layers[name]}", name, path)
+    versions.publish(spark, base_dir, layers, paths, prefix)
     return paths

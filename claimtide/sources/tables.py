@@ -3,7 +3,11 @@ lookup by name, month-pruned reads and CSV export."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from claimtide.schemas import MART_TABLES
@@ -18,46 +22,100 @@ STAGING, INTERMEDIATE, MARTS, SEEDS = "staging", "intermediate", "marts", "seeds
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
+class Measure:
+    """Aggregates of the rows that a write puts out, taken by its tasks; they
+    are there once the write is done.  ``rows`` is always among them."""
+
+    def __init__(self, **columns: Column):
+        self.columns = {"rows": F.count(F.lit(1)), **columns}
+        self.taken = Observation(f"measure-{uuid.uuid4().hex}")
+
+    def on(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.taken, *(c.alias(name) for name, c in self.columns.items()))
+
+    def __getitem__(self, name: str):
+        return self.taken.get[name]
+
+
+def _measured(df: DataFrame, measure: Measure | None) -> DataFrame:
+    return measure.on(df) if measure else df
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
     date_column: str,
     cluster_by: list[str],
     mode: str = "overwrite",
+    ranged: bool = True,
+    measure: Measure | None = None,
 ) -> None:
     """Month-partitioned, clustered table.
 
-    ``REBALANCE(month)`` shuffles rows by month so that a task writes one (or
-    a few) month directories instead of one file per task and month; AQE
-    splits a month that is too big for one task (a month holding a third of
-    the data becomes many tasks) and merges small ones, from the measured
-    shuffle sizes, with no sampling pass over the input.  Within a task rows
-    are sorted by the cluster columns, which gives tight Parquet min/max
-    statistics for row-group skipping.
-    """
+    Rows are dealt to tasks by ranges of (month, first cluster column, ...), so
+    a task writes one or a few month directories, and a month too big for one
+    task becomes many files with disjoint ranges of the cluster columns: their
+    Parquet statistics prune whole files.  The boundaries come from a sample of
+    what is written, for which Spark runs the plan after its last exchange once
+    more.
+
+    Without ``ranged`` rows are dealt by ``REBALANCE(month)``, with no pass for
+    a sample: AQE splits a big month from the measured shuffle sizes, and each
+    of its files is sorted but spans all of the month.  That suits the widest
+    table, whose plan is dear and which is read whole.
+
+    ``measure`` is taken from the rows on their way into the files.  A table
+    without rows has no month directory, but a file that tells its columns."""
+    measure = measure or Measure()
+    placed = df.withColumn(MONTH_PARTITION, F.trunc(F.col(date_column), "month"))
+    placed = placed.repartitionByRange(MONTH_PARTITION, *cluster_by) if ranged else placed.hint("rebalance", MONTH_PARTITION)
+    placed = placed.sortWithinPartitions(MONTH_PARTITION, *cluster_by)
     (
-        df.withColumn(MONTH_PARTITION, F.trunc(F.col(date_column), "month"))
-        .hint("rebalance", MONTH_PARTITION)
-        .sortWithinPartitions(MONTH_PARTITION, *cluster_by)
+        measure.on(placed)
         .write.mode(mode)
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(MONTH_PARTITION)
         .parquet(path)
     )
+    if measure["rows"] == 0 and mode == "overwrite":
+        placed.limit(0).write.mode(mode).parquet(path)
 
 
-def write_clustered(df: DataFrame, path: str, cluster_by: list[str], mode: str = "overwrite") -> None:
+def write_clustered(
+    df: DataFrame, path: str, cluster_by: list[str], mode: str = "overwrite", measure: Measure | None = None
+) -> None:
     """Clustered table without partitions (the current-state mart): a file
     holds one range of the cluster columns, sorted, so a point lookup opens
     one file and skips the others by their statistics.  The ranges come from
     a sample, which reads ``df`` once more: give a cheap or written one."""
-    (
-        df.repartitionByRange(*cluster_by)
-        .sortWithinPartitions(*cluster_by)
-        .write.mode(mode)
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .parquet(path)
+    placed = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    _measured(placed, measure).write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
+
+
+def write_bucketed(df: DataFrame, path: str, column: str, sort_by: list[str], buckets: int) -> None:
+    """Table in files by the hash of ``column``, sorted.  Rows are dealt by that
+    hash first, so a bucket is one file."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, column)
+    dealt.write.format("parquet").bucketBy(buckets, column).sortBy(column, *sort_by).option("path", path).saveAsTable(name)
+    df.sparkSession.sql(f"DROP TABLE {name}")  # the name; the files stay
+
+
+@contextmanager
+def bucketed_table(spark: SparkSession, path: str, column: str, sort_by: list[str], buckets: int) -> Iterator[DataFrame]:
+    """A table of ``write_bucketed``, of which Spark knows the buckets: grouping
+    and windows on ``column`` need no exchange.  Buckets are known through the
+    catalog, which has a name for the table in the meantime."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (path '{path}') "
+        f"CLUSTERED BY ({column}) SORTED BY ({', '.join([column, *sort_by])}) INTO {buckets} BUCKETS"
     )
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -87,17 +145,10 @@ def layer_path(base_dir: str, layer: str, table: str) -> str:
     return f"{base_dir.rstrip('/')}/{layer}/{table}"
 
 
-def publish(spark: SparkSession, schema: str, table: str, path: str) -> None:
-    """Points ``schema.table`` at the table written to ``path``.  The name is
-    a view that is replaced in one step, so it is never missing."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
-    columns = ", ".join(f"`{c}`" for c in read_table(spark, path).columns)
-    spark.sql(f"CREATE OR REPLACE VIEW `{schema}`.`{table}` AS SELECT {columns} FROM parquet.`{path}`")
-
-
 def read_mart(spark: SparkSession, base_dir: str | None, table: str, prefix: str = "") -> DataFrame:
     """``select *`` of one of the six marts by its table name: from the folder
-    of a build or, without one, from the catalog's ``marts`` schema."""
+    of a build or, without one, from the catalog's ``marts`` schema.  Several
+    marts of one refresh: ``versions.open_version``."""
     names = {name for _key, name in MART_TABLES}
     if table not in names:
         raise ValueError(f"no such mart: {table!r}")
@@ -117,12 +168,14 @@ _CSV = {
 }
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV export with a header, as any CSV reader takes it.  ``single_file``
-    only for small results (a review pivot); extracts are written by all
-    tasks."""
-    out = df.coalesce(1) if single_file else df
+def write_csv(df: DataFrame, path: str, single_file: bool = False) -> int:
+    """CSV export with a header, as any CSV reader takes it; returns the number
+    of rows, counted by the writing tasks.  ``single_file`` only for small
+    results (a review pivot); extracts are written by all tasks."""
+    rows = Measure()
+    out = rows.on(df.coalesce(1) if single_file else df)
     out.write.mode("overwrite").options(**_CSV, nullValue="", emptyValue='""').csv(path)
+    return rows["rows"]
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
