@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -178,6 +179,60 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> int:
     return rows["rows"]
 
 
+def write_csv_file(df: DataFrame, path: str) -> int:
+    """One CSV file at ``path`` in the order of ``df``, written by many tasks;
+    returns the number of rows.
+
+    The parts are written in order, without a header, beside the file.  Their
+    sizes tell where each one's bytes lie: a store that can join files by their
+    names (``concat``) does, on a file system every task copies its part to its
+    place.  A task that is run again writes the same bytes at the same place.
+    Other stores are refused; ``write_csv`` gives them the parts."""
+    spark = df.sparkSession
+    parts = f"{path}.parts-{uuid.uuid4().hex}"
+    rows = Measure()
+    options = {**_CSV, "header": "false", "nullValue": "", "emptyValue": '""'}
+    rows.on(df).write.options(**options).csv(parts)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, folder = hadoop.Path(path), hadoop.Path(parts)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    # names and sizes of the parts; their order is the tasks'
+    found = sorted((s.getPath().getName(), s.getLen(), s.getPath()) for s in store.listStatus(folder) if s.getPath().getName().startswith("part-"))
+    quoted = ['"' + c.replace('"', '""') + '"' if any(x in c for x in ',"\n\r') or c != c.strip() else c for c in df.columns]
+    header = (",".join(quoted) + "\n").encode()
+    out = store.create(target, True)
+    out.write(bytearray(header))
+    out.close()
+    if store.getUri().getScheme() == "file":
+        places, at = {}, len(header)
+        for name, size, _ in found:
+            places[name] = at
+            at += size
+        file = target.toUri().getPath()
+
+        def copy(batches):
+            for batch in batches:
+                for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                    with open(file, "r+b") as whole:
+                        whole.seek(places[name.rsplit("/", 1)[1]])
+                        whole.write(content.as_buffer())
+            yield from ()
+
+        if found:
+            content = spark.read.format("binaryFile").load(parts).select("path", "content")
+            content.repartition(len(found)).mapInArrow(copy, "done int").count()
+    else:
+        sources = spark._sc._gateway.new_array(hadoop.Path, len(found))
+        for k, (_, _, part) in enumerate(found):
+            sources[k] = part
+        try:
+            store.concat(target, sources)
+        except Py4JJavaError as refused:
+            raise ValueError(f"this store joins no files; the parts are in {parts}, in order") from refused
+    store.delete(folder, True)
+    return rows["rows"]
+
+
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     """An export read back; values may hold line breaks."""
     return spark.read.schema(schema).options(**_CSV, multiLine="true", nullValue="\u0000", emptyValue="").csv(path)

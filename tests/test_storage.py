@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import csv
 import glob
+import re
 import time
 
 import pyarrow.parquet as pq
 import pytest
 from conftest import SF_SMALL, raw_rows, snapshot
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from claimtide.operators import extracts as X
@@ -16,6 +20,7 @@ from claimtide.operators.periods import MONTHLY, WEEKLY, latest_per_segment, per
 from claimtide.plans.build import SEGMENT_ORDER, build, materialize, measured_checks, refresh
 from claimtide.schemas import MART_TABLES
 from claimtide.session import scratch_path
+from claimtide.sources import search as S
 from claimtide.sources import tables, versions
 from claimtide.sources.seeds import category_hierarchy, currency_rates
 from claimtide.sources.testdata import testdata_history as adapted_history
@@ -214,3 +219,87 @@ def test_a_second_writer_of_one_version_is_refused(spark, monkeypatch):
     monkeypatch.setattr(versions, "open_version", late)
     with pytest.raises(RuntimeError):
         versions.commit(spark, base, {"t": "marts"}, {"t": "/two"})
+
+
+# -- one ordered file from many tasks ----------------------------------------------
+
+
+def test_an_ordered_export_is_one_file_of_many_tasks(spark):
+    rows = [(k % 97, f'{k}, "x"' if k % 3 else " edge\nline é ", None if k % 5 else "") for k in range(5000)]
+    df = spark.createDataFrame(rows, 'n int, `Text, "quoted"` string, other string').repartition(9)
+    path = scratch_path(spark, "one") + ".csv"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ordered = df.orderBy(F.desc("n"))
+        assert ordered.rdd.getNumPartitions() > 3
+        n = tables.write_csv_file(ordered, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    with open(path, encoding="utf-8", newline="") as f:
+        got = list(csv.reader(f))
+    assert n == 5000 and got[0] == ["n", 'Text, "quoted"', "other"]
+    assert [int(r[0]) for r in got[1:]] == sorted((r[0] for r in rows), reverse=True)
+    assert sorted(tuple(r) for r in got[1:]) == sorted((str(a), b, c or "") for a, b, c in rows)
+    assert not glob.glob(f"{path}.parts*")
+    assert tables.write_csv_file(df.limit(0), path) == 0
+    with open(path, encoding="utf-8") as f:
+        assert f.read() == 'n,"Text, ""quoted""",other\n'
+
+
+def test_transitions_come_newest_first(spark, stored):
+    base, _, graph = stored
+    extract = X.transitions_extract(tables.read_mart(spark, base, "mart_claim_transitions_weekly"))
+    path = scratch_path(spark, "transitions") + ".csv"
+    n = tables.write_csv_file(extract, path)
+    with open(path, encoding="utf-8", newline="") as f:
+        got = list(csv.DictReader(f))
+    assert n == len(got) == graph["weekly_transitions"].count() > 0
+    days = [r["Week End Date"] for r in got]
+    assert days == sorted(days, reverse=True)
+
+
+# -- claim search by trigrams --------------------------------------------------------
+
+
+def test_a_search_reads_the_files_that_may_match(spark):
+    path = scratch_path(spark, "marts") + "/mart_claims_current"
+    df = spark.range(20_000).selectExpr("format_string('CLM-%05d', id) as claim_number", "id")
+    odd = spark.createDataFrame([("\u212aELV\u0130N-\u017fz1", 1), ("Ab", 2), (None, 3), ("", 4)], "claim_number string, id long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_clustered(df.union(odd), path, ["claim_number"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    whole = spark.read.parquet(path)
+    everywhere = len(whole.inputFiles())
+    assert S.files_for(spark, path, "12345") is None  # no index yet
+    S.build_index(spark, path)
+    for search, literal, few in (("12345", False, True), ("clm-0012", False, True), ("kelvin-s", False, True), (r"clm-\d*7", False, False), ("12", False, False), ("clm-001(2|3)", False, False), ("clm-0012", True, True), ("nothing", True, True), (r"^clm-199\d+$", False, True), ("clm-1999+", False, True), ("clm-19999*", False, True), ("[cC]LM-12[3-4]00", False, True), ("", False, False)):
+        rows = S.read_for_search(spark, path, search, literal)
+        found = X.filter_claims(rows, search=search, literal=literal)
+        want = X.filter_claims(whole, search=search, literal=literal)
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, want.collect()), key=str), search
+        assert (len(rows.inputFiles()) < everywhere) == few, search
+
+
+@pytest.mark.parametrize(
+    "search, grams",
+    [("abc", ["abc"]), ("abcd", ["abc", "bcd"]), ("AbC", ["abc"]), ("ab.cd", []), ("abcd?", ["abc"]), ("abcd*e", ["abc"]), ("abcd+efg", ["abc", "bcd", "efg"]), ("abcd{0,2}", ["abc"]), (r"abc\d", ["abc"]), (r"\Qabc", []), ("abc|def", []), ("(?x)abc", []), ("a[bc]def", ["def"]), ("[^abc]", []), ("abc[", []), ("abé", [])],
+)
+def test_required_grams(search, grams):
+    assert S.required_grams(search) == grams
+
+
+def test_required_grams_of_literals():
+    assert S.required_grams("a.b*", literal=True) == [".b*", "a.b"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab.*+?[]{}1,^$\\-", max_size=9), st.text(alphabet="ab1-", max_size=8))
+def test_grams_are_in_every_match(search, text):
+    try:
+        pattern = re.compile(search, re.IGNORECASE)
+    except (re.error, OverflowError, FutureWarning):
+        return
+    if pattern.search(text):
+        assert all(g in text.lower() for g in S.required_grams(search)), (search, text)
