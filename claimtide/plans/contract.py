@@ -22,12 +22,12 @@ from claimtide.operators import extracts as X
 from claimtide.operators import quality as Q
 from claimtide.operators import review as R
 from claimtide.operators.classify import classify, convert_currency, detect_reopened
-from claimtide.operators.periods import MONTHLY, WEEKLY
+from claimtide.operators.periods import MONTHLY, WEEKLY, latest_per_segment, period_state
 from claimtide.operators.staging import stage_claims
-from claimtide.plans.build import ModelGraph, build
+from claimtide.plans.build import SEGMENT_ORDER, ModelGraph, build, materialize, measured_checks
 from claimtide.schemas import STAGED_DATES
 from claimtide.session import scratch_path
-from claimtide.sources import tables
+from claimtide.sources import search, tables
 from claimtide.sources.history import read_history
 from claimtide.sources.seeds import currency_rates
 from claimtide.sources.testdata import testdata_history
@@ -437,11 +437,56 @@ def q_mart_by_name(spark, sf_dir):
     return as_doubles(tables.read_mart(spark, base, name))
 
 
+def _bucketed_state(grain):
+    """A mart's rows from the stored segment table, read in its buckets."""
+
+    def run(spark, sf_dir):
+        path, buckets = scratch_path(spark, "segments"), 16
+        tables.write_bucketed(latest_per_segment(classified(spark, sf_dir)), path, *SEGMENT_ORDER, buckets)
+        with tables.bucketed_table(spark, path, *SEGMENT_ORDER, buckets) as segments:
+            return as_doubles(period_state(segments, grain))
+
+    return run
+
+
+def q_search_current(spark, sf_dir):
+    """A claim search through the trigram table of the written mart."""
+    path = tables.layer_path(scratch_path(spark, "searched"), tables.MARTS, "mart_claims_current")
+    tables.write_clustered(_current(spark, sf_dir), path, ["claim_number", "status", "wbr_tier1"])
+    search.build_index(spark, path)
+    pattern = "clm-1[0-5]+-"
+    rows = X.filter_claims(search.read_for_search(spark, path, pattern), search=pattern)
+    return as_doubles(rows.select("claim_number", "snapshot_date", "status", "value_usd"))
+
+
+def q_ordered_export(spark, sf_dir):
+    """The transitions as one CSV file, newest first, with the number of rows
+    that its write counted; read back, and whether its lines are in order."""
+    path = scratch_path(spark, "transitions_csv") + ".csv"
+    names = ["Claim Number", "Week End Date", "Current Status", "Transition Type"]
+    extract = X.transitions_extract(_transitions(spark, sf_dir)).select(*names)
+    n = tables.write_csv_file(extract, path)
+    rows = tables.read_csv(spark, path, extract.schema).withColumn("at", F.monotonically_increasing_id())
+    newest_later = F.max("Week End Date").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1))
+    in_order = F.coalesce(newest_later <= F.col("Week End Date"), F.lit(True))
+    return rows.select(*names, F.lit(n).cast("long").alias("Rows"), in_order.alias("In Order"))
+
+
 # ---------------------------------------------------------------------------
 # data quality
 # ---------------------------------------------------------------------------
 
 
+def q_dq_after_build(spark, sf_dir):
+    """All checks of the built tables after a full build: the row-level ones
+    from the tables' own writes, the grouped ones from the stored tables."""
+    base = scratch_path(spark, "checked")
+    paths = materialize(spark, testdata_history(spark, sf_dir), currency_rates(spark), base)
+    found = {key: tables.read_mart(spark, base, name) for key, name in S.MART_TABLES}
+    found[Q.CLASSIFIED] = tables.read_table(spark, paths["int_claims_classified"])
+    return Q.run_checks(found, measured=measured_checks(spark, base))
+
+
 def _dq_tables(spark, sf_dir):
     raw = testdata_history(spark, sf_dir)
     graph = build(raw, currency_rates(spark))
@@ -489,6 +534,11 @@ QUERIES.update(
         "history_scan": q_history_scan,
         "currency_convert_csv": q_currency_convert_csv,
         "mart_by_name": q_mart_by_name,
+        "bucketed_weekly_state": _bucketed_state(WEEKLY),
+        "bucketed_monthly_state": _bucketed_state(MONTHLY),
+        "search_current": q_search_current,
+        "ordered_export": q_ordered_export,
+        "dq_after_build": q_dq_after_build,
         "dq_not_null": _dq(("not_null",)),
         "dq_unique": _dq(("unique",)),
         "dq_accepted": _dq(("accepted_values",)),

@@ -352,6 +352,17 @@ SQL["month_pruned_read"] = with_blocks("weekly") + (
 SQL["history_scan"] = SQL["stage_claims"]
 SQL["currency_convert_csv"] = SQL["currency_convert"]
 SQL["mart_by_name"] = SQL["current_claims"]
+SQL["bucketed_weekly_state"] = SQL["weekly_state"]
+SQL["bucketed_monthly_state"] = SQL["monthly_state"]
+SQL["search_current"] = with_blocks("cur") + (
+    "SELECT claim_number, snapshot_date, status, CAST(value_usd AS DOUBLE) AS value_usd FROM cur "
+    "WHERE regexp_matches(claim_number, 'clm-1[0-5]+-', 'i')"
+)
+SQL["ordered_export"] = with_blocks("weekly") + (
+    "SELECT claim_number AS \"Claim Number\", week_end_date AS \"Week End Date\", status AS \"Current Status\", "
+    "transition_type AS \"Transition Type\", (SELECT count(*) FROM weekly WHERE status_changed) AS \"Rows\", true AS \"In Order\" "
+    "FROM weekly WHERE status_changed"
+)
 
 # ---------------------------------------------------------------------------
 # data quality
@@ -415,7 +426,7 @@ def _checks(kind: str) -> list[tuple[str, str, str]]:
             (
                 "assert_no_value_cut",
                 "source",
-                f"SELECT count(*) FROM raw WHERE isfinite(try_cast({text} AS DOUBLE)) AND try_cast({text} AS DECIMAL(28,9)) IS NULL",
+                f"SELECT count(*) FROM raw WHERE isfinite(try_cast({text} AS DOUBLE)) AND try_cast({text} AS DECIMAL(38,9)) IS NULL",
             ),
         ]
     names = {"not_null": _NOT_NULL, "unique": _UNIQUE, "unique_combination": _COMBINATIONS}
@@ -451,6 +462,14 @@ SQL["dq_unique_combo"] = _dq_sql("unique_combination")
 SQL["dq_between"] = _dq_sql("between")
 SQL["dq_singular"] = _dq_sql("singular")
 
+_BUILT = ("current", "weekly", "weekly_transitions", "weekly_metrics", "monthly", "monthly_metrics", "classified")
+SQL["dq_after_build"] = with_blocks("all", _TRN) + " UNION ALL ".join(
+    f"SELECT {_q(name)} AS check_name, {_q(table)} AS table_name, {_q(kind)} AS kind, CAST(({count}) AS BIGINT) AS failing_rows"
+    for kind in ("not_null", "unique", "accepted_values", "unique_combination", "between", "singular")
+    for name, table, count in _checks(kind)
+    if table in _BUILT
+)
+
 
 # ---------------------------------------------------------------------------
 # money of more than 19 whole digits: everything in whole billionths
