@@ -6,10 +6,14 @@ for every labelled text that mentions a group of people, texts with the term
 swapped for another group's (or for a neutral word) are made as well: the
 loss adds ``SWAP_COST`` times the squared difference of their scores before
 the logistic.  A mention alone then tells nothing, so neutral sentences about
-a group are not rejected for it.
+a group are not rejected for it.  Labelled texts may hold no mention at all, and
+word beginnings of a group's name may still be learned from other words; so
+``MENTIONS`` texts of either label are given one, a sentence of each group's
+terms in turn, and swapped likewise.
 
 The fit reads a bounded sample: at most about ``TRAIN_ROWS`` labelled rows,
-those with the least hash of their id, in one task; the weights (at most
+those with the least hash of their id (of an id's texts the one with the least
+hash), in one task; the weights (at most
 ``FEATURES``) go back to the executors, and all documents are scored where
 they lie, without a shuffle.
 
@@ -25,6 +29,7 @@ import math
 import re
 from collections import Counter
 from hashlib import blake2b
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +47,8 @@ FEATURES = 4000
 LEAST_TEXTS = 4
 BEGINNINGS = (4, 5, 6, 7)
 OFTEN = 3
+#: texts of either label that are given mentions of groups.
+MENTIONS = 40
 ROUNDS = 400
 RIDGE = 3e-5
 SWAP_COST = 0.5
@@ -59,6 +66,8 @@ IDENTITY_TERMS = [
     ["femmes", "hommes", "filles", "garçons", "gens"],
     ["mujeres", "hombres", "chicas", "chicos", "personas"],
 ]
+# sentences that mention a group, one in the language of each list's terms
+MENTION = ["we met {} today", "we met {} today", "this {} neighbour came by", "this {} neighbour came by", "we met {} today", "wir trafen {} heute", "nous avons vu {} hier", "vimos {} ayer"]
 _SWAPS = {term: [t for t in terms if t != term] for terms in IDENTITY_TERMS for term in terms[:-1]}
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -83,6 +92,18 @@ def swapped(words: Counter) -> list[Counter]:
     return out
 
 
+def mentioned(texts: list[Counter], labels: np.ndarray) -> list[tuple[Counter, list[Counter]]]:
+    """Texts given a sentence about a group, and the same with its other terms:
+    the first ``MENTIONS`` texts of each label."""
+    out = []
+    for label in (0, 1):
+        for k, i in enumerate(np.flatnonzero(labels == label)[:MENTIONS]):
+            at = k % len(MENTION)
+            first, *others = [texts[i] + words_of(MENTION[at].format(term)) for term in IDENTITY_TERMS[at]]
+            out.append((first, others))
+    return out
+
+
 class _Numbers:
     """Features as 64-bit numbers, remembered by word."""
 
@@ -111,9 +132,39 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(texts: list[Counter], labels: np.ndarray, swap_cost: float = SWAP_COST) -> tuple[dict[str, float], float]:
-    """Weights by feature (``!`` put before those that count when often met)
-    and the intercept."""
+class Problem(NamedTuple):
+    """What is minimised: features of texts, and what swaps add and take away."""
+
+    y: np.ndarray
+    row: np.ndarray  # text and feature of each of the texts' features
+    column: np.ndarray
+    pair_row: np.ndarray  # pair, feature and sign of each difference
+    pair_column: np.ndarray
+    pair_sign: np.ndarray
+    pairs: int
+    swap_cost: float
+
+
+def loss(p: Problem, w: np.ndarray, bias: float) -> float:
+    z = np.clip(bias + np.bincount(p.row, weights=w[p.column], minlength=len(p.y)), -30, 30)
+    change = np.bincount(p.pair_row, weights=w[p.pair_column] * p.pair_sign, minlength=p.pairs)
+    return float(np.mean(np.logaddexp(0, z) - p.y * z) + RIDGE / 2 * w @ w + p.swap_cost * (change @ change) / max(p.pairs, 1))
+
+
+def slope(p: Problem, w: np.ndarray, bias: float) -> np.ndarray:
+    """The gradient of ``loss``, the intercept's last."""
+    z = bias + np.bincount(p.row, weights=w[p.column], minlength=len(p.y))
+    off = (_sigmoid(z) - p.y) / len(p.y)
+    out = np.bincount(p.column, weights=off[p.row], minlength=len(w)) + RIDGE * w
+    if p.pairs:
+        change = np.bincount(p.pair_row, weights=w[p.pair_column] * p.pair_sign, minlength=p.pairs)
+        out += 2 * p.swap_cost / p.pairs * np.bincount(p.pair_column, weights=p.pair_sign * change[p.pair_row], minlength=len(w))
+    return np.append(out, off.sum())
+
+
+def fit(texts: list[Counter], labels: np.ndarray, swap_cost: float = SWAP_COST) -> tuple[dict[str, float], float, int]:
+    """Weights by feature (``!`` put before those that count when often met),
+    the intercept and the number of swapped pairs."""
     numbers = _Numbers()
     rows = [numbers(t) for t in texts]
     lengths = np.array([len(r) for r in rows])
@@ -127,7 +178,8 @@ def fit(texts: list[Counter], labels: np.ndarray, swap_cost: float = SWAP_COST)
     expected = with_it * positive / n
     error = np.sqrt(expected * (1 - positive / n) * (1 - with_it / n) + 1e-9)
     telling = np.where(with_it >= LEAST_TEXTS, np.abs(toxic - expected) / error, 0)
-    pairs = [(i, s) for i, t in enumerate(texts) for s in swapped(t)] if swap_cost else []
+    pairs = [(rows[i], s) for i, t in enumerate(texts) for s in swapped(t)]
+    pairs += [(numbers(t), s) for t, others in mentioned(texts, labels) for s in others]
     chosen = np.argsort(-telling, kind="stable")[:FEATURES]
     chosen = np.sort(chosen[telling[chosen] > 2.5])
     place = np.full(len(values), -1)
@@ -137,8 +189,8 @@ def fit(texts: list[Counter], labels: np.ndarray, swap_cost: float = SWAP_COST)
 
     # a pair's row is what the swap adds and takes away
     pair_row, pair_column, pair_sign = [], [], []
-    for k, (i, s) in enumerate(pairs):
-        old, new = rows[i], numbers(s)
+    for k, (old, s) in enumerate(pairs):
+        new = numbers(s)
         for sign, some in ((1.0, np.setdiff1d(new, old)), (-1.0, np.setdiff1d(old, new))):
             at = np.searchsorted(values, some)
             at = at[(at < len(values)) & (values[np.minimum(at, len(values) - 1)] == some)]
@@ -146,19 +198,15 @@ def fit(texts: list[Counter], labels: np.ndarray, swap_cost: float = SWAP_COST)
             pair_row += [k] * len(at)
             pair_column += at.tolist()
             pair_sign += [sign] * len(at)
-    pair_row, pair_column, pair_sign = np.array(pair_row, int), np.array(pair_column, int), np.array(pair_sign)
+    problem = Problem(y, row, column, np.array(pair_row, int), np.array(pair_column, int), np.array(pair_sign, float), len(pairs) if swap_cost else 0, swap_cost)
+    if not swap_cost:
+        problem = problem._replace(pair_row=np.zeros(0, int), pair_column=np.zeros(0, int), pair_sign=np.zeros(0))
 
     m = len(chosen)
     w, bias = np.zeros(m), math.log((positive + 0.5) / (n - positive + 0.5))
     first, second = np.zeros(m + 1), np.zeros(m + 1)
     for t in range(1, ROUNDS + 1):
-        z = bias + np.bincount(row, weights=w[column], minlength=n)
-        off = (_sigmoid(z) - y) / n
-        slope = np.bincount(column, weights=off[row], minlength=m) + RIDGE * w
-        if pairs:
-            change = np.bincount(pair_row, weights=w[pair_column] * pair_sign, minlength=len(pairs))
-            slope += 2 * swap_cost / len(pairs) * np.bincount(pair_column, weights=pair_sign * change[pair_row], minlength=m)
-        g = np.append(slope, off.sum())
+        g = slope(problem, w, bias)
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         step = 0.1 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-9)
         w, bias = w - step[:-1], bias - step[-1]
@@ -170,14 +218,14 @@ def fit(texts: list[Counter], labels: np.ndarray, swap_cost: float = SWAP_COST)
             for mark, x in (("", number), ("!", number | 1)):
                 if x in weight_of:
                     out[mark + part] = weight_of[x]
-    return out, float(bias)
+    return out, float(bias), len(pairs)
 
 
 class Scorer:
     """Scores of texts from the weights."""
 
-    def __init__(self, weights: dict[str, float], bias: float):
-        self.weights, self.bias = weights, bias
+    def __init__(self, weights: dict[str, float], bias: float, pairs: int = 0):
+        self.weights, self.bias, self.pairs = weights, bias, pairs
         self.parts = {f.removeprefix("!") for f in weights}
         self.known: dict[str, tuple[str, ...]] = {}
 
@@ -210,8 +258,10 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     usable = written(usable.select(F.col(key).alias("id"), F.col("label").cast("int").alias("label")), "toxic-labels")
     share = min(1.0, rows / max(1, usable.count()))
     # the rows with the least hashes: a bounded share, the same in every run
-    chosen = usable.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
-    sample = documents.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id").select("id", "label", "text")
+    chosen = usable.where(F.pmod(F.xxhash64("id"), F.lit(10**12)) < F.lit(int(share * 10**12)))
+    met = documents.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
+    # one text of an id, taken in part before the shuffle
+    sample = met.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def run(batches):
         learned: list[tuple[int, int, Counter]] = []
@@ -222,14 +272,14 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
         y = np.array([r[1] for r in learned])
         if len(set(y.tolist())) < 2:
             return
-        weights, bias = fit([r[2] for r in learned], y)
-        yield pa.RecordBatch.from_arrays([pa.array([*weights, None], pa.string()), pa.array([*weights.values(), bias], pa.float64())], ["feature", "weight"])
+        weights, bias, pairs = fit([r[2] for r in learned], y)
+        yield pa.RecordBatch.from_arrays([pa.array([*weights, "", None], pa.string()), pa.array([*weights.values(), pairs, bias], pa.float64())], ["feature", "weight"])
 
     fitted = {r["feature"]: r["weight"] for r in sample.repartition(1).mapInArrow(run, "feature string, weight double").collect()}
     if not fitted:
         return None
-    bias = fitted.pop(None)
-    return Scorer(fitted, bias)
+    bias, pairs = fitted.pop(None), int(fitted.pop(""))
+    return Scorer(fitted, bias, pairs)
 
 
 def score(df: DataFrame, scorer: Scorer | None, text: str = "text", name: str = "score") -> DataFrame:

@@ -132,6 +132,45 @@ def test_poor_texts_go_and_good_ones_stay(spark):
     assert judged[0, False] >= 0.8 * (judged[0, True] + judged[0, False])
 
 
+def test_gradient_equals_differences_of_the_loss():
+    """The slope of the regularised loss, mentions and swaps in it, against
+    central differences; and the pairs against a count by hand."""
+    rng = np.random.default_rng(1)
+    n, m, pairs = 12, 9, 7
+    row, column = np.repeat(np.arange(n), 3), rng.integers(0, m, 3 * n)
+    p = toxicity.Problem(rng.integers(0, 2, n).astype(float), row, column, np.repeat(np.arange(pairs), 2), rng.integers(0, m, 2 * pairs), rng.choice([-1.0, 1.0], 2 * pairs), pairs, 0.7)
+    w, bias = rng.standard_normal(m), 0.3
+    got = toxicity.slope(p, w, bias)
+    for k in range(m + 1):
+        e = np.eye(m + 1)[k] * 1e-6
+        apart = toxicity.loss(p, w + e[:m], bias + e[m]) - toxicity.loss(p, w - e[:m], bias - e[m])
+        assert abs(got[k] - apart / 2e-6) < 1e-6
+    texts = [Counter({"gay": 1, "x": 2}), Counter({"y": 1}), Counter({"z": 3})]
+    made = toxicity.mentioned(texts, np.array([1, 0, 1]))
+    assert len(made) == 3 and all(len(others) == len(toxicity.IDENTITY_TERMS[k]) - 1 for k, (_, others) in zip((0, 0, 1), made, strict=True))
+    assert toxicity.fit(texts * 4, np.array([1, 0, 1] * 4))[2] == sum(len(o) for _, o in toxicity.mentioned(texts * 4, np.array([1, 0, 1] * 4))) + 4 * 5
+
+
+def test_the_fit_on_documents_has_swapped_pairs(spark):
+    """No labelled text mentions a group, yet the method acts: terms of one
+    list are scored alike."""
+    sf = "/root/testdata/sf0.01"
+    scorer = toxicity.train(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    assert scorer.pairs > 200
+    for terms in toxicity.IDENTITY_TERMS:
+        scores = [scorer(f"the meeting of {t} was quiet") for t in terms]
+        assert max(scores) - min(scores) < 0.05 and max(scores) < toxicity.THRESHOLD
+
+
+def test_an_id_of_many_rows_gives_one_text(spark, monkeypatch):
+    rows = [(1, f"bad bad word{k}") for k in range(500)] + [(k, "fine words" if k % 2 else "bad bad") for k in range(2, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    marks = spark.createDataFrame([(k, 0, int(k % 2 == 0 or k == 1)) for k in range(1, 40)], "doc_id long, quality int, toxic int")
+    scorer = toxicity.train(df, marks)
+    assert scorer("bad bad") > scorer("fine words")
+    assert not {f for f in scorer.weights if f.startswith("word1")}
+
+
 # -- sharding ----------------------------------------------------------------------
 
 
