@@ -175,6 +175,12 @@ def literal_spans(text: str) -> list[tuple[int, int, float]]:
     return sorted(out)
 
 
+def assigned_score(text: str, start: int, value: int, end: int) -> float:
+    """Score of a fixed span of kind assign: its word's sensitivity times how
+    random its value looks."""
+    return sensitivity(IDENTIFIER.match(text, start)[0]) * randomness(text[value:end])
+
+
 def spans(text: str) -> list[tuple[int, int, int, int]]:
     """All spans: fixed ones and literals that none of them overlaps."""
     fixed = fixed_spans(text)
@@ -204,15 +210,22 @@ def _joined(found) -> str:
 
 def scan(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``key``, counts of the fixed kinds, ``base`` (fixed spans as
-    text) and ``spans`` (all spans)."""
-    schema = T.StructType([T.StructField(key, df.schema[key].dataType), *(T.StructField(f"n_{k}", T.LongType(), False) for k in KINDS[:3]), T.StructField("base", T.StringType(), False), T.StructField("spans", T.StringType(), False)])
+    text), ``spans`` (all spans) and ``score``: the highest one of an assigned
+    value, fixed or found by its target (0 without any)."""
+    schema = T.StructType([T.StructField(key, df.schema[key].dataType), *(T.StructField(f"n_{k}", T.LongType(), False) for k in KINDS[:3]), T.StructField("base", T.StringType(), False), T.StructField("spans", T.StringType(), False), T.StructField("score", T.DoubleType(), False)])
 
     def run(batches):
         for batch in batches:
-            found = [spans(x.as_py() or "") for x in batch.column(text)]
+            texts = [x.as_py() or "" for x in batch.column(text)]
+            found = [spans(t) for t in texts]
             counts = [pa.array([sum(s[1] == k for s in f) for f in found], pa.int64()) for k in range(3)]
             base = pa.array([_joined(s for s in f if s[1] < 3) for f in found], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(key), *counts, base, pa.array([_joined(f) for f in found], pa.string())], schema.fieldNames())
+            yield pa.RecordBatch.from_arrays([batch.column(key), *counts, base, pa.array([_joined(f) for f in found], pa.string()), pa.array(map(score, texts, found), pa.float64())], schema.fieldNames())
+
+    def score(t: str, of: list) -> float:
+        told = [assigned_score(t, a, value, b) for a, kind, b, value in of if KINDS[kind] == "assign"]
+        kept = {(a, b) for a, kind, b, _ in of if KINDS[kind] == "literal"}
+        return max([0.0, *told, *(s for a, b, s in literal_spans(t) if (a, b) in kept)]) if of else 0.0
 
     return df.select(key, text).mapInArrow(run, schema)
 
@@ -239,4 +252,4 @@ def redacted(df: DataFrame, text: str = "text", length: str | None = "n_chars")
 def op9_assignment_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
     found = scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "score")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import time
 
@@ -253,3 +254,44 @@ def test_terms_and_suffixes_of_one_run():
     assert sorted(pairs) == [("a", 5, 8), ("a", 12, 14), ("a", 17, 21), ("c", 19, 21), ("c", 24, 26), ("x", 7, 8)]
     for text, want in (("--password=Zk3ab9Xq11pLm2", 1), ("9password: Zk3ab9Xq11pLm2", 1), ('x"db.pwd" := `Zk3ab9Xq11pLm2`', 1), ('db_pwd" = "Zk3ab9Xq11pLm2"', 0), ("pwd == 'Zk3ab9Xq11pLm2'", 0)):
         assert len(literals(text)) == want, text
+
+
+# what assigns a value in source and configuration, by name and value
+SYNTAX = ['{n} = "{v}"', "const {n} = '{v}';", '"{n}": "{v}",', "{n}: {v}", "export {n}={v}", "{n} := `{v}`", "  {n} => '{v}',", "--{n}={v}", "a0 = '{v}'\n{n} = a0", "x1 = \"{v}\"; y2 = x1\n{n} = y2 + '-tail'"]
+SECRET_NAMES = ["db_password", "clientSecret", "AUTH_TOKEN", "api.key", "private_key", "aws_secret_access_key", "bearerToken", "signing_key", "passphrase", "DB_PWD", "session_token", "credential"]
+PLAIN_NAMES = ["colour", "file_name", "url", "build_id", "checksum", "version", "user", "title", "path", "commit", "digest", "sha"]
+
+
+def planted(rng, name, secret):
+    if secret:
+        value = "".join(rng.choice("abcdefghjkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(rng.randint(14, 40))) + "7aQ"
+    else:
+        value = rng.choice(["changeme12345", "<your-value-here>", "${SECRET_VALUE}", "xxxxxxxxxxxx", "example-value-1", "test_value_123"])
+    return rng.choice(SYNTAX).format(n=name, v=value), value
+
+
+def test_planted_secrets_are_found_and_others_left_alone():
+    """Recall and precision over values planted in source and configuration
+    syntax: under sensitive names, under plain ones, and placeholders."""
+    rng = random.Random(9)
+    hit = missed = false = by_method = 0
+    for _ in range(3000):
+        kind = rng.choice(["secret", "plain", "placeholder"])
+        line, value = planted(rng, rng.choice(PLAIN_NAMES if kind == "plain" else SECRET_NAMES), kind != "placeholder")
+        text = f"import os\n# the notes: all of this is prose\n{line}\nn = 5\n"
+        found = [(text[v:b], k) for a, k, b, v in secret_scan.spans(text)]
+        got = any(value in x or x in value for x, _ in found)
+        if kind == "secret":
+            hit, missed = hit + got, missed + (not got)
+            by_method += any(secret_scan.KINDS[k] == "literal" for _, k in found)
+        else:
+            # fixed spans take placeholders, too: the contract says so
+            false += any(secret_scan.KINDS[k] == "literal" for _, k in found)
+    assert hit >= 0.95 * (hit + missed) and by_method >= 0.95 * (by_method + false) and by_method >= 0.4 * hit, (hit, missed, false, by_method)
+
+
+def test_scores_of_base_assignments(spark):
+    texts = ["password = Zk3ab9Xq11pLm2", "password = aaaaaaaaaaaa", "no secret at all", None, 'db_pwd = "Zk3ab9Xq11pLm2"']
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id int, text string")
+    score = {r.doc_id: r.score for r in secret_scan.scan(df).collect()}
+    assert score[0] > 0.9 and score[1] == score[2] == score[3] == 0.0 and score[4] > secret_scan.THRESHOLD
