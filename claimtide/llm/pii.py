@@ -4,13 +4,16 @@ Candidate spans come from patterns (e-mail, IP address, card, phone, and
 further kinds: card-like account numbers, national ids, local phone numbers,
 IBANs, names).  Three labelers vote on each candidate, for (1), against (-1)
 or not at all (0): a pattern labeler looks at its form, a gazetteer labeler
-at lists (top-level domains, card issuers, dialling codes, given names,
-reserved networks), a context labeler at the words before it.  How reliable
+at lists (top-level domains, card issuers, dialling codes, account lengths of
+countries, given names, words that names don't have, reserved networks), a
+context labeler at the words before it.  Every kind has candidates that the
+labelers judge differently (an IBAN's form is its check number, a name's the
+place it stands at).  How reliable
 each labeler is, and how common true spans of each kind are, is estimated by
 expectation-maximisation over the counts of vote patterns of the whole table.
 The resulting probabilities train a logistic classifier of spans (kind, votes,
 form, neighbouring characters), which decides on the further kinds.  The four
-base kinds are always kept.
+base kinds are always kept; they have a probability as well.
 
 The table is read once; what is kept of it is one row per document with its
 candidates.  The driver sees the counts of feature patterns only, whose number
@@ -45,6 +48,16 @@ GIVEN_NAMES = (
     "James Mary John Patricia Robert Jennifer Michael Linda William Elizabeth David Barbara Richard Susan Joseph Jessica "
     "Thomas Sarah Hans Peter Anna Sophie Pierre Marie Jean Carmen José María Juan"
 ).split()
+# fixed values: length of an IBAN by its country
+IBAN_LENGTHS = {"AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "SE": 24}
+#: second words of capitalised pairs that aren't family names
+NO_NAMES = (
+    "January February March April May June July August September October November December Monday Tuesday Wednesday Thursday Friday "
+    "Saturday Sunday License Public University Street Road Avenue Company Corporation Limited Foundation Institute Project Version "
+    "North South East West States Kingdom Union Commons General Reserved Straße Platz Rue Calle"
+).split()
+#: numbers known as examples or used up by advertisements
+EXAMPLE_IDS = ["078-05-1120", "219-09-9999", "123-45-6789"]
 CUES = (
     "mail e-mail email contact call tel phone mobile fax card visa account iban ssn name mr mrs ms dr host address "
     "telefon karte konto herr frau téléphone carte compte teléfono tarjeta cuenta"
@@ -62,7 +75,7 @@ PATTERNS = {
     "national_id": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "local_phone": r"(?<![0-9A-Za-z+]|[0-9]\x20)\([0-9]{3}\)\x20?[0-9]{3}-[0-9]{4}(?![0-9])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![0-9A-Za-z])",
-    "name": r"(?<![\p{L}])(?=[A-Z])(?:" + "|".join(GIVEN_NAMES) + r")\x20[A-Z][a-z]++(?![\p{L}])",
+    "name": r"(?<![\p{L}])[A-Z][\p{Ll}]{2,11}+\x20[A-Z][\p{Ll}]{2,14}+(?![\p{L}])",
 }
 #: a cheap test that holds for every text with a match
 TRIGGERS = {
@@ -73,7 +86,7 @@ TRIGGERS = {
     "national_id": lambda t: t.rlike(r"[0-9]-[0-9]"),
     "local_phone": lambda t: t.contains(")"),
     "iban": lambda t: t.rlike(r"[A-Z][0-9]"),
-    "name": lambda t: F.lit(True),
+    "name": lambda t: t.rlike(r"\p{Ll}\x20[A-Z]\p{Ll}"),
 }
 CONTEXT = 32
 BLOCK = 64
@@ -132,6 +145,17 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add) % 10 == 0
 
 
+def _iban_remainder(word: Column) -> Column:
+    """The number of an IBAN modulo 97: 1 for a right one."""
+
+    def add(acc: Column, c: Column) -> Column:
+        digit = c.rlike("[0-9]")
+        return F.when(digit, (acc * 10 + F.ascii(c) - 48) % 97).otherwise((acc * 100 + F.ascii(c) - 55) % 97)
+
+    turned = F.concat(F.substr(word, F.lit(5)), F.left(word, F.lit(4)))
+    return F.aggregate(F.split(turned, ""), F.lit(0), add)
+
+
 _PART = r"0*(?:[0-9]|[1-9][0-9]|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
 
@@ -160,14 +184,22 @@ def _votes(s: Column) -> dict[str, Column]:
         .when(kind == k("account"), vote(F.lit(False), F.lit(True)))
         .when(kind == k("phone"), vote(F.length(digits).between(10, 13), repeated))
         .when(kind == k("national_id"), vote(~word.rlike("^(000|666|9)|-00-|-0000$"), word.rlike("^(000|666|9)|-00-|-0000$")))
-        .otherwise(1)
+        .when(kind == k("iban"), vote(_iban_remainder(word) == 1, F.lit(True)))
+        .when(kind == k("local_phone"), vote(word.rlike(r"^\([2-9][0-8][0-9]\)\x20?[2-9]") & ~word.contains("11)"), F.lit(True)))
+        # a sentence's first word is a capital anyway
+        .otherwise(vote(s["before"].rlike(r"[\p{Ll},:;(]\x20?$"), s["before"].rlike(r"[.!?]\s*$|\n$") | (F.length(s["before"]) == 0)))
     )
+    country = F.create_map(*(F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair))
+    account_length = F.try_element_at(country, F.left(word, F.lit(2)))
     listed = (
         F.when(kind == k("email"), vote(F.element_at(F.split(F.lower(word), r"\."), -1).isin(TOP_LEVEL_DOMAINS), F.lit(False)))
         .when(kind == k("ip"), vote(~word.rlike(r"^(0|127|255)\."), word.rlike(r"^(0|127|255)\.")))
         .when(kind.isin(k("card"), k("account")), vote(digits.rlike("^(4|5[1-5]|3[47]|6011)"), digits.startswith("0")))
         .when(kind == k("phone"), vote(digits.rlike("^(1|3[0-9]|4[0-9]|5[1-8]|6[0-6]|7|8[1246]|9[0-58])"), digits.startswith("0")))
-        .when(kind == k("name"), F.lit(1))
+        .when(kind == k("name"), vote(F.element_at(F.split(word, " "), 1).isin(GIVEN_NAMES), F.element_at(F.split(word, " "), -1).isin(NO_NAMES)))
+        .when(kind == k("iban"), vote(account_length == F.length(word), account_length.isNotNull()))
+        .when(kind == k("national_id"), vote(F.lit(False), word.isin(EXAMPLE_IDS)))
+        .when(kind == k("local_phone"), vote(word.rlike(r"^\((800|833|844|855|866|877|888)\)"), word.rlike(r"555-01[0-9]{2}$")))
         .otherwise(0)
     )
     before = F.lower(s["before"])
@@ -246,8 +278,8 @@ def fit(patterns: list[tuple[tuple[int, ...], int]]) -> dict[tuple[str, int], fl
 
 
 def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``key`` and ``found``: base spans and those added (kind number,
-    start, end, whether base), by start and kind."""
+    """Per row: ``key``, ``base`` and ``found``: base spans, and those added as
+    well (start, kind number, end, probability), by start and kind."""
     kept = written(candidates(df, key, text), "pii-candidates")
     each = kept.select(F.explode("spans").alias("s")).select("s.*")
     # bounded: kinds times the values of the features
@@ -267,7 +299,7 @@ def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"] < len(BASE_KINDS))
     chosen = F.filter("spans", lambda s: (s["kind"] >= len(BASE_KINDS)) & (score(s) >= THRESHOLD))
     free = F.filter(chosen, lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    row = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
+    row = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), score(s).alias("probability"))
     return kept.withColumn("base", base).select(
         F.col("id").alias(key),
         F.array_sort(F.transform("base", row)).alias("base"),
@@ -288,4 +320,5 @@ def op7_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(kind))).cast("long").alias(f"n_{kind}")
 
     n = [count(kind) for kind in BASE_KINDS]
-    return found.select("doc_id", *n, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("found").alias("spans"))
+    least = F.array_min(F.transform("base", lambda s: s["probability"])).alias("least_probability")
+    return found.select("doc_id", *n, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("found").alias("spans"), least)

@@ -6,10 +6,12 @@ import hashlib
 import random
 import re
 import time
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from claimtide.llm import license_scan, pii, secret_scan
 
@@ -295,3 +297,60 @@ def test_scores_of_base_assignments(spark):
     df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id int, text string")
     score = {r.doc_id: r.score for r in secret_scan.scan(df).collect()}
     assert score[0] > 0.9 and score[1] == score[2] == score[3] == 0.0 and score[4] > secret_scan.THRESHOLD
+
+
+def an_iban(rng, right):
+    country = rng.choice(sorted(pii.IBAN_LENGTHS))
+    body = "".join(rng.choice("0123456789") for _ in range(pii.IBAN_LENGTHS[country] - 4))
+    check = 98 - int("".join(str(int(x, 36)) for x in body + country + "00")) % 97
+    return f"{country}{check if right else (check + rng.randrange(1, 90)) % 97:02d}{body}"
+
+
+#: (words before, the span) of true ones and of others that look like them
+TRUE = {
+    "iban": lambda rng: (rng.choice(["IBAN ", "account ", "pay to ", "konto: "]), an_iban(rng, True)),
+    "name": lambda rng: (rng.choice(["by ", "Mr. ", "contact ", "from ", "name: "]), f"{rng.choice(pii.GIVEN_NAMES)} {rng.choice(['Miller', 'Schmidt', 'Dupont', 'Lopez', 'Novak'])}"),
+    "local_phone": lambda rng: (rng.choice(["tel ", "call ", "phone: ", "at "]), f"({rng.choice('23456789')}{rng.choice('02345678')}{rng.choice('02345678')}) {rng.choice('23456789')}{rng.randrange(10, 100)}-{rng.randrange(1000, 9999)}"),
+    "national_id": lambda rng: (rng.choice(["ssn ", "SSN: ", "number "]), f"{rng.randrange(100, 600)}-{rng.randrange(10, 99)}-{rng.randrange(1000, 9999)}"),
+}
+FALSE = {
+    "iban": lambda rng: (rng.choice(["order ", "version ", "build ", "of "]), an_iban(rng, False)),
+    "name": lambda rng: (rng.choice([". ", "! ", "the ", "figure "]), f"{rng.choice(['Green', 'Winter', 'Silent', 'Paper', 'Open'])} {rng.choice(pii.NO_NAMES[:30])}"),
+    "local_phone": lambda rng: (rng.choice(["table ", "order ", "of "]), f"({rng.choice('01')}{rng.randrange(10, 99)}) 0{rng.randrange(10, 99)}-{rng.randrange(1000, 9999)}"),
+    "national_id": lambda rng: (rng.choice(["order ", "isbn ", "part "]), f"{rng.choice(['000', '666', '912'])}-{rng.randrange(10, 99)}-{rng.randrange(1000, 9999)}"),
+}
+
+
+def test_planted_personal_data_is_found(spark):
+    """Recall and precision of the further kinds; nothing is labelled."""
+    rng = random.Random(4)
+    words = "the of river stone house walks green paper silent winter market table garden seven open".split()
+    prose = lambda a, b: " ".join(rng.choice(words) for _ in range(rng.randint(a, b)))
+    documents, truth = [], {}
+    for i in range(1500):
+        text, truth[i] = prose(5, 40), set()
+        for _ in range(rng.randint(0, 3)):
+            kind, true = rng.choice(sorted(TRUE)), rng.random() < 0.6
+            cue, span = (TRUE if true else FALSE)[kind](rng)
+            text += f" {cue}"
+            if true:
+                truth[i].add((kind, len(text), len(text) + len(span)))
+            text += f"{span} {prose(2, 8)}"
+        documents.append((i, text))
+    hit, missed, false = Counter(), Counter(), Counter()
+    for r in pii.find(spark.createDataFrame(documents, "doc_id long, text string").repartition(8)).collect():
+        # a card number inside an IBAN is a base span, which stays
+        got = {(pii.KINDS[s.kind], s.start, s.end) for s in r.found if s.kind >= len(pii.BASE_KINDS)}
+        assert all(0 <= s.probability <= 1 for s in r.found)
+        for span in truth[r.doc_id]:
+            (hit if span in got else missed)[span[0]] += 1
+        false.update(span[0] for span in got - truth[r.doc_id])
+    for kind in TRUE:
+        assert hit[kind] >= 0.9 * (hit[kind] + missed[kind]) and hit[kind] >= 0.8 * (hit[kind] + false[kind]), (kind, hit, missed, false)
+
+
+def test_iban_check_numbers(spark):
+    rng = random.Random(1)
+    words = [(an_iban(rng, k % 2 == 0), k % 2 == 0) for k in range(60)] + [("GB82WEST12345698765432", True), ("DE89370400440532013000", True), ("GB82WEST12345698765433", False)]
+    got = spark.createDataFrame(words, "word string, right boolean").select((pii._iban_remainder(F.col("word")) == 1).alias("found"), "right").collect()
+    assert all(r["found"] == r["right"] for r in got)
