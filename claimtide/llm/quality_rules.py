@@ -10,7 +10,11 @@ split evenly over all tested sequences (rules times strata).  So, with
 confidence ``1 - DELTA``, no rule rejects more than ``RULE_RISK`` of the good
 texts of any stratum, and all rules together no more than ``len(RULES)``
 times that.  Of the cutoffs that pass, the strictest one is taken beyond which
-most labelled texts are poor; a stratum with too few labels rejects nothing.
+most labelled texts are poor.  A stratum with fewer good labels than any cutoff
+needs (``least_labels``) is pooled with the other ones of its kind, and the pool
+is certified as a stratum of its own; if that has too few as well, it rejects
+nothing (a stratum of the pool's name, ``POOL``, belongs to it).  Copies are no
+draws of their own: a labelled text counts once.
 
 Texts are measured once, where they lie; only the measures are joined with
 the labels, and only their counts per stratum, rule and grid step are
@@ -42,7 +46,7 @@ LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
 RULES = ["symbols", "repeated_lines", "repeated_words", "capitals", "exclamations", "word_length"]
-RULE_RISK = 0.004
+RULE_RISK = 0.005
 DELTA = 0.05
 #: steps of the grid of cutoffs.
 STEPS = 64
@@ -51,6 +55,8 @@ PURITY = 0.7
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _BLANK = " \t\x0b\x0c\r"
+#: the name of the pooled strata.
+POOL = "*"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -93,11 +99,13 @@ def measure(text: str) -> tuple[list[int], list[float]]:
 
 
 def measured(df: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:
-    """Per row: ``id``, ``stratum``, the counts and ``value_<rule>``."""
+    """Per row: ``id``, ``stratum``, ``digest`` of the text, the counts and
+    ``value_<rule>``."""
     schema = T.StructType(
         [
             T.StructField("id", df.schema[key].dataType),
             T.StructField("stratum", T.StringType()),
+            T.StructField("digest", T.LongType()),
             *(T.StructField(c, T.LongType(), False) for c in COUNTS),
             *(T.StructField(f"value_{r}", T.DoubleType(), False) for r in RULES),
         ]
@@ -110,9 +118,9 @@ def measured(df: DataFrame, key: str = "doc_id", text: str = "text", stratum: st
             made = [measure(t.as_py() or "") for t in batch.column("text")]
             counts, values = zip(*made, strict=True)
             columns = [*(pa.array(c, pa.int64()) for c in zip(*counts, strict=True)), *(pa.array(v, pa.float64()) for v in zip(*values, strict=True))]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("stratum"), *columns], schema.fieldNames())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("stratum"), batch.column("digest"), *columns], schema.fieldNames())
 
-    return df.select(F.col(key).alias("id"), F.col(stratum).cast("string").alias("stratum"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return df.select(F.col(key).alias("id"), F.col(stratum).cast("string").alias("stratum"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("digest"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
 def _tail(k: int, n: int, p: float) -> float:
@@ -160,11 +168,28 @@ def cutoff(good: np.ndarray, poor: np.ndarray, delta: float, risk: float = RULE_
     return chosen
 
 
-def cutoffs(values: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", risk: float = RULE_RISK, delta: float = DELTA) -> DataFrame:
-    """(stratum, rule, step): a rule rejects a text whose step is higher.
-    ``label``: 1 for good texts, 0 for poor ones."""
+def least_labels(sequences: int, risk: float = RULE_RISK, delta: float = DELTA) -> int:
+    """Good labels without which not even a cutoff that rejects none of them
+    passes, if the confidence is split over so many sequences."""
+    return math.ceil(math.log(delta / sequences) / math.log1p(-risk))
+
+
+def cutoffs(values: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", risk: float = RULE_RISK, delta: float = DELTA) -> tuple[DataFrame, DataFrame]:
+    """(stratum, rule, step): a rule rejects a text whose step is higher; and
+    (of, stratum): the stratum, or the pool, by which each labelled one is
+    judged.  ``label``: 1 for good texts, 0 for poor ones."""
     marked = labels.groupBy(F.col(key).alias("label_id")).agg(F.min(label).alias("label"), F.max(label).alias("most")).where("label = most and label in (0, 1)")
-    each = values.join(marked, values["id"] == marked["label_id"]).select("stratum", "label", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), _step(r).alias("step")) for r in RULES))).alias("v"))
+    met = values.join(marked, values["id"] == marked["label_id"])
+    steps = [_step(r).alias(r) for r in RULES]
+    # a text once, whatever its copies; copies marked differently count for nothing
+    texts = met.groupBy("stratum", "digest", *steps).agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most")
+    texts = written(texts.drop("most"), "quality-texts")
+    sizes = texts.groupBy(F.col("stratum").alias("of")).agg(F.count_if(F.col("label") == 1).alias("good"))
+    # of the strata before pooling: no less than what they need after it
+    needed = least_labels(max(1, sizes.count()) * len(RULES), risk, delta)
+    strata = written(sizes.select("of", F.when(F.col("good") < needed, F.lit(POOL)).otherwise(F.col("of")).alias("stratum")), "quality-strata")
+    judged = texts.withColumnRenamed("stratum", "own").join(broadcast_if_small(strata), F.col("own").eqNullSafe(F.col("of")))
+    each = judged.select("stratum", "label", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).alias("step")) for r in RULES))).alias("v"))
     counts = written(each.groupBy("stratum", "v.rule", "v.step").agg(F.count_if(F.col("label") == 1).alias("good"), F.count_if(F.col("label") == 0).alias("poor")), "quality-counts")
     sequences = counts.select("stratum", "rule").distinct().count()
 
@@ -174,7 +199,7 @@ def cutoffs(values: DataFrame, labels: DataFrame, key: str = "doc_id", label: st
         step = cutoff(good, poor, delta / max(1, sequences), risk)
         return group.iloc[: 0 if step is None else 1][["stratum", "rule"]].assign(step=step if step is not None else 0)
 
-    return written(counts.groupBy("stratum", "rule").applyInPandas(certify, "stratum string, rule string, step int"), "quality-cutoffs")
+    return written(counts.groupBy("stratum", "rule").applyInPandas(certify, "stratum string, rule string, step int"), "quality-cutoffs"), strata
 
 
 def _step(rule: str):
@@ -185,8 +210,9 @@ def judge(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """Per row: ``key``, the counts, ``base_failed``, ``kept`` and
     ``failed_rules``."""
     values = written(measured(df, key, text, stratum), "quality-values")
-    steps = cutoffs(values, labels, key, label)
-    by_stratum = steps.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "step"))).alias("steps")).withColumnRenamed("stratum", "of")
+    steps, strata = cutoffs(values, labels, key, label)
+    of_stratum = steps.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "step"))).alias("steps")).withColumnRenamed("stratum", "by")
+    by_stratum = strata.join(of_stratum, F.col("stratum").eqNullSafe(F.col("by"))).select("of", "steps")
     met = values.join(broadcast_if_small(by_stratum), values["stratum"].eqNullSafe(F.col("of")), "left")
     failed = F.filter(F.array(*(F.when(_step(r) > F.try_element_at("steps", F.lit(r)), F.lit(r)) for r in RULES)), lambda r: r.isNotNull())
     base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
@@ -229,8 +255,15 @@ stepped AS (
     CAST(ceil(least(1.0, unnest(v)) * {STEPS}) AS INTEGER) AS step
   FROM measured),
 marked AS (SELECT doc_id, min(quality) AS good FROM labels GROUP BY doc_id HAVING min(quality) = max(quality) AND min(quality) IN (0, 1)),
+texts AS MATERIALIZED (
+  SELECT lang AS own, text, any_value(doc_id) AS doc_id, min(good) AS good FROM documents JOIN marked USING (doc_id)
+  GROUP BY lang, text HAVING min(good) = max(good)),
+sizes AS (SELECT own, count_if(good = 1) AS good, count(*) OVER () AS strata FROM texts GROUP BY own),
+pooled AS MATERIALIZED (
+  SELECT own, CASE WHEN good < ceil(ln({DELTA} / (strata * {len(RULES)})) / ln(1 - {RULE_RISK})) THEN '{POOL}' ELSE own END AS lang FROM sizes),
 tallied AS (
-  SELECT lang, rule, step, count_if(good = 1) AS good, count_if(good = 0) AS poor FROM stepped JOIN marked USING (doc_id) GROUP BY ALL),
+  SELECT p.lang, rule, step, count_if(t.good = 1) AS good, count_if(t.good = 0) AS poor
+  FROM texts t JOIN pooled p ON p.own IS NOT DISTINCT FROM t.own JOIN stepped s ON s.doc_id = t.doc_id GROUP BY ALL),
 beyond AS (
   SELECT lang, rule, c.step, coalesce(sum(good) FILTER (t.step > c.step), 0) AS good, coalesce(sum(poor) FILTER (t.step > c.step), 0) AS poor,
     sum(good) AS n
@@ -248,6 +281,7 @@ SELECT s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED_PERCENT} * n_words AS base_failed,
   NOT (n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED_PERCENT} * n_words) AND count(cutoff) FILTER (s.step > cutoff) = 0 AS kept,
   coalesce(string_agg(s.rule, ',' ORDER BY place) FILTER (s.step > cutoff), '') AS failed_rules
-FROM stepped s LEFT JOIN chosen c ON c.rule = s.rule AND c.lang IS NOT DISTINCT FROM s.lang
+FROM stepped s LEFT JOIN (SELECT own, rule, cutoff FROM chosen JOIN pooled p ON p.lang IS NOT DISTINCT FROM chosen.lang) c
+  ON c.rule = s.rule AND c.own IS NOT DISTINCT FROM s.lang
 GROUP BY s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words
 """
