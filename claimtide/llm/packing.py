@@ -28,8 +28,8 @@ the two named columns are read, other columns don't matter.
 from __future__ import annotations
 
 import zlib
-from collections import deque
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,19 +55,20 @@ BLOCK_WINDOWS = 64
 def best_cuts(places: np.ndarray, costs: np.ndarray, size: int) -> list[int]:
     """Indexes of the cheapest cuts; ``places`` ascend from 0 with steps of at
     most ``size``, the last one is always cut."""
-    at, cost = places.tolist(), costs.tolist()
-    best, came = [0] * len(at), [0] * len(at)
-    queue = deque([(0, 0, 0)])  # (best + at, at, index), values ascend
+    at, added = places.tolist(), (costs + size).tolist()
+    came = [0] * len(at)
+    values, index, head = [0], [0], 0  # the queue: best + at, which ascend, and their places
     for j in range(1, len(at)):
-        here = at[j]
-        while here - queue[0][1] > size:
-            queue.popleft()
-        value, _, i = queue[0]
-        best[j], came[j] = size - here + cost[j] + value, i
-        value = best[j] + here
-        while queue and queue[-1][0] >= value:
-            queue.pop()
-        queue.append((value, here, j))
+        out = at[j] - size
+        while at[index[head]] < out:
+            head += 1
+        came[j] = index[head]
+        value = values[head] + added[j]  # more than the head's, which so stays
+        while values[-1] >= value:
+            values.pop()
+            index.pop()
+        values.append(value)
+        index.append(j)
     cuts, j = [], len(at) - 1
     while j:
         cuts.append(j)
@@ -92,6 +93,12 @@ def cut_places(ids: np.ndarray, ends: np.ndarray, sentence_end: np.ndarray, size
     return places, cost[places]
 
 
+@cache
+def _sentence_ends(ranks: str) -> np.ndarray:
+    """Of a vocabulary, for all tasks of a worker."""
+    return sentence_ends(bpe.load(ranks).words)
+
+
 def sentence_ends(words: list[bytes]) -> np.ndarray:
     """Per id: whether a sentence or line may end with it."""
     return np.array([w.rstrip(b" \"')").endswith((b".", b"!", b"?")) or b"\n" in w for w in words])
@@ -151,7 +158,7 @@ def pack(df: DataFrame, ranks: str, key: str = "doc_id", text: str = "text", siz
 
     def rows(batches, key_type):
         encoder = bpe.load(ranks)
-        sentence_end = np.append(sentence_ends(encoder.words), True)
+        sentence_end = np.append(_sentence_ends(ranks), True)
         sentence_end[list(encoder.added.values())] = True
         stream = _Stream(sentence_end, size)
         top = len(encoder.words)
