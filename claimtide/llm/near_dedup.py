@@ -13,12 +13,15 @@ form one class first.  Then every member of a bucket is compared with one of
 them, the bucket's pivot, and links are merged into components.  Only buckets
 of three and more that still hold several components go on: the members
 outside their bucket's largest component are compared with all of another
-component, on the full sets.  Such a bucket is cut into tiles of at most
-``TILE`` by ``TILE`` members, so a large one is many tasks; a tile counts the
-common shingles of all its pairs by one matrix product and returns no more
-links than it has members (those that join components).  Each member's set goes
-to all tiles of its row or column, so the shuffle of a bucket that mostly isn't
-linked grows with the square of its members over ``TILE``.  Components come from
+component, on the full sets, in one tile: it counts the common shingles of all
+its pairs by one matrix product and returns no more links than it has members
+(those that join components).  A bucket of more than ``TILE`` members is crowded:
+many documents of one template, say, that mostly aren't linked.  Its members
+meet by their rarest shingles instead (a prefix filter: of n shingles so many
+that every linked set has one of them among its own), which members without a
+link hardly share, so the work grows with the members, not with their pairs.
+Where even a rare shingle has more than ``TILE`` members, they are cut into tiles
+of ``TILE`` by ``TILE``, many tasks.  Components come from
 repeated minima over written tables; nothing but counts reaches the driver.
 
 Cases: null, empty and wordless texts have an empty set, are linked with
@@ -62,6 +65,8 @@ ERRORS = 9
 CHUNK_BYTES = 3_000_000
 #: members on either side of a tile, and columns multiplied at once.
 TILE, COLUMNS = 512, 16_384
+#: counters of shingles' rarity in crowded buckets.
+RARITIES = 1 << 20
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -329,15 +334,70 @@ def joining_links(some, others, percent: int) -> list[tuple[int, int]]:
     return out
 
 
+def _rarities(sets: DataFrame) -> np.ndarray:
+    """How many sets have a shingle, by its low bits: bounded in size, never too
+    low."""
+
+    def run(batches):
+        total = np.zeros(RARITIES, np.int64)
+        for batch in batches:
+            for held in batch.column("shingles"):
+                np.add.at(total, (np.frombuffer(held.as_buffer(), np.uint64) & np.uint64(RARITIES - 1)).astype(np.int64), 1)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], ["at", "n"])
+
+    out = np.zeros(RARITIES, np.int64)
+    found = sets.mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out[found["at"].to_numpy()] = found["n"].to_numpy()
+    return out
+
+
+def rarest(shingles: np.ndarray, rarity: np.ndarray, percent: int) -> np.ndarray:
+    """The prefix filter: so many of a set's shingles, by rarity, that any set
+    linked with it has one of them among its own."""
+    n = len(shingles)
+    order = np.lexsort((shingles, rarity[(shingles & np.uint64(RARITIES - 1)).astype(np.int64)]))
+    return shingles[order[: n + (-percent * n // 100) + 1]]
+
+
+def _by_rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node): nodes by each of their rarest shingles."""
+    rarity = _rarities(sets)
+
+    def run(batches):
+        for batch in batches:
+            for node, held in zip(batch.column("node").to_pylist(), batch.column("shingles"), strict=True):
+                rare = rarest(np.frombuffer(held.as_buffer(), np.uint64), rarity, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(rare.view(np.int64)), pa.array(np.full(len(rare), node, np.int64))], ["bucket", "node"])
+
+    return sets.select("node", "shingles").mapInArrow(run, "bucket long, node long")
+
+
+def _open(placed: DataFrame, least: int) -> DataFrame:
+    """Buckets of ``least`` and more members in several components: ``bucket``,
+    ``main`` (the largest component), ``part`` and ``size`` (its members, all)."""
+    parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("part"))
+    split = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("part").alias("size"), F.max(F.struct("part", "root")).alias("main"))
+    return written(split.where((F.col("parts") > 1) & (F.col("size") >= least)).select("bucket", F.col("main.root").alias("main"), F.col("main.part").alias("part"), "size"), "near-open")
+
+
 def _across(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between components that share a bucket."""
     placed = members.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("part"))
-    split = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("part").alias("size"), F.max(F.struct("part", "root")).alias("main"))
-    tiles = lambda n: F.ceil(n / TILE).cast("int")
-    split = written(
-        split.where("parts > 1 and size > 2").select("bucket", F.col("main.root").alias("main"), tiles(F.col("size") - F.col("main.part")).alias("down"), tiles(F.col("size")).alias("over")), "near-open"
-    )
+    split = _open(placed, 3)  # a pair alone has been compared
+    large = split.where(F.col("size") > TILE)
+    if large.isEmpty():
+        return _tiled(placed, split, sets, percent)
+    nodes = written(placed.join(large.select("bucket"), "bucket").select("node", "root").distinct(), "near-crowded")
+    rare = written(_by_rare_shingles(sets.join(nodes.select("node"), "node"), percent).join(nodes, "node"), "near-rare")
+    small = split.where(F.col("size") <= TILE)
+    return _tiled(placed, small, sets, percent).unionByName(_tiled(rare, _open(rare, 2), sets, percent))
+
+
+def _tiled(placed: DataFrame, split: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the components of the buckets of ``split``."""
+    tiles = lambda n: F.ceil((F.col(n) if isinstance(n, str) else n) / TILE).cast("int")
+    split = split.select("bucket", "main", tiles(F.col("size") - F.col("part")).alias("down"), tiles("size").alias("over"))
     rows = placed.join(split, "bucket")
     outside = F.col("root") != F.col("main")
     single = (F.col("down") == 1) & (F.col("over") == 1)

@@ -238,6 +238,60 @@ def test_rows_without_words_stay_and_meet_in_no_task(spark):
     assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
 
 
+def template_copies(seed, n, words, share):
+    """Documents that share the first words and have the others for themselves:
+    mostly too far apart for a link."""
+    rng = random.Random(seed)
+    common = [f"t{k}" for k in range(words)]
+    out = []
+    for k in range(n):
+        own = [f"d{k}w{i}" for i in range(int(words * share * rng.uniform(0.8, 1.2)))]
+        out.append(" ".join(common[: words - len(own)] + own))
+    return out
+
+
+@pytest.mark.parametrize("tile", [16, 64])
+def test_a_crowded_bucket_is_searched_by_rare_shingles(spark, monkeypatch, tile):
+    """Three hundred documents of one template at similarities of 0.6 to 0.8,
+    some with near copies: all links, few sets in tiles."""
+    monkeypatch.setattr(near_dedup, "TILE", tile)
+    texts = template_copies(1, 300, 200, 0.12)
+    texts += [f"{t} z{k}" for k, t in enumerate(texts[:40])] + [f"{t} y{k} y y y y" for k, t in enumerate(texts[20:60])]
+    rows = list(enumerate(texts))
+    random.Random(2).shuffle(rows)
+    seen = {}
+    kept = near_dedup.written
+
+    def watched(df, name):
+        out = kept(df, name)
+        if name in ("near-rare", "near-crowded", "near-open"):
+            seen.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "written", watched)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert found(df) == brute_components(rows)
+    assert seen["near-crowded"][0] > 200  # most rows are in a crowded bucket
+    assert seen["near-rare"][0] < seen["near-crowded"][0] * 60  # 15 % of the shingles and one
+
+
+def test_rarest_shingles_meet_in_every_link():
+    """Any two linked sets have a shingle in common among their rarest."""
+    rng = np.random.default_rng(5)
+    rarity = rng.integers(0, 5, near_dedup.RARITIES)
+    for percent in (80, 85, 100):
+        linked = 0
+        for _ in range(300):
+            pool = rng.integers(0, 1 << 63, 60).astype(np.uint64)
+            n = int(rng.integers(1, 50))
+            a, b = np.unique(pool[:n]), np.unique(np.concatenate([pool[: n - rng.integers(0, max(1, n // 6))], pool[50 : 50 + rng.integers(0, 4)]]))
+            common = len(np.intersect1d(a, b))
+            if 100 * common >= percent * (len(a) + len(b) - common):
+                linked += 1
+                assert len(np.intersect1d(near_dedup.rarest(a, rarity, percent), near_dedup.rarest(b, rarity, percent)))
+        assert linked > 10
+
+
 def pairs_around(percent, n):
     """Pairs of their own words, every second one a link by the least margin."""
     rows = []
