@@ -8,7 +8,9 @@ returned as DOUBLE, like the oracle does.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,12 +26,12 @@ from claimtide.operators import review as R
 from claimtide.operators.classify import classify, convert_currency, detect_reopened
 from claimtide.operators.periods import MONTHLY, WEEKLY, latest_per_segment, period_state
 from claimtide.operators.staging import stage_claims
-from claimtide.plans.build import SEGMENT_ORDER, ModelGraph, build, materialize, measured_checks
+from claimtide.plans.build import SEGMENT_ORDER, ModelGraph, build, materialize, measured_checks, refresh, register_views
 from claimtide.schemas import STAGED_DATES
-from claimtide.session import scratch_path
-from claimtide.sources import search, tables
+from claimtide.session import broadcast_if_small, scratch_path
+from claimtide.sources import search, tables, versions
 from claimtide.sources.history import read_history
-from claimtide.sources.seeds import currency_rates
+from claimtide.sources.seeds import category_hierarchy, currency_rates
 from claimtide.sources.testdata import testdata_history
 
 
@@ -477,6 +479,64 @@ def q_ordered_export(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
+def q_category_counts(spark, sf_dir):
+    """Claims of each line of the category seed, read from its CSV form."""
+    path = scratch_path(spark, "category_seed_csv")
+    tables.write_csv(category_hierarchy(spark), path)
+    seed = category_hierarchy(spark, path)
+    current = _current(spark, sf_dir).select("wbr_tier1", "wbr_tier2", "wbr_tier3")
+    of_line = (F.col("tier1_filter") == F.col("wbr_tier1")) & (
+        F.col("tier_match_value").isNull()
+        | F.when(F.col("indent_level") == 1, F.col("tier_match_value") == F.col("wbr_tier2")).otherwise(F.col("tier_match_value") == F.col("wbr_tier3"))
+    )
+    counted = current.groupBy("wbr_tier1", "wbr_tier2", "wbr_tier3").agg(F.count(F.lit(1)).alias("claims"))
+    lines = broadcast_if_small(seed).join(counted, of_line, "left")
+    return lines.groupBy("sort_order", "display_label", "indent_level").agg(F.coalesce(F.sum("claims"), F.lit(0)).cast("long").alias("claims"))
+
+
+def q_views_by_sql(spark, sf_dir):
+    """Two marts through their registered views, in SQL."""
+    names = register_views(spark, models(spark, sf_dir))
+    return spark.sql(
+        f"SELECT m.report_year, m.report_week, m.claims, s.rows FROM (SELECT report_year, report_week, sum(claim_count) AS claims "
+        f"FROM {names['weekly_metrics']} GROUP BY report_year, report_week) m JOIN (SELECT report_year, report_week, count(*) AS rows "
+        f"FROM {names['weekly']} GROUP BY report_year, report_week) s USING (report_year, report_week)"
+    )
+
+
+def q_refreshed_names(spark, sf_dir):
+    """Rows of every name in the catalog after two refreshes of one base (some
+    claims, then all): of the second, and of the manifest's first version."""
+    raw, rates, base = testdata_history(spark, sf_dir), currency_rates(spark), scratch_path(spark, "refreshed")
+    prefix = f"c{uuid.uuid4().hex}_"
+    refresh(spark, raw.where(F.col("claim_number").like("%1 ")), rates, category_hierarchy(spark), base, prefix)
+    refresh(spark, raw, rates, category_hierarchy(spark), base, prefix)
+    first, layers = versions.open_version(spark, base, 1), versions.open_version(spark, base).layers
+    counts = [
+        spark.table(f"`{prefix}{layer}`.`{name}`")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(layer).alias("layer"), F.lit(name).alias("name"), "rows", F.lit(first[name].count()).cast("long").alias("rows_before"))
+        for name, layer in sorted(layers.items())
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def q_periods_in_order(spark, sf_dir):
+    """Weekly periods by their place in the sorted period list."""
+    found = R.collect_periods(_weekly_metrics(spark, sf_dir), WEEKLY)
+    return spark.createDataFrame([(k, p.start, p.label) for k, p in enumerate(found)], "place long, week_start_date date, period_label string")
+
+
+def q_text_sums(spark, sf_dir):
+    """Numbers held as text, some of them none, added up by status and tier."""
+    weekly = _weekly_metrics(spark, sf_dir)
+    text = F.when(F.col("claim_count") % 3 == 0, F.concat(F.lit("n/a "), F.col("claim_count").cast("string"))).otherwise(F.col("claim_count").cast("string"))
+    frame = weekly.withColumn("claim_count", text)
+    sums = [R.numeric_sum(frame, "claim_count").alias("claims"), R.numeric_sum(frame, "no_such_column").alias("nothing")]
+    sums += [R.tier_metric(frame, tier, "claim_count").alias(f"tier_{k}") for k, tier in enumerate(S.TIER1_VALUES)]
+    return frame.groupBy("status").agg(*sums)
+
+
 def q_dq_after_build(spark, sf_dir):
     """All checks of the built tables after a full build: the row-level ones
     from the tables' own writes, the grouped ones from the stored tables."""
@@ -539,6 +599,11 @@ QUERIES.update(
         "search_current": q_search_current,
         "ordered_export": q_ordered_export,
         "dq_after_build": q_dq_after_build,
+        "category_counts": q_category_counts,
+        "views_by_sql": q_views_by_sql,
+        "refreshed_names": q_refreshed_names,
+        "periods_in_order": q_periods_in_order,
+        "text_sums": q_text_sums,
         "dq_not_null": _dq(("not_null",)),
         "dq_unique": _dq(("unique",)),
         "dq_accepted": _dq(("accepted_values",)),

@@ -17,6 +17,7 @@ from claimtide.plans.oracle import (
     with_blocks,
     with_wide_money,
 )
+from claimtide.schemas import CATEGORY_HIERARCHY
 
 _MONEY_STAGED = "CAST(value_of_trailer AS DOUBLE) AS value_of_trailer"
 
@@ -484,3 +485,64 @@ SQL["wide_money_deltas"] = with_wide_money() + (
     "CAST(sign(value_usd)::HUGEINT * (abs(value_usd) % 1000000000) AS BIGINT) AS value_billionths, "
     "CAST(week_over_week_value_delta_usd AS VARCHAR) AS delta_cents FROM weekly"
 )
+
+
+# ---------------------------------------------------------------------------
+# seeds, views, names, orders, coercions
+# ---------------------------------------------------------------------------
+
+_SEED_LINES = ", ".join(
+    f"({i}, {_q(label)}, {indent}, {_q(tier1)}, {'NULL' if match is None else _q(match)})"
+    for i, label, indent, tier1, match in CATEGORY_HIERARCHY
+)
+SQL["category_counts"] = with_blocks("cur") + (
+    "SELECT sort_order, display_label, CAST(indent_level AS INTEGER) AS indent_level, count(wbr_tier1) AS claims "
+    f"FROM (VALUES {_SEED_LINES}) seed(sort_order, display_label, indent_level, tier1_filter, tier_match_value) "
+    "LEFT JOIN cur ON wbr_tier1 = tier1_filter AND (tier_match_value IS NULL OR tier_match_value = "
+    "CASE indent_level WHEN 1 THEN wbr_tier2 ELSE wbr_tier3 END) GROUP BY ALL"
+)
+SQL["views_by_sql"] = with_blocks("weekly") + (
+    "SELECT report_year, report_week, count(*) AS claims, count(*) AS rows FROM weekly GROUP BY ALL"
+)
+
+
+def _rows_by_name(of: str) -> str:
+    """Rows of each table of a build over the raw rows that ``of`` allows."""
+    week, month = f"{week_start_sql('snapshot_date')}", "date_trunc('month', snapshot_date)"
+    rows = f"(SELECT * FROM cls WHERE {of})"
+    latest = lambda period: f"(SELECT DISTINCT ON (claim_number, {period}) *, {period} AS p FROM {rows} ORDER BY claim_number, {period}, snapshot_date DESC)"
+    moved = f"(SELECT status, lag(status) OVER (PARTITION BY claim_number ORDER BY p) AS before FROM {latest(week)})"
+    group = "p, source, carrier_name, country, status, wbr_tier1, wbr_tier2, wbr_tier3"
+    counts = {
+        ("staging", "stg_insurance_claims"): f"SELECT count(*) FROM {rows}",
+        ("intermediate", "int_claims_classified"): f"SELECT count(*) FROM {rows}",
+        ("intermediate", "int_claims_period_latest"): f"SELECT count(*) FROM (SELECT DISTINCT claim_number, {week}, {month} FROM {rows})",
+        ("marts", "mart_claims_current"): f"SELECT count(DISTINCT claim_number) FROM {rows}",
+        ("marts", "mart_claims_weekly"): f"SELECT count(*) FROM (SELECT DISTINCT claim_number, {week} FROM {rows})",
+        ("marts", "mart_claims_monthly"): f"SELECT count(*) FROM (SELECT DISTINCT claim_number, {month} FROM {rows})",
+        ("marts", "mart_claim_transitions_weekly"): f"SELECT count(*) FROM {moved} WHERE status <> before",
+        ("marts", "mart_claims_weekly_metrics"): f"SELECT count(*) FROM (SELECT DISTINCT {group} FROM {latest(week)})",
+        ("marts", "mart_claims_monthly_metrics"): f"SELECT count(*) FROM (SELECT DISTINCT {group} FROM {latest(month)})",
+        ("seeds", "seed_currency_rates"): "SELECT count(*) FROM rates",
+        ("seeds", "seed_category_hierarchy"): f"SELECT {len(CATEGORY_HIERARCHY)}",
+    }
+    return " UNION ALL ".join(f"SELECT {_q(layer)} AS layer, {_q(name)} AS name, ({sql}) AS rows" for (layer, name), sql in counts.items())
+
+
+# the first refresh has whole claims, so their classes are the same
+SQL["refreshed_names"] = with_blocks("cls") + (
+    f"SELECT layer, name, a.rows, b.rows AS rows_before FROM ({_rows_by_name('true')}) a JOIN ({_rows_by_name("claim_number LIKE '%1'")}) b USING (layer, name)"
+)
+SQL["periods_in_order"] = with_blocks("wk_metrics") + (
+    "SELECT row_number() OVER (ORDER BY week_start_date) - 1 AS place, week_start_date, period_label "
+    f"FROM ({_period_dim('wk_metrics', _WK)})"
+)
+_AS_NUMBER = "if(claim_count % 3 = 0, 0, claim_count)"
+SQL["text_sums"] = with_blocks("wk_metrics") + (
+    f"SELECT status, CAST(sum({_AS_NUMBER}) AS DOUBLE) AS claims, 0.0::DOUBLE AS nothing, "
+    + ", ".join(
+        f"CAST(coalesce(sum({_AS_NUMBER}) FILTER (wbr_tier1 = {_q(tier)}), 0) AS DOUBLE) AS tier_{k}"
+        for k, tier in enumerate(("ACTIVE CASES", "CLOSED CASES", "RE-OPEN CLAIMS"))
+    )
+    + " FROM wk_metrics GROUP BY status"
+)

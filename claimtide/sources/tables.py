@@ -119,6 +119,12 @@ def bucketed_table(spark: SparkSession, path: str, column: str, sort_by: list[st
         spark.sql(f"DROP TABLE {name}")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is stored at ``path``."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A written table without its hidden partition column."""
     df = spark.read.parquet(path)
