@@ -13,12 +13,44 @@ TRANSITION_FILTERS = ("country", "current_status", "source", "carrier_name", "tr
 HIDDEN_COLUMNS = ("claim_snapshot_key", "snapshot_date")
 
 
+def runs_away(search: str) -> bool:
+    """Whether a pattern repeats, without a bound, a group that itself holds an
+    unbounded repeat or alternatives, as ``(a+)+`` does: matching it may take
+    time exponential in the text."""
+    inside = [False]  # of the groups open here: holds a repeat or alternatives
+    at, closed = 0, False  # closed: the group that ends right before holds one
+    while at < len(search):
+        c, closing = search[at], False
+        if c == "\\":
+            at += 1
+        elif c == "[":
+            end = search.find("]", at + 2 if search[at + 1 : at + 2] != "^" else at + 3)
+            at = end if end > 0 else len(search)
+        elif c == "(":
+            inside.append(False)
+        elif c == ")" and len(inside) > 1:
+            closing = inside.pop()
+            inside[-1] |= closing
+        elif c == "|":
+            inside[-1] = True
+        elif c in "*+" or c == "{" and "," in search[at : search.find("}", at) + 1] and search[search.find("}", at) - 1] == ",":
+            if closed:
+                return True
+            inside[-1] = True
+        closed = closing
+        at += 1
+    return False
+
+
 def claim_search(search: str, literal: bool = False) -> Column:
     """Case-insensitive 'contains' on the claim number (a regular expression
-    unless ``literal``); null claim numbers never match."""
+    unless ``literal``); null claim numbers never match.  A pattern that may run
+    away is refused: one row could hold a task for good."""
     text = F.col("claim_number").cast("string")
     if literal:
         return F.lower(text).contains(search.lower())
+    if runs_away(search):
+        raise ValueError(f"the pattern {search!r} repeats a group of repeats or alternatives; search for the text itself (literal)")
     return text.rlike("(?iu)" + search)
 
 

@@ -34,7 +34,7 @@ from claimtide.operators.periods import (
 from claimtide.operators.staging import stage_claims
 from claimtide.schemas import MART_TABLES
 from claimtide.session import ensure_checkpoint_dir
-from claimtide.sources import tables, versions
+from claimtide.sources import search, tables, versions
 from claimtide.sources.tables import INTERMEDIATE, MARTS, SEEDS, STAGING
 
 
@@ -251,7 +251,8 @@ def refresh(
     into a fresh folder under ``base_dir``, then all names in their layers'
     schemas (``staging``, ``intermediate``, ``marts``, ``seeds``, after
     ``prefix``) move to the new tables at once (``sources.versions``).  A
-    reader of the old tables keeps their files.  The staged rows are written as
+    reader of the old tables keeps their files.  The current mart gets the
+    trigram table that searches use (``sources.search``).  The staged rows are written as
     well: the source may change after the refresh.  Returns table name ->
     path; folders of earlier refreshes may be deleted once nobody reads them."""
     run = f"{base_dir.rstrip('/')}/refresh-{uuid.uuid4().hex}"
@@ -263,5 +264,6 @@ def refresh(
     source = tables.layer_path(run, STAGING, STAGED_VIEW)
     stage_claims(raw).write.mode("overwrite").parquet(source)
     paths[STAGED_VIEW], layers[STAGED_VIEW] = source, STAGING
+    search.build_index(spark, paths[dict(MART_TABLES)["current"]])
     versions.publish(spark, base_dir, layers, paths, prefix)
     return paths

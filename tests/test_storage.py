@@ -303,3 +303,26 @@ def test_grams_are_in_every_match(search, text):
         return
     if pattern.search(text):
         assert all(g in text.lower() for g in S.required_grams(search)), (search, text)
+
+
+@pytest.mark.parametrize("search", ["(a+)+", "(a|b)*c", "((ab)*c)+", "(x+y){2,}", r"(\d+-)*\d", "(?:a*)*$"])
+def test_patterns_that_run_away_are_refused(spark, search):
+    assert X.runs_away(search)
+    with pytest.raises(ValueError):
+        X.claim_search(search)
+
+
+@pytest.mark.parametrize("search", ["clm-12", r"clm-\d*7", "a+b*c{2,}", "(ab)+", "(a|b)c+", r"\(a+\)+", "[(a+]+x", "(a+)?", "(a+){3}", "a|b+", "[^]a]+(b)", "(", "{,"])
+def test_other_patterns_are_taken(search):
+    assert not X.runs_away(search)
+
+
+def test_a_refresh_leaves_a_search_table(spark):
+    base, prefix = scratch_path(spark, "searchable"), f"s{time.time_ns()}_"
+    raw = raw_rows(spark, [snapshot(f"CLM-{k:03d}", "2024-01-01", "Open") for k in range(40)])
+    refresh(spark, raw, currency_rates(spark), category_hierarchy(spark), base, prefix)
+    path = versions.open_version(spark, base).paths["mart_claims_current"]
+    assert S.files_for(spark, path, "clm-7777") == [] and len(S.files_for(spark, path, "clm-017")) == 1
+    found = X.filter_claims(S.read_for_search(spark, path, "M-017"), search="M-017")
+    assert [r.claim_number for r in found.collect()] == ["CLM-017"]
+
