@@ -21,7 +21,8 @@ meet by their rarest shingles instead (a prefix filter: of n shingles so many
 that every linked set has one of them among its own), which members without a
 link hardly share, so the work grows with the members, not with their pairs.
 Where even a rare shingle has more than ``TILE`` members, they are cut into tiles
-of ``TILE`` by ``TILE``, many tasks.  Components come from
+of ``TILE`` by ``TILE``, many tasks; so is the crowded bucket itself where that
+sends fewer sets.  Components come from
 repeated minima over written tables; nothing but counts reaches the driver.
 
 Cases: null, empty and wordless texts have an empty set, are linked with
@@ -361,24 +362,42 @@ def rarest(shingles: np.ndarray, rarity: np.ndarray, percent: int) -> np.ndarray
 
 
 def _by_rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
-    """(bucket, node): nodes by each of their rarest shingles."""
+    """(bucket, node, root): nodes by each of their rarest shingles."""
     rarity = _rarities(sets)
 
     def run(batches):
         for batch in batches:
-            for node, held in zip(batch.column("node").to_pylist(), batch.column("shingles"), strict=True):
-                rare = rarest(np.frombuffer(held.as_buffer(), np.uint64), rarity, percent)
-                yield pa.RecordBatch.from_arrays([pa.array(rare.view(np.int64)), pa.array(np.full(len(rare), node, np.int64))], ["bucket", "node"])
+            rare = [rarest(np.frombuffer(held.as_buffer(), np.uint64), rarity, percent) for held in batch.column("shingles")]
+            if rare:
+                many = [len(x) for x in rare]
+                of = (pa.array(np.repeat(batch.column(c).to_numpy(), many)) for c in ("node", "root"))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rare).view(np.int64)), *of], ["bucket", "node", "root"])
 
-    return sets.select("node", "shingles").mapInArrow(run, "bucket long, node long")
+    return sets.select("node", "root", "shingles").mapInArrow(run, "bucket long, node long, root long")
 
 
 def _open(placed: DataFrame, least: int) -> DataFrame:
     """Buckets of ``least`` and more members in several components: ``bucket``,
-    ``main`` (the largest component), ``part`` and ``size`` (its members, all)."""
-    parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("part"))
-    split = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("part").alias("size"), F.max(F.struct("part", "root")).alias("main"))
-    return written(split.where((F.col("parts") > 1) & (F.col("size") >= least)).select("bucket", F.col("main.root").alias("main"), F.col("main.part").alias("part"), "size"), "near-open")
+    ``main`` (the largest component), ``part`` and ``size`` (its members, all).
+    Of buckets with the same members (128 bits of them) one is enough."""
+    marks = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"mark{k}") for k in (3, 4)]
+    parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("part"), *marks)
+    split = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("part").alias("size"), F.max(F.struct("part", "root")).alias("main"), *(F.bit_xor(f"mark{k}").alias(f"mark{k}") for k in (3, 4)))
+    split = split.where((F.col("parts") > 1) & (F.col("size") >= least)).groupBy("mark3", "mark4", "size").agg(F.min("bucket").alias("bucket"), F.min_by("main", "bucket").alias("main"))
+    return written(split.select("bucket", F.col("main.root").alias("main"), F.col("main.part").alias("part"), "size"), "near-open")
+
+
+def _down_over(split: DataFrame) -> DataFrame:
+    """``split`` with its tiles: rows of them for the members outside ``main``,
+    and columns for all members."""
+    tiles = lambda n: F.ceil(n / TILE).cast("int")
+    return split.withColumn("down", tiles(F.col("size") - F.col("part"))).withColumn("over", tiles(F.col("size")))
+
+
+def _sets_sent(split: DataFrame) -> int:
+    """How often a set goes to a tile."""
+    sent = F.col("size") * F.col("down") + (F.col("size") - F.col("part")) * F.col("over")
+    return _down_over(split).agg(F.sum(sent)).first()[0] or 0
 
 
 def _across(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -389,15 +408,17 @@ def _across(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int)
     if large.isEmpty():
         return _tiled(placed, split, sets, percent)
     nodes = written(placed.join(large.select("bucket"), "bucket").select("node", "root").distinct(), "near-crowded")
-    rare = written(_by_rare_shingles(sets.join(nodes.select("node"), "node"), percent).join(nodes, "node"), "near-rare")
+    rare = written(_by_rare_shingles(sets.join(nodes, "node"), percent), "near-rare")
+    by_rare = _open(rare, 2)
+    if _sets_sent(by_rare) >= _sets_sent(large):  # both find all links
+        return _tiled(placed, split, sets, percent)
     small = split.where(F.col("size") <= TILE)
-    return _tiled(placed, small, sets, percent).unionByName(_tiled(rare, _open(rare, 2), sets, percent))
+    return _tiled(placed, small, sets, percent).unionByName(_tiled(rare, by_rare, sets, percent))
 
 
 def _tiled(placed: DataFrame, split: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between the components of the buckets of ``split``."""
-    tiles = lambda n: F.ceil((F.col(n) if isinstance(n, str) else n) / TILE).cast("int")
-    split = split.select("bucket", "main", tiles(F.col("size") - F.col("part")).alias("down"), tiles("size").alias("over"))
+    split = _down_over(split).select("bucket", "main", "down", "over")
     rows = placed.join(split, "bucket")
     outside = F.col("root") != F.col("main")
     single = (F.col("down") == 1) & (F.col("over") == 1)
