@@ -2,10 +2,31 @@
 
 from __future__ import annotations
 
+import random
+
+from claimtide.plans.contract import newest_later
 from claimtide.sources import tables
 
 
+def _plan(spark, frame) -> str:
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return frame()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_buckets_stay_small():
     assert tables.buckets_for(0) == tables.buckets_for(600_000) == tables.LEAST_BUCKETS
     for rows in (36_000_000, 216_000_000):
         assert rows / tables.buckets_for(rows) <= tables.BUCKET_ROWS
+
+
+def test_newest_later_line_by_blocks(spark):
+    draw = random.Random(5)
+    rows = [(at, draw.choice([None, 1, 2, 3, 50]) if at < 40 else draw.choice([None, 1, 2])) for at in range(60)]
+    frame = spark.createDataFrame(rows, "at long, day int")
+    got = {r["at"]: r["newest_later"] for r in newest_later(frame, "day", "at", bits=2).collect()}
+    assert got == {at: max((d for a, d in rows if a > at and d is not None), default=None) for at, _ in rows}
+    plan = _plan(spark, lambda: newest_later(frame, "day", "at", bits=2).select("at", "newest_later"))
+    assert "hashpartitioning(_block" in plan
