@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import random
 
+from conftest import raw_rows, snapshot
+
+from claimtide.operators.classify import classify
+from claimtide.operators.periods import WEEKLY, period_state_from_staged
+from claimtide.operators.staging import stage_claims
 from claimtide.plans.contract import newest_later
 from claimtide.sources import tables
+from claimtide.sources.seeds import currency_rates
 
 
 def _plan(spark, frame) -> str:
@@ -16,6 +22,18 @@ def _plan(spark, frame) -> str:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_closed_dates_are_joined_without_sorting_the_history(spark):
+    staged = stage_claims(raw_rows(spark, [snapshot("A", "2024-01-01", "Closed"), snapshot("A", "2024-01-09", "Open")]))
+    rates = currency_rates(spark)
+    for frame in (lambda: classify(staged, rates), lambda: period_state_from_staged(staged, rates, WEEKLY)):
+        plan = _plan(spark, frame)
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {(str(r.snapshot_date), r.wbr_tier1) for r in classify(staged, rates).collect()} == {
+        ("2024-01-01", "CLOSED CASES"),
+        ("2024-01-09", "RE-OPEN CLAIMS"),
+    }
+
+
 def test_buckets_stay_small():
     assert tables.buckets_for(0) == tables.buckets_for(600_000) == tables.LEAST_BUCKETS
     for rows in (36_000_000, 216_000_000):
