@@ -28,6 +28,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator, Sequence
 from hashlib import blake2b
 from typing import NamedTuple
 
@@ -92,16 +93,32 @@ def swapped(words: Counter) -> list[Counter]:
     return out
 
 
-def mentioned(texts: list[Counter], labels: np.ndarray) -> list[tuple[Counter, list[Counter]]]:
+def mentions(texts: Sequence[Counter], labels: np.ndarray) -> Iterator[tuple[Counter, list[Counter]]]:
     """Texts given a sentence about a group, and the same with its other terms:
     the first ``MENTIONS`` texts of each label."""
-    out = []
     for label in (0, 1):
         for k, i in enumerate(np.flatnonzero(labels == label)[:MENTIONS]):
             at = k % len(MENTION)
             first, *others = [texts[i] + words_of(MENTION[at].format(term)) for term in IDENTITY_TERMS[at]]
-            out.append((first, others))
-    return out
+            yield first, others
+
+
+def mentioned(texts: Sequence[Counter], labels: np.ndarray) -> list[tuple[Counter, list[Counter]]]:
+    return list(mentions(texts, labels))
+
+
+class Words(Sequence):
+    """The words of texts, counted when they are asked for: counted words take
+    many times the memory of their text."""
+
+    def __init__(self, texts: list[str]):
+        self.texts = texts
+
+    def __len__(self) -> int:
+        return len(self.texts)
+
+    def __getitem__(self, i):
+        return words_of(self.texts[i])
 
 
 class _Numbers:
@@ -162,39 +179,47 @@ def slope(p: Problem, w: np.ndarray, bias: float) -> np.ndarray:
     return np.append(out, off.sum())
 
 
-def fit(texts: list[Counter], labels: np.ndarray, swap_cost: float = SWAP_COST) -> tuple[dict[str, float], float, int]:
+def fit(texts: Sequence[Counter], labels: np.ndarray, swap_cost: float = SWAP_COST) -> tuple[dict[str, float], float, int]:
     """Weights by feature (``!`` put before those that count when often met),
-    the intercept and the number of swapped pairs."""
+    the intercept and the number of swapped pairs.  Of every text only its
+    numbers are kept, and of all texts each word once."""
     numbers = _Numbers()
-    rows = [numbers(t) for t in texts]
-    lengths = np.array([len(r) for r in rows])
-    values, column = np.unique(np.concatenate(rows), return_inverse=True)
-    row = np.repeat(np.arange(len(rows)), lengths)
+    rows: list[np.ndarray] = []
+    words: set[str] = set()
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
+    for t in texts:
+        rows.append(numbers(t))
+        words.update(t)
+        pairs += [(rows[-1], numbers(s)) for s in swapped(t)]
+    for t, others in mentions(texts, labels):
+        old = numbers(t)
+        pairs += [(old, numbers(s)) for s in others]
     y = labels.astype(np.float64)
-    with_it = np.bincount(column, minlength=len(values))
-    toxic = np.bincount(column, weights=y[row], minlength=len(values))
+    values, with_it = np.unique(np.concatenate(rows), return_counts=True)
+    toxic = np.zeros(len(values))
+    met, often = np.unique(np.concatenate([r for r, label in zip(rows, y, strict=True) if label] or [values[:0]]), return_counts=True)
+    toxic[np.searchsorted(values, met)] = often
     n, positive = len(rows), y.sum()
     # difference of both classes' shares, in its standard errors
     expected = with_it * positive / n
     error = np.sqrt(expected * (1 - positive / n) * (1 - with_it / n) + 1e-9)
     telling = np.where(with_it >= LEAST_TEXTS, np.abs(toxic - expected) / error, 0)
-    pairs = [(rows[i], s) for i, t in enumerate(texts) for s in swapped(t)]
-    pairs += [(numbers(t), s) for t, others in mentioned(texts, labels) for s in others]
     chosen = np.argsort(-telling, kind="stable")[:FEATURES]
     chosen = np.sort(chosen[telling[chosen] > 2.5])
-    place = np.full(len(values), -1)
-    place[chosen] = np.arange(len(chosen))
-    keep = place[column] >= 0
-    row, column = row[keep], place[column[keep]]
+    values = values[chosen]
+
+    def places(some: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(values, some)
+        return at[(at < len(values)) & (values[np.minimum(at, len(values) - 1)] == some)] if len(values) else at[:0]
+
+    columns = [places(r) for r in rows]
+    row, column = np.repeat(np.arange(n), [len(c) for c in columns]), np.concatenate(columns)
 
     # a pair's row is what the swap adds and takes away
     pair_row, pair_column, pair_sign = [], [], []
-    for k, (old, s) in enumerate(pairs):
-        new = numbers(s)
+    for k, (old, new) in enumerate(pairs):
         for sign, some in ((1.0, np.setdiff1d(new, old)), (-1.0, np.setdiff1d(old, new))):
-            at = np.searchsorted(values, some)
-            at = at[(at < len(values)) & (values[np.minimum(at, len(values) - 1)] == some)]
-            at = place[at][place[at] >= 0]
+            at = places(some)
             pair_row += [k] * len(at)
             pair_column += at.tolist()
             pair_sign += [sign] * len(at)
@@ -210,9 +235,9 @@ def fit(texts: list[Counter], labels: np.ndarray, swap_cost: float = SWAP_COST)
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         step = 0.1 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-9)
         w, bias = w - step[:-1], bias - step[-1]
-    weight_of = dict(zip(values[chosen].tolist(), w.tolist(), strict=True))
+    weight_of = dict(zip(values.tolist(), w.tolist(), strict=True))
     out: dict[str, float] = {}
-    for word in set().union(*texts):  # the chosen numbers' names
+    for word in words:  # the chosen numbers' names
         for part in parts_of(word):
             number = numbers.of_part(part)
             for mark, x in (("", number), ("!", number | 1)):
@@ -264,15 +289,15 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     sample = met.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def run(batches):
-        learned: list[tuple[int, int, Counter]] = []
+        learned: list[tuple[str, int, str]] = []
         for batch in batches:
             for i, y, t in zip(*(batch.column(c) for c in ("id", "label", "text")), strict=True):
-                learned.append((str(i.as_py()), y.as_py(), words_of(t.as_py() or "")))
-        learned.sort(key=lambda r: (r[0], r[1], sorted(r[2].items())))
+                learned.append((str(i.as_py()), y.as_py(), t.as_py() or ""))
+        learned.sort()  # an id comes once
         y = np.array([r[1] for r in learned])
         if len(set(y.tolist())) < 2:
             return
-        weights, bias, pairs = fit([r[2] for r in learned], y)
+        weights, bias, pairs = fit(Words([r[2] for r in learned]), y)
         yield pa.RecordBatch.from_arrays([pa.array([*weights, "", None], pa.string()), pa.array([*weights.values(), pairs, bias], pa.float64())], ["feature", "weight"])
 
     fitted = {r["feature"]: r["weight"] for r in sample.repartition(1).mapInArrow(run, "feature string, weight double").collect()}

@@ -312,3 +312,23 @@ def test_stages_take_unusual_rows(spark):
             if name != "packing":
                 assert kept.columns == docs.columns
         assert sorted({r.doc_id for r in kept.collect()}, key=str) == ([] if empty else [1, 3, None])
+
+
+def test_fit_keeps_no_counted_words():
+    """Of a text its numbers are kept, not its words as objects."""
+    import tracemalloc
+
+    texts = [" ".join("word" + "".join(chr(97 + int(d)) for d in str((k * 37 + j) % 900 + 100)) for j in range(400)) for k in range(600)]
+    labels = np.arange(600) % 2
+    kept = toxicity.Words(texts)
+    assert kept[3] == toxicity.words_of(texts[3]) and len(kept) == 600
+    few = slice(0, 80)
+    assert toxicity.fit(toxicity.Words(texts[few]), labels[few]) == toxicity.fit([toxicity.words_of(t) for t in texts[few]], labels[few])
+    tracemalloc.start()
+    counted = [toxicity.words_of(t) for t in texts]
+    whole = tracemalloc.get_traced_memory()[0]
+    del counted
+    tracemalloc.reset_peak()
+    toxicity.Words(texts)[5]
+    assert tracemalloc.get_traced_memory()[1] < whole / 10
+    tracemalloc.stop()
