@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import random
+import re
 
-from conftest import raw_rows, snapshot
+from conftest import SF_SMALL, raw_rows, snapshot
+from pyspark.sql import functions as F
 
+from claimtide.functions.text import DATE_TEXT, UNICODE_WHITESPACE, clean_text, safe_date, upper_text
 from claimtide.operators.classify import classify
 from claimtide.operators.periods import WEEKLY, period_state_from_staged
 from claimtide.operators.staging import stage_claims
+from claimtide.plans.build import build
 from claimtide.plans.contract import newest_later
 from claimtide.sources import tables
 from claimtide.sources.seeds import currency_rates
+from claimtide.sources.testdata import testdata_history as adapted_history
 
 
 def _plan(spark, frame) -> str:
@@ -34,6 +39,34 @@ def test_closed_dates_are_joined_without_sorting_the_history(spark):
     }
 
 
+def test_generated_methods_are_compiled(spark):
+    """Java leaves methods beyond 8,000 bytes to its interpreter."""
+    as_codegen = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    graph = build(adapted_history(spark, SF_SMALL), currency_rates(spark))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for key in ("classified", "weekly", "monthly", "weekly_metrics"):
+            text = graph[key]._jdf.queryExecution().explainString(as_codegen)
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+            assert sizes and max(sizes) < 8000, key
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_common_texts_take_the_short_way(spark):
+    edges = ["", " ", "a", " a", "a ", "\u00a0a\u3000", "~", "!x~", "\x7f", "\x85a", "a\u200b", "a\x1f", "\x1fa", "ä", "ä ", "a b", None]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(edges)], "k int, t string")
+    trimmed = F.trim("t", F.lit(UNICODE_WHITESPACE))
+    assert frame.where(~clean_text("t").eqNullSafe(trimmed)).count() == 0
+    words = ["usd", "USD", "straße", "ı", "i", "ǆ", "a1[z{", "", None]
+    frame = spark.createDataFrame([(t,) for t in words], "t string")
+    assert frame.where(~upper_text("t").eqNullSafe(F.upper("t"))).count() == 0
+    days = ["2024-06-01", "2024-6-1", "2024-06-1T", "2024-06-1 ", " 2024-6-01", "2024-06-31", "2024-6--01", "2024-1T-01", "2024-06- 1", "+024-06-01", "\n024-06-01", "0000-01-01", "2024-06", "20240-6-01", "２024-06-01", "2024-06-01T", "202a-06-01", "2024-06-T1", None]
+    frame = spark.createDataFrame([(t,) for t in days], "t string")
+    told = F.when(F.col("t").rlike(DATE_TEXT), F.col("t").try_cast("date"))
+    assert frame.where(~safe_date("t").eqNullSafe(told)).count() == 0
+
+
 def test_buckets_stay_small():
     assert tables.buckets_for(0) == tables.buckets_for(600_000) == tables.LEAST_BUCKETS
     for rows in (36_000_000, 216_000_000):
