@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 from conftest import SF_SMALL, raw_rows, snapshot
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from claimtide.functions.text import DATE_TEXT, UNICODE_WHITESPACE, clean_text,
 from claimtide.operators.classify import classify
 from claimtide.operators.periods import WEEKLY, period_state_from_staged
 from claimtide.operators.staging import stage_claims
-from claimtide.plans.build import build
-from claimtide.plans.contract import newest_later
+from claimtide.plans.build import build, shuffles_removed
+from claimtide.plans.contract import _models_of_stored, newest_later
 from claimtide.sources import tables
 from claimtide.sources.seeds import currency_rates
 from claimtide.sources.testdata import testdata_history as adapted_history
@@ -81,3 +82,29 @@ def test_newest_later_line_by_blocks(spark):
     assert got == {at: max((d for a, d in rows if a > at and d is not None), default=None) for at, _ in rows}
     plan = _plan(spark, lambda: newest_later(frame, "day", "at", bits=2).select("at", "newest_later"))
     assert "hashpartitioning(_block" in plan
+
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark, tmp_path):
+    store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> set[str]:
+        return {name for name in store.getAllFiles().mkString("\n").split("\n") if "shuffle_" in name and name.endswith(".data")}
+
+    before, kept = shuffled(), spark.range(1000).repartition(3, "id")
+    with shuffles_removed(spark):
+        kept.write.parquet(str(tmp_path / "t"))
+    for _ in range(50):  # files are removed behind the job
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.read.parquet(str(tmp_path / "t")).count() == kept.count() == 1000
+
+
+def test_suites_run_the_history_once(spark):
+    raw = adapted_history(spark, SF_SMALL)
+    graph = _models_of_stored(spark, raw)
+    for key in ("classified", "weekly", "monthly_metrics"):
+        assert "l_partkey" not in _plan(spark, lambda key=key: graph[key])
+    assert graph["monthly"].exceptAll(build(raw, currency_rates(spark))["monthly"]).count() == 0
